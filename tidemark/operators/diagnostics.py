@@ -48,7 +48,7 @@ def trend_fit(numbered: DataFrame, layout: SeriesLayout, value: str = "price") -
     ).select(*layout.group_cols, "n", "slope", "intercept", (F.col("_r") * F.col("_r")).alias("r_squared"), "_r")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _slope_p(r: pd.Series, n: pd.Series, slope: pd.Series) -> pd.Series:
     return pd.Series([slope_p_value(a, int(b), c) for a, b, c in zip(r, n, slope)], dtype="float64")
 
@@ -199,12 +199,12 @@ def _kpss_window_sums(rows: pd.DataFrame) -> list[tuple[str, int, float]]:
     return [("windows", 0, total)]
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _kpss_p_trend(statistic: pd.Series) -> pd.Series:
     return statistic.map(lambda s: kpss_p_value(s, True), na_action="ignore").astype("float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _kpss_p_level(statistic: pd.Series) -> pd.Series:
     return statistic.map(lambda s: kpss_p_value(s, False), na_action="ignore").astype("float64")
 
@@ -322,7 +322,7 @@ def acf(df: DataFrame, layout: SeriesLayout, value: str = "price", max_lags: int
         *group, "n", "lag", "acf", "band")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _durbin_levinson(values: pd.Series) -> pd.Series:
     return values.map(partial_autocorrelations)
 

@@ -9,6 +9,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.statistics import solve_centred
 from tidemark.operators.features import TEST, TRAIN, assemble, test_rows, train_rows
@@ -23,7 +24,7 @@ def scaled_names(value: str = "price", lags: Sequence[int] = LAGS) -> list[str]:
     return [f"{n}_scaled" for n in lag_names(value, lags)]
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _solve(cross: pd.Series, target: pd.Series, means: pd.Series, label_mean: pd.Series) -> pd.Series:
     return solve_centred(cross, target, means, label_mean)
 
@@ -94,7 +95,8 @@ def require_complete(status: DataFrame) -> None:
 def score_all(
     features: DataFrame, layout: SeriesLayout, value: str = "price", lags: Sequence[int] = LAGS
 ) -> tuple[DataFrame, DataFrame]:
-    """Models of all series, and predictions for all rows whose series has both sides."""
+    """Models of all series that have training rows, and predictions of all rows; rows of a
+    series without a model get NULL (``series_status`` names such series)."""
     names = scaled_names(value, lags)
     models = fit_models(train_rows(features), names, value, layout.group_cols)
     predictions = predict(features, models, names, layout, value)

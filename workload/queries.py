@@ -284,10 +284,9 @@ def _(spark, sf_dir):
 
 @query("forecast_duplicate_keys")
 def _(spark, sf_dir):
-    return quality.duplicate_keys(_forecasts(spark, sf_dir), ["coin_id", "timestamp"]).unionByName(
-        quality.duplicate_keys(
-            _forecasts(spark, sf_dir).withColumn("timestamp", F.date_trunc("hour", "timestamp").cast("timestamp_ntz")),
-            ["coin_id", "timestamp"]))
+    # Stored forecasts have distinct times; by the hour there are repeats to find.
+    hourly = _forecasts(spark, sf_dir).withColumn("timestamp", F.date_trunc("hour", "timestamp"))
+    return quality.duplicate_keys(hourly)
 
 
 @query("split_summary")
