@@ -92,9 +92,6 @@ def ticks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:
 # JSON documents. A document holds the points of one series among POINTS_PER_DOCUMENT
 # consecutive event ids, so no document grows with the table.
 
-_POINTS = F.sort_array(F.collect_list(F.struct("ms", "price", "market_cap", "total_volume", "close")))
-
-
 def documents(spark: SparkSession, sf_dir: str, days: str = "1") -> DataFrame:
     """Per document: series, chart envelope and OHLC envelope as JSON text."""
     points = market(spark, sf_dir).select(
@@ -102,7 +99,8 @@ def documents(spark: SparkSession, sf_dir: str, days: str = "1") -> DataFrame:
         F.unix_millis(F.col("timestamp").cast("timestamp")).alias("ms"),
         "price", "market_cap", "total_volume",
         (F.col("price") + (F.col("event_id") % 5 - 2) * 0.01 * F.col("price")).alias("close"))
-    grouped = points.groupBy("coin_id", "vs_currency", "document").agg(_POINTS.alias("points"))
+    grouped = points.groupBy("coin_id", "vs_currency", "document").agg(
+        F.sort_array(F.collect_list(F.struct("ms", "price", "market_cap", "total_volume", "close"))).alias("points"))
 
     def column(name: str):
         return F.transform("points", lambda p: F.array(p["ms"].cast("double"), p[name]))
