@@ -10,10 +10,13 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidemark.functions.columns import correlation
 from tidemark.functions.statistics import (
     Z95, adf_p_value, adf_statistic, kpss_p_value, partial_autocorrelations, slope_p_value,
 )
@@ -44,7 +47,7 @@ def trend_fit(numbered: DataFrame, layout: SeriesLayout, value: str = "price") -
         F.count(y).alias("n"),
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
-        F.when(flat, F.lit(0.0)).otherwise(F.corr(y, x)).alias("_r"),
+        F.when(flat, F.lit(0.0)).otherwise(correlation(value, INDEX)).alias("_r"),
     ).select(*layout.group_cols, "n", "slope", "intercept", (F.col("_r") * F.col("_r")).alias("r_squared"), "_r")
 
 
@@ -81,18 +84,21 @@ def _block_sums(
     """
     group = list(layout.group_cols)
 
-    def per_block(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(INDEX)
-        out = pd.DataFrame(sums(rows), columns=["part", "lag", "amount"])
-        for c in reversed(group):
-            out.insert(0, c, rows[c].iloc[0])
-        return out
-
     schema = T.StructType([
         *_group_schema(df, layout), T.StructField("part", T.StringType()),
         T.StructField("lag", T.LongType()), T.StructField("amount", T.DoubleType())])
+    arrow_schema = to_arrow_schema(schema)
+
+    def per_block(rows: pa.Table) -> pa.Table:
+        # Key text stays in Arrow; only the numeric columns become arrays.
+        numbers = rows.drop_columns(group).sort_by(INDEX).to_pandas()
+        parts = sums(numbers)
+        columns = [pa.array([rows[c][0].as_py()] * len(parts), arrow_schema.field(c).type) for c in group]
+        columns += [pa.array([row[i] for row in parts], arrow_schema.field(len(group) + i).type) for i in range(3)]
+        return pa.Table.from_arrays(columns, schema=arrow_schema)
+
     return (
-        spread_blocks(df, layout, halo).groupBy(*group, BLOCK).applyInPandas(per_block, schema)
+        spread_blocks(df, layout, halo).groupBy(*group, BLOCK).applyInArrow(per_block, schema)
         .groupBy(*group, "part", "lag").agg(F.sum("amount").alias("amount"))
     )
 
@@ -291,35 +297,34 @@ def diff_stationarity(df: DataFrame, layout: SeriesLayout, value: str = "price")
 
 # Autocorrelation
 
+def _acf_sums(rows: pd.DataFrame) -> list[tuple[str, int, float]]:
+    x, start = rows["_x"].to_numpy(), _own_start(rows)
+    return [("xx", k, _lagged_dot(x, x, start, k)) for k in range(int(rows["_lags"].iloc[0]) + 1)]
+
+
 def acf(df: DataFrame, layout: SeriesLayout, value: str = "price", max_lags: int = MAX_LAGS) -> DataFrame:
     """Autocorrelations of lags 1 … min(max_lags, max(1, n//2 - 1)) with a 95 % band.
 
-    Values are centred once; all lags share one window and one aggregation.
+    Values are centred once; the products of all lags are summed per block.
     """
     group = list(layout.group_cols)
-    rows = complete_rows(df, value)
-    means = rows.groupBy(*group).agg(F.avg(value).alias("_mean"), F.count(F.lit(1)).alias("n"))
-    needed = list(dict.fromkeys([*group, *layout.order_cols, value]))
-    centred = attach_stats(rows.select(*needed), means, layout).withColumn("_x", F.col(value) - F.col("_mean"))
-    lags = range(1, max_lags + 1)
-
-    def columns(frame: DataFrame, window: WindowSpec) -> DataFrame:
-        return frame.withColumns({f"_x{k}": F.lag("_x", k).over(window) for k in lags})
-
-    sums = with_lookback(centred, layout, max_lags, columns).groupBy(*group, "n").agg(
-        F.sum(F.col("_x") * F.col("_x")).alias("_square"),
-        F.array(*[F.sum(F.col("_x") * F.col(f"_x{k}")) for k in lags]).alias("_products"))
-    longest = F.least(F.lit(max_lags), F.greatest(F.lit(1), F.floor(F.col("n") / 2) - 1))
-    by_lag = (
-        sums.select(*group, "n", "_square", F.posexplode("_products").alias("_at", "_product"))
-        .withColumn("lag", F.col("_at") + 1)
-        .filter((F.col("lag") <= longest) & F.col("_product").isNotNull())
-        .withColumn("acf", F.try_divide(F.col("_product"), F.col("_square")))
-    )
-    earlier = Window.partitionBy(*group).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
-    squares = F.coalesce(F.sum(F.col("acf") * F.col("acf")).over(earlier), F.lit(0.0))
-    return by_lag.withColumn("band", Z95 * F.sqrt((1 + 2 * squares) / F.col("n"))).select(
-        *group, "n", "lag", "acf", "band")
+    numbered = number_rows(complete_rows(df, value), layout).select(*group, INDEX, value)
+    n = F.col("n")
+    lags = F.least(F.lit(max_lags), F.greatest(F.lit(1), F.floor(n / 2) - 1), n - 1).cast("int")
+    sizes = numbered.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(value).alias("_mean")).withColumn("_lags", lags)
+    centred = attach_stats(numbered, sizes, layout).filter(F.col("_lags").isNotNull()).select(
+        *group, INDEX, "_lags", (F.col(value) - F.col("_mean")).alias("_x"))
+    products = _block_sums(centred, layout, max_lags, _acf_sums).join(sizes.select(*group, "n"), group)
+
+    # At most max_lags + 1 rows per series from here on.
+    in_order = Window.partitionBy(*group).orderBy("lag")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    scaled = products.withColumn("acf", F.try_divide(F.col("amount"), F.first("amount").over(in_order)))
+    before = F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(earlier)
+    return scaled.withColumn(
+        "band", Z95 * F.sqrt((1 + 2 * F.coalesce(before, F.lit(0.0))) / n)
+    ).filter(F.col("lag") > 0).select(*group, "n", F.col("lag").cast("int").alias("lag"), "acf", "band")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))

@@ -163,11 +163,10 @@ def with_lookback(
     """Run window expressions that look back at most ``rows`` rows.
 
     ``add_columns(frame, window)`` adds columns over the window it is given and must
-    not drop rows.
+    not drop rows. ``keep_index`` leaves the index that the long route needs anyway.
     """
     if not layout.blocked:
-        placed = number_rows(df, layout) if keep_index else df
-        return add_columns(placed, layout.window())
+        return add_columns(df, layout.window())
     spread = spread_blocks(number_rows(df, layout), layout, rows)
     window = Window.partitionBy(*layout.group_cols, BLOCK).orderBy(INDEX)
     own_rows = add_columns(spread, window).filter(~F.col(HALO)).drop(HALO, BLOCK)
@@ -177,11 +176,14 @@ def with_lookback(
 def running_total(
     df: DataFrame, layout: SeriesLayout, amount: Column, running: str, total: str
 ) -> DataFrame:
-    """For rows that carry a series index, add the running and the whole sum of ``amount``
-    along the series, and drop the index."""
+    """Add the running and the whole sum of ``amount`` along the series, and drop the index.
+
+    Rows carry the series index where series are long; short ones may go by ``order_cols``.
+    """
     group = list(layout.group_cols)
     if not layout.blocked:
-        along = Window.partitionBy(*group).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, 0)
+        order = [INDEX] if INDEX in df.columns else layout.order_cols
+        along = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({
             running: F.sum(amount).over(along),
             total: F.sum(amount).over(Window.partitionBy(*group)),
