@@ -1,5 +1,7 @@
 """The route for long series gives the rows of the plain window."""
 
+from dataclasses import replace
+
 import pytest
 from fixtures import block_layout, examples, frame, plain_layout, rows_of
 from pyspark.sql import functions as F
@@ -45,6 +47,15 @@ def test_blocks_equal_plain(data, case):
     assert found == expected
 
 
+@pytest.mark.parametrize("case", ["number_rows", "split", "features", "kpss_trend", "box_plot"])
+def test_shuffled_joins_equal_broadcast(data, case):
+    df, plain, blocks = data
+    assert not replace(blocks, broadcast_bytes=0).stats_fit_broadcast
+    expected = rows_of(CASES[case](df, plain), 6)
+    assert rows_of(CASES[case](df, replace(plain, broadcast_bytes=0)), 6) == expected
+    assert rows_of(CASES[case](df, replace(blocks, broadcast_bytes=0)), 6) == expected
+
+
 def test_block_shorter_than_halo(data):
     df, plain, _blocks = data
     tiny = block_layout(df, rows_per_block=5)

@@ -53,6 +53,7 @@ class SeriesLayout:
     key_bytes: int = 64
     plain_limit: int = PLAIN_LIMIT
     rows_per_block: int = ROWS_PER_BLOCK
+    broadcast_bytes: int = BROADCAST_BYTES
 
     @property
     def blocked(self) -> bool:
@@ -60,7 +61,7 @@ class SeriesLayout:
 
     def fits_broadcast(self, table_rows: int) -> bool:
         """Whether a table of ``table_rows`` rows of series keys and numbers is small."""
-        return table_rows * (self.key_bytes + STATS_ROW_BYTES) <= BROADCAST_BYTES
+        return table_rows * (self.key_bytes + STATS_ROW_BYTES) <= self.broadcast_bytes
 
     @property
     def stats_fit_broadcast(self) -> bool:
