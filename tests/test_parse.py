@@ -76,7 +76,7 @@ def test_points_with_missing_parts(spark, tmp_path):
 def test_rows_without_coin_or_epoch_are_set_aside(spark, tmp_path):
     write(tmp_path, "a_market_chart.json", document("/ping", {"prices": [[MS, 1.0]]}), chart([[None, 2.0], [MS, 3.0]]))
     documents = parse.chart_documents(scan_landing(spark, str(tmp_path)))
-    points = parse.explode_points(documents, "prices", "price")
+    points = parse.points_of(parse.chart_points(documents), "prices")
     assert sorted(r["price"] for r in parse.quarantine(points).collect()) == [1.0, 2.0]
     assert chart_rows(spark, tmp_path, "coin_id", "price") == [("bitcoin", 3.0)]
 

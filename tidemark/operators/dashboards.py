@@ -55,7 +55,7 @@ def ohlc_dataset(
     rows = _as_timestamp(df).filter(F.col("timestamp").isNotNull()).select(
         "coin_id", "timestamp", "open_price", "high_price", "low_price", "close_price", "vs_currency", "etl_timestamp")
     kept = keep_one(rows, keys, ("etl_timestamp",), keep, rank_col="rn")
-    return kept.orderBy("timestamp") if sort else kept
+    return kept.orderBy("timestamp", "coin_id") if sort else kept
 
 
 def history_dataset(
@@ -65,7 +65,7 @@ def history_dataset(
     rows = _as_timestamp(df).filter(F.col("timestamp").isNotNull()).select(
         "coin_id", "timestamp", "price", "market_cap", "total_volume", "vs_currency", "etl_timestamp")
     kept = keep_one(rows, keys, ("etl_timestamp",), keep, rank_col="rn").drop("etl_timestamp")
-    return kept.orderBy("timestamp") if sort else kept
+    return kept.orderBy("timestamp", "coin_id") if sort else kept
 
 
 def candles(ohlc: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def filter_facet(
 
 
 def control_chart(forecasts: DataFrame) -> DataFrame:
-    return forecasts.select(*CONTROL_CHART_COLUMNS).orderBy("timestamp")
+    return forecasts.select(*CONTROL_CHART_COLUMNS).orderBy("timestamp", "coin_id", "vs_currency")
 
 
 def control_cards(forecasts: DataFrame) -> DataFrame:

@@ -8,12 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import epoch_ms_text
-from tidemark.operators.dedup import keep_one, CHART_KEY, dedup_ohlc
+from tidemark.operators.dedup import CHART_KEY, dedup_ohlc, keep_one
+from tidemark.session import materialize
 
 # Shapes of the documents, fixed values.
 ENVELOPE = "struct<endpoint:string, parameters:string, response:string>"
 CHART_PAYLOAD = ("struct<prices:array<array<double>>, market_caps:array<array<double>>, "
                  "total_volumes:array<array<double>>>")
+CHART_FIELDS = {"prices": "price", "market_caps": "market_cap", "total_volumes": "total_volume"}
 OHLC_PAYLOAD = "array<array<double>>"
 
 LINEAGE = ("etl_timestamp", "file_name", "file_modification_time",
@@ -23,16 +25,16 @@ CHART_COLUMNS = (*LINEAGE, "timestamp_unix_ms", "timestamp_raw", "timestamp", "p
 
 
 def open_envelopes(raw: DataFrame, payload: str, wanted: Column) -> DataFrame:
-    """Rows of ``raw`` that pass ``wanted`` and hold a response, with the payload parsed.
+    """Rows of ``raw`` that pass ``wanted`` and hold text, with the payload parsed.
 
-    The coin is element 2 of the endpoint split on ``/``. Lines that are not JSON give
-    an envelope of NULLs and drop out with the missing responses.
+    The coin is element 2 of the endpoint split on ``/``. A missing response, and a line
+    that is not JSON, leave the payload NULL; exploding it gives no rows. A filter on the
+    response here would parse every envelope twice.
     """
     wrapper = F.from_json("data", ENVELOPE)
     return (
         raw.filter(wanted & F.col("data").isNotNull())
         .select("etl_timestamp", "file_name", "file_modification_time", wrapper.alias("wrapper"))
-        .filter(F.col("wrapper.response").isNotNull())
         .select(
             "etl_timestamp", "file_name", "file_modification_time",
             F.col("wrapper.endpoint").alias("endpoint"),
@@ -52,6 +54,28 @@ def ohlc_documents(raw: DataFrame) -> DataFrame:
     return open_envelopes(raw, OHLC_PAYLOAD, F.col("file_name").like("%ohlc%"))
 
 
+def chart_points(documents: DataFrame) -> DataFrame:
+    """One row per ``[epoch_ms, value]`` point, with the array it stood in as ``field``.
+
+    All three arrays are exploded at once, so a document is read and parsed once.
+    """
+    missing = F.array().cast("array<array<double>>")
+
+    def tagged(field: str) -> Column:
+        return F.transform(F.coalesce(F.col(f"payload.{field}"), missing), lambda point: F.struct(
+            F.lit(field).alias("field"),
+            F.get(point, F.lit(0)).cast("long").alias("timestamp_unix_ms"),
+            F.get(point, F.lit(1)).alias("value")))
+
+    return documents.select(*LINEAGE, F.inline(F.concat(*[tagged(field) for field in CHART_FIELDS])))
+
+
+def points_of(points: DataFrame, field: str) -> DataFrame:
+    """The points of one array, the value under its column name."""
+    return points.filter(F.col("field") == field).select(
+        *LINEAGE, "timestamp_unix_ms", F.col("value").alias(CHART_FIELDS[field]))
+
+
 def usable(df: DataFrame) -> DataFrame:
     """Rows that belong to a coin and have an epoch."""
     return df.filter(F.col("coin_id").isNotNull() & F.col("timestamp_unix_ms").isNotNull())
@@ -62,17 +86,6 @@ def quarantine(df: DataFrame) -> DataFrame:
     return df.filter(F.col("coin_id").isNull() | F.col("timestamp_unix_ms").isNull())
 
 
-def explode_points(documents: DataFrame, field: str, name: str) -> DataFrame:
-    """One row per ``[epoch_ms, value]`` point of a payload array."""
-    return (
-        documents.filter(F.col(f"payload.{field}").isNotNull())
-        .select(*LINEAGE, F.explode(f"payload.{field}").alias("point"))
-        .select(*LINEAGE,
-                F.get("point", F.lit(0)).cast("long").alias("timestamp_unix_ms"),
-                F.get("point", F.lit(1)).alias(name))
-    )
-
-
 def _join_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Copies of the keys in which a missing text compares equal to a missing text."""
     types = dict(df.dtypes)
@@ -118,19 +131,17 @@ def with_times(df: DataFrame) -> DataFrame:
 def parse_chart(raw: DataFrame, keys: Sequence[str] = ALIGN_KEYS, dedup: bool = True) -> DataFrame:
     """Chart rows from raw documents: explode, keep one load per point, align, stamp.
 
+    The points are stored in between: three readers of a column table cost less than
+    three parses of the text.
+
     Copies are removed on the price side before the joins. The kept row does not depend
     on the attached values: rows that tie on every price-side column attach the same ones.
     """
-    documents = chart_documents(raw)
-    prices = usable(explode_points(documents, "prices", "price"))
+    points = materialize(chart_points(chart_documents(raw)), "points")
+    prices = usable(points_of(points, "prices"))
     if dedup:
         prices = keep_one(prices, CHART_KEY)
-    aligned = align_chart(
-        prices,
-        explode_points(documents, "market_caps", "market_cap"),
-        explode_points(documents, "total_volumes", "total_volume"),
-        keys,
-    )
+    aligned = align_chart(prices, points_of(points, "market_caps"), points_of(points, "total_volumes"), keys)
     return with_times(aligned).select(*CHART_COLUMNS)
 
 
@@ -138,8 +149,7 @@ def explode_ohlc(documents: DataFrame) -> DataFrame:
     """One row per ``[epoch_ms, open, high, low, close]`` record with all five elements."""
     names = ("open_price", "high_price", "low_price", "close_price")
     return (
-        documents.filter(F.col("payload").isNotNull())
-        .select(*LINEAGE, F.explode("payload").alias("record"))
+        documents.select(*LINEAGE, F.explode("payload").alias("record"))
         .filter(F.size("record") >= 5)
         .select(*LINEAGE, F.get("record", F.lit(0)).cast("long").alias("timestamp_unix_ms"),
                 *[F.get("record", F.lit(i + 1)).alias(name) for i, name in enumerate(names)])

@@ -119,11 +119,13 @@ def series_view(
     order_by: Sequence[str] = ("timestamp",),
     limit: int | None = None,
 ) -> DataFrame:
-    """The feed of a chart: some columns, some series, in order."""
+    """The feed of a chart: some columns, some series, in order (ties by the other columns)."""
     rows = df if series is None else df.filter(F.col("coin_id").isin(list(series)))
     if not_null:
         rows = rows.dropna(subset=list(not_null))
-    rows = rows.select(*columns).orderBy(*order_by) if order_by else rows.select(*columns)
+    rows = rows.select(*columns)
+    if order_by:
+        rows = rows.orderBy(*order_by, *[c for c in columns if c not in order_by])
     return rows if limit is None else rows.limit(limit)
 
 

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key of a join even where that costs an exchange further up.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -15,8 +15,8 @@ from tidemark.operators import features as feat
 from tidemark.operators import models, monitoring, quality, series
 from tidemark.operators.dedup import CHART_KEY, OHLC_KEY, keep_one
 from tidemark.operators.ordering import number_rows
-from tidemark.operators.parse import align_chart, chart_documents, explode_points, parse_chart, parse_ohlc, usable
-from tidemark.session import scratch_root
+from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, usable
+from tidemark.session import materialize, scratch_root
 from tidemark.sources.landing import peek_with_file, scan_landing
 from tidemark.sources.tables import load_source, row_count
 from workload import market as m
@@ -113,11 +113,9 @@ def _(spark, sf_dir):
 @query("chart_align")
 def _(spark, sf_dir):
     raw = scan_landing(spark, m.land_documents(spark, sf_dir, "market_chart", loads=1))
-    documents = chart_documents(raw)
+    points = materialize(chart_points(chart_documents(raw)), "points")
     return align_chart(
-        usable(explode_points(documents, "prices", "price")),
-        explode_points(documents, "market_caps", "market_cap"),
-        explode_points(documents, "total_volumes", "total_volume"),
+        usable(points_of(points, "prices")), points_of(points, "market_caps"), points_of(points, "total_volumes"),
         ["timestamp_unix_ms"],
     ).select("endpoint", "coin_id", "vs_currency", "timestamp_unix_ms", "price", "market_cap", "total_volume")
 
