@@ -147,14 +147,13 @@ def adf_statistic(
         """Normal equations over ``t >= start`` with columns 1, z[t-1], d[t-1] … d[t-lags]."""
         cross_d = np.empty((lags + 1, lags + 1))
         for k in range(lags + 1):
-            # Walk i upwards: u = t - i covers [start - i, n - 1 - i].
+            # With u = t - i, the terms of column pair (i, i + k) cover u in [start - i, n - 1 - i].
             first = d_head[1:start] * np.concatenate([np.zeros(min(k, start - 1)), d_head[1:max(start - k, 1)]])
             head_sums = np.concatenate([[0.0], np.cumsum(first)])
             ends = d_tail[k:] * d_tail[:len(d_tail) - k] if k < len(d_tail) else np.empty(0)
             tail_sums = np.concatenate([[0.0], np.cumsum(ends[::-1])])
-            for i in range(lags + 1 - k):
-                value = dd[k] - head_sums[start - i - 1] - tail_sums[i]
-                cross_d[i, i + k] = cross_d[i + k, i] = value
+            i = np.arange(lags + 1 - k)
+            cross_d[i, i + k] = cross_d[i + k, i] = dd[k] - head_sums[start - i - 1] - tail_sums[i]
         z_d = np.array([
             zd[j] - float(head[j:start - 1] @ d_head[1:start - j]) for j in range(lags + 1)])
         d_sum = np.array([z_at(n - 1 - j) - z_at(start - 1 - j) for j in range(lags + 1)])

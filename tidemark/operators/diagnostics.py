@@ -21,11 +21,19 @@ from tidemark.functions.statistics import (
     Z95, adf_p_value, adf_statistic, kpss_p_value, partial_autocorrelations, slope_p_value,
 )
 from tidemark.operators.ordering import (
-    BLOCK, HALO, INDEX, SeriesLayout, attach_stats, number_rows, running_total, spread_blocks, with_lookback,
+    BLOCK, HALO, INDEX, SeriesLayout, attach_stats, number_rows, spread_blocks, with_lookback,
 )
+from tidemark.session import materialize
 
 MAX_LAGS = 40
 SIGNIFICANCE = 0.05
+# The wording by which test rejects its null hypothesis.
+VERDICTS = {
+    "adf only": "Evidence favors stationarity",
+    "kpss only": "Evidence favors non-stationarity",
+    "both": "Conflicting evidence",
+    "neither": "Inconclusive",
+}
 
 
 def complete_rows(df: DataFrame, value: str = "price", time_col: str = "timestamp") -> DataFrame:
@@ -103,6 +111,12 @@ def _block_sums(
     )
 
 
+def _numbered_values(complete: DataFrame, layout: SeriesLayout, value: str) -> DataFrame:
+    """Series keys, index and value; nothing else is sorted or shuffled."""
+    needed = dict.fromkeys([*layout.group_cols, *layout.order_cols, value])
+    return number_rows(complete.select(*needed), layout).select(*layout.group_cols, INDEX, value)
+
+
 def _own_start(rows: pd.DataFrame) -> int:
     """Number of halo rows at the front of a block."""
     return int(rows[HALO].sum())
@@ -150,10 +164,11 @@ def adf_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataF
     follow from those sums. NULL where a series is too short or constant.
     """
     group = list(layout.group_cols)
-    numbered = number_rows(complete_rows(df, value), layout)
-    sizes = numbered.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.avg(value).alias("_mean")).withColumn(
-        "_max_lag", _adf_max_lag(F.col("_n")))
-    rows = attach_stats(numbered.select(*group, INDEX, value), sizes, layout).select(
+    complete = complete_rows(df, value)
+    sizes = materialize(
+        complete.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.avg(value).alias("_mean"))
+        .withColumn("_max_lag", _adf_max_lag(F.col("_n"))), "sizes")
+    rows = attach_stats(_numbered_values(complete, layout, value), sizes, layout).select(
         *group, INDEX, "_n", "_max_lag", (F.col(value) - F.col("_mean")).alias("_z"))
     # The longest series bounds every lag order, and so the halo.
     halo = int(np.ceil(12 * (layout.longest / 100) ** 0.25)) + 1
@@ -163,8 +178,10 @@ def adf_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataF
         T.StructField("adf_p_value", T.DoubleType()), T.StructField("adf_lags_used", T.LongType())])
 
     def solve(parts: pd.DataFrame) -> pd.DataFrame:
+        by_part = dict(list(parts.sort_values("lag").groupby("part")["amount"]))
+
         def values(part: str) -> np.ndarray:
-            return parts[parts["part"] == part].sort_values("lag")["amount"].to_numpy()
+            return by_part[part].to_numpy()
 
         found = adf_statistic(
             int(parts["_n"].iloc[0]), int(parts["_max_lag"].iloc[0]), values("dd"), values("zd"),
@@ -173,7 +190,13 @@ def adf_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataF
         row = [*key, None, None, None] if found is None else [*key, found[0], adf_p_value(found[0]), found[1]]
         return pd.DataFrame([row], columns=schema.names)
 
-    solved = sums.join(sizes.select(*group, "_n", "_max_lag"), group).groupBy(*group).applyInPandas(solve, schema)
+    # Few bytes but much arithmetic per series: a fixed number of partitions keeps adaptive
+    # execution from merging them into one task.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    solved = (
+        sums.join(sizes.select(*group, "_n", "_max_lag"), group).repartition(partitions, *group)
+        .groupBy(*group).applyInPandas(solve, schema)
+    )
     return sizes.select(*group).join(solved, group, "left").withColumn(
         "adf_reject_h0_5pct", F.col("adf_p_value") < SIGNIFICANCE)
 
@@ -181,8 +204,33 @@ def adf_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataF
 # KPSS
 
 def _kpss_first_sums(rows: pd.DataFrame) -> list[tuple[str, int, float]]:
+    """Autocovariance sums, and what a block adds to the squares of the running sum.
+
+    If the residuals before a block add up to ``c``, and ``s`` are its own running sums, the
+    block adds the sum of ``(c + s)**2``: its rows, ``s`` and ``s**2`` summed are enough.
+    """
     e, start = rows["_e"].to_numpy(), _own_start(rows)
-    return [("ee", k, _lagged_dot(e, e, start, k)) for k in range(int(rows["_cov_lags"].iloc[0]) + 1)]
+    if start == len(e):
+        return []
+    out = [("ee", k, _lagged_dot(e, e, start, k)) for k in range(int(rows["_cov_lags"].iloc[0]) + 1)]
+    block, walk = int(rows[BLOCK].iloc[0]), np.cumsum(e[start:])
+    return out + [("rows", block, float(len(walk))), ("end", block, float(walk[-1])),
+                  ("walk", block, float(walk.sum())), ("squares", block, float(walk @ walk))]
+
+
+def _walk_squares(sums: DataFrame, layout: SeriesLayout) -> DataFrame:
+    """Sum of squares of the running residual sum, from the parts of the blocks in order."""
+    group = list(layout.group_cols)
+
+    def part(name: str):
+        return F.sum(F.when(F.col("part") == name, F.col("amount"))).alias(f"_{name}")
+
+    blocks = sums.filter(F.col("part") != "ee").groupBy(*group, "lag").agg(
+        *[part(p) for p in ("rows", "end", "walk", "squares")])
+    earlier = Window.partitionBy(*group).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_start")
+    return blocks.withColumn("_start", F.coalesce(F.sum("_end").over(earlier), F.lit(0.0))).groupBy(*group).agg(
+        F.sum(F.col("_rows") * start * start + 2 * start * F.col("_walk") + F.col("_squares")).alias("_walk_squares"))
 
 
 def _kpss_window_sums(rows: pd.DataFrame) -> list[tuple[str, int, float]]:
@@ -218,23 +266,25 @@ def _kpss_p_level(statistic: pd.Series) -> pd.Series:
 def kpss_test(df: DataFrame, layout: SeriesLayout, value: str = "price", trend: bool = True) -> DataFrame:
     """KPSS test around a linear trend, or around the mean; automatic bandwidth."""
     group = list(layout.group_cols)
-    numbered = number_rows(complete_rows(df, value), layout).select(*group, INDEX, value)
+    complete = complete_rows(df, value)
+    numbered = _numbered_values(complete, layout, value)
     x, y, n = F.col(INDEX), F.col(value), F.col("_n")
     if trend:
-        line = (F.regr_intercept(y, x), F.regr_slope(y, x))
+        fits = numbered.groupBy(*group).agg(
+            F.count(y).alias("_n"), F.regr_intercept(y, x).alias("_a"), F.regr_slope(y, x).alias("_b"))
     else:
-        line = (F.avg(y), F.lit(0.0))
-    fits = numbered.groupBy(*group).agg(
-        F.count(y).alias("_n"), line[0].alias("_a"), line[1].alias("_b"),
-    ).withColumn("_cov_lags", F.floor(F.pow(n, F.lit(2.0 / 9.0))))
+        fits = complete.groupBy(*group).agg(F.count(y).alias("_n"), F.avg(y).alias("_a"), F.lit(0.0).alias("_b"))
+    fits = materialize(fits.withColumn("_cov_lags", F.floor(F.pow(n, F.lit(2.0 / 9.0)))), "fits")
     residuals = attach_stats(numbered, fits, layout).select(
-        *group, INDEX, "_n", "_cov_lags", (y - (F.col("_a") + F.col("_b") * x)).alias("_e"))
+        *group, INDEX, "_n", "_cov_lags", (y - (F.col("_a") + F.col("_b") * x)).alias("_e")
+    ).filter(F.col("_e").isNotNull())
 
     first_halo = int(max(layout.longest, 1) ** (2.0 / 9.0)) + 1
-    first = _block_sums(residuals, layout, first_halo, _kpss_first_sums)
+    # Small tables that several later steps read are stored, so the rows are not walked again.
+    first = materialize(_block_sums(residuals, layout, first_halo, _kpss_first_sums), "sums")
     # gamma_k enters s0 once for k = 0 and twice for k > 0; s1 weighs it by k.
     double = F.col("amount") * F.when(F.col("lag") == 0, 1).otherwise(2) / n
-    bandwidth = first.join(fits.select(*group, "_n"), group).groupBy(*group).agg(
+    bandwidth = first.filter(F.col("part") == "ee").join(fits.select(*group, "_n"), group).groupBy(*group).agg(
         F.first("_n").alias("_n"), F.sum(double).alias("_s0"), F.sum(double * F.col("lag")).alias("_s1"))
     ratio = F.try_divide(F.col("_s1"), F.col("_s0"))
     third = F.lit(1.0 / 3.0)
@@ -246,8 +296,7 @@ def kpss_test(df: DataFrame, layout: SeriesLayout, value: str = "price", trend:
         halo = int(chosen.agg(F.coalesce(F.max("kpss_lags_used"), F.lit(0))).first()[0]) + 1
     tagged = attach_stats(residuals, chosen, layout).filter(F.col("kpss_lags_used").isNotNull())
     spread_sums = _block_sums(tagged, layout, halo, _kpss_window_sums).select(*group, F.col("amount").alias("_windows"))
-    walks = running_total(residuals, layout, F.col("_e"), "_walk", "_all").groupBy(*group).agg(
-        F.sum(F.col("_walk") * F.col("_walk")).alias("_walk_squares"))
+    walks = _walk_squares(first, layout)
 
     variance = F.col("_windows") / (F.col("kpss_lags_used") + 1) / n
     return (
@@ -267,10 +316,8 @@ def stationarity(adf: DataFrame, kpss: DataFrame, layout: SeriesLayout) -> DataF
     a, k = F.col("adf_reject_h0_5pct"), F.col("kpss_reject_h0_5pct")
     return adf.join(kpss, list(layout.group_cols)).withColumn(
         "interpretation",
-        F.when(a & ~k, "Evidence favors stationarity")
-        .when(~a & k, "Evidence favors non-stationarity")
-        .when(a & k, "Conflicting evidence")
-        .when(~a & ~k, "Inconclusive"))
+        F.when(a & ~k, VERDICTS["adf only"]).when(~a & k, VERDICTS["kpss only"])
+        .when(a & k, VERDICTS["both"]).when(~a & ~k, VERDICTS["neither"]))
 
 
 def first_differences(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataFrame:
@@ -308,12 +355,13 @@ def acf(df: DataFrame, layout: SeriesLayout, value: str = "price", max_lags: int
     Values are centred once; the products of all lags are summed per block.
     """
     group = list(layout.group_cols)
-    numbered = number_rows(complete_rows(df, value), layout).select(*group, INDEX, value)
+    complete = complete_rows(df, value)
     n = F.col("n")
     lags = F.least(F.lit(max_lags), F.greatest(F.lit(1), F.floor(n / 2) - 1), n - 1).cast("int")
-    sizes = numbered.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(value).alias("_mean")).withColumn("_lags", lags)
-    centred = attach_stats(numbered, sizes, layout).filter(F.col("_lags").isNotNull()).select(
+    sizes = materialize(
+        complete.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("_mean"))
+        .withColumn("_lags", lags), "sizes")
+    centred = attach_stats(_numbered_values(complete, layout, value), sizes, layout).filter(F.col("_lags").isNotNull()).select(
         *group, INDEX, "_lags", (F.col(value) - F.col("_mean")).alias("_x"))
     products = _block_sums(centred, layout, max_lags, _acf_sums).join(sizes.select(*group, "n"), group)
 
