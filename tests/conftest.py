@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,7 @@ from tidemark.session import spark_session  # noqa: E402
 def spark():
     session = spark_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__driver__memory="8g")
+        spark__driver__memory="8g", spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="tidemark-warehouse-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -16,9 +16,7 @@ from tidemark.streaming.landing import land_new_files
 @pytest.fixture(scope="module")
 def namespace(spark):
     prefix = "tide_test"
-    for name in create_layers(spark, prefix):
-        for table in spark.catalog.listTables(name):
-            spark.sql(f"DROP TABLE {name}.{table.name}")
+    create_layers(spark, prefix)
     yield pipeline.Tables(prefix)
     for name in create_layers(spark, prefix):
         spark.sql(f"DROP DATABASE {name} CASCADE")
