@@ -192,7 +192,7 @@ def adf_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataF
 
     # Few bytes but much arithmetic per series: a fixed number of partitions keeps adaptive
     # execution from merging them into one task.
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), layout.series))
     solved = (
         sums.join(sizes.select(*group, "_n", "_max_lag"), group).repartition(partitions, *group)
         .groupBy(*group).applyInPandas(solve, schema)
