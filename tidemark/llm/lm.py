@@ -40,7 +40,7 @@ FILTER_BITS = 1 << 28
 PROBES = 3
 BASE_OF_LOG = 1.5
 BIGRAM_CUTOFF = 2
-MU = 20.0
+MU = 1000.0
 END, BEGIN = 0x0E4D0E4D0E4D0E4D, 0x0B360B360B360B36
 
 COUNTS = "part int, uni binary, uni_count binary, bits binary, tokens long, types long"
