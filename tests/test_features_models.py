@@ -27,7 +27,7 @@ def test_split_is_chronological_and_complete(data, table):
         usable = [i for i in range(12, len(prices)) if all(prices[i - k] is not None for k in LAGS)]
         assert counted[coin]["train_rows"] == int(len(usable) * 0.8)
         assert counted[coin]["test_rows"] == len(usable) - int(len(usable) * 0.8)
-    checked = monitoring.split_validation(table, ("coin_id", "vs_currency")).collect()
+    checked = monitoring.split_order(table).collect()
     assert all(r["valid_chronological_split"] for r in checked)
 
 
@@ -78,17 +78,35 @@ def test_series_of_edge_lengths(spark):
 
 
 def test_grouped_fit_equals_the_estimator(data, table):
+    """The Spark ML estimator, fitted to each series by itself, is the check of the grouped fit."""
+    from pyspark.ml.regression import LinearRegression
+
     _df, layout = data
     _fitted, predictions = models.score_all(table, layout)
     grouped = models.forecasts(predictions, layout).cache()
-    performance = {r["coin_id"]: r for r in models.model_performance(grouped).collect()}
     for coin in ("noise", "ar", "walk"):
-        model, single, metrics = models.train_series(table, layout, coin)
+        one = feat.assemble(table.filter(F.col("coin_id") == coin), models.scaled_names())
+        estimated = LinearRegression(labelCol="price", maxIter=100).fit(feat.train_rows(one)).transform(one)
+        keys = ["coin_id", "timestamp", "prediction"]
+        assert rows_of(grouped.filter(F.col("coin_id") == coin).select(*keys), 6) == rows_of(estimated.select(*keys), 6)
+
+
+def test_single_model_is_its_part_of_the_grouped_fit(data, table, tmp_path):
+    _df, layout = data
+    _fitted, predictions = models.score_all(table, layout)
+    grouped = models.forecasts(predictions, layout).cache()
+    performance = {r["coin_id"]: r for r in models.model_performance(grouped).collect()}
+    path = str(tmp_path / "model")
+    for coin in ("noise", "ar"):
+        fitted, single, metrics = models.single_model(
+            table, layout, {"coin_id": coin, "vs_currency": "usd"}, path=path)
         assert rows_of(grouped.filter(F.col("coin_id") == coin), 6) == rows_of(single, 6)
-        for name, value in metrics.items():
-            assert performance[coin][name] == pytest.approx(value, rel=1e-6, abs=1e-9)
-    with pytest.raises(ValueError, match="No training data"):
-        models.train_series(table, layout, "absent")
+        row = metrics.first()
+        for name in ("rmse", "mae", "r2"):
+            assert performance[coin][name] == pytest.approx(row[name], rel=1e-6, abs=1e-9)
+        assert rows_of(table.sparkSession.read.parquet(path), 6) == rows_of(fitted, 6)
+    with pytest.raises(ValueError, match="no rows"):
+        models.single_model(table, layout, {"coin_id": "absent"})
 
 
 def test_nearly_collinear_and_repeated_features(spark):
@@ -118,15 +136,6 @@ def test_limits_come_from_training_residuals(data, table):
     assert row["ucl"] - row["lcl"] == pytest.approx(6 * row["residual_std"])
 
 
-def test_model_directory_round_trip(data, table, tmp_path):
-    from pyspark.ml.regression import LinearRegressionModel
-
-    model, _forecasts, _metrics = models.train_series(table, data[1], "noise")
-    for _ in range(2):
-        models.save_model(model, str(tmp_path / "m"))
-    assert LinearRegressionModel.load(str(tmp_path / "m")).intercept == model.intercept
-
-
 def test_vector_holds_the_scaled_columns(data):
     from pyspark.ml.functions import vector_to_array
 

@@ -50,7 +50,7 @@ def test_blocks_equal_plain(data, case):
 @pytest.mark.parametrize("case", ["number_rows", "split", "features", "kpss_trend", "box_plot"])
 def test_shuffled_joins_equal_broadcast(data, case):
     df, plain, blocks = data
-    assert not replace(blocks, broadcast_bytes=0).stats_fit_broadcast
+    assert not replace(blocks, broadcast_bytes=0).fits_broadcast(df.select("coin_id", "price"), blocks.series)
     expected = rows_of(CASES[case](df, plain), 6)
     assert rows_of(CASES[case](df, replace(plain, broadcast_bytes=0)), 6) == expected
     assert rows_of(CASES[case](df, replace(blocks, broadcast_bytes=0)), 6) == expected

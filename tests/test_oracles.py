@@ -4,6 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -15,17 +17,18 @@ def con():
 
 def test_keys_match():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    found = compare.differences(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name])
+    found = compare.differences(QUERIES[name](spark, SF_DIR), con, ORACLES[name])
     assert not found, "\n".join(found)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_runs(spark, name):
-    assert entry.queries()[name](spark, SF_DIR).count() > 0
+    assert QUERIES[name](spark, SF_DIR).count() > 0
 
 
 def test_entry(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,3 +15,8 @@ def correlation(x: str, y: str) -> Column:
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     spread = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
     return F.try_divide(F.covar_pop(x, y), spread)
+
+
+def limited(df: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of an ordered report; all of them for None."""
+    return df if limit is None else df.limit(limit)

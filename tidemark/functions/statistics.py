@@ -20,8 +20,10 @@ KPSS_LEVEL = (0.347, 0.463, 0.574, 0.739)
 KPSS_TREND = (0.119, 0.146, 0.176, 0.216)
 # Smallest eigenvalue, relative to the largest, that still counts as information.
 RANK_TOLERANCE = 1e-13
-# From here on Student's t is evaluated through a normal approximation.
-LARGE_DF = 1e6
+# Gauss-Legendre nodes on [0, 1] for each of the panels of an integral.
+PANELS = 64
+NODES, WEIGHTS = (x / 2 for x in np.polynomial.legendre.leggauss(16))
+NODES = NODES + 0.5
 
 
 def solve_centred(cross: pd.Series, target: pd.Series, means: pd.Series, label_mean: pd.Series) -> pd.Series:
@@ -37,56 +39,53 @@ def solve_centred(cross: pd.Series, target: pd.Series, means: pd.Series, label_m
     return pd.Series(list(np.column_stack([intercept, slopes])))
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function, by Lentz's method."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    value = d
-    for m in range(1, 20_000):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        for term in (even, odd):
-            d = 1.0 + term * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + term / c
-            c = c if abs(c) > tiny else tiny
-            value *= d * c
-        if abs(d * c - 1.0) < 1e-15:
-            break
-    return value
-
-
-def incomplete_beta(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta function."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                     + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _beta_fraction(a, b, x) / a
-    return 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-
-
-def student_two_sided(t: float, df: float) -> float:
-    """Two-sided p-value of Student's t."""
-    if df > LARGE_DF:
-        z = abs(t) * (1 - 1 / (4 * df)) / math.sqrt(1 + t * t / (2 * df))
-        return math.erfc(z / math.sqrt(2))
-    return incomplete_beta(df / 2, 0.5, df / (df + t * t))
-
+def student_two_sided(t: np.ndarray, df: np.ndarray) -> np.ndarray:
+    """Two-sided p-values of Student's t, by one formula for all degrees of freedom (1 or more).
 
-def slope_p_value(r: float | None, n: int, slope: float | None = None) -> float | None:
-    """p-value of a zero slope from the correlation of ``n`` points."""
-    if r is None or math.isnan(r) or n < 2:
-        return None
-    if n == 2:
-        return 1.0 if slope == 0 else 0.0
-    df, tiny = n - 2, 1e-20
-    r = max(-1.0, min(1.0, r))
-    return student_two_sided(r * math.sqrt(df / ((1 - r + tiny) * (1 + r + tiny))), df)
+    With ``t = sqrt(df) tan(a)`` the density becomes a power of the cosine, so the p-value is the share of
+    ``cos(a) ** (df - 1)`` beyond ``a``. Tail and centre are integrated with the same nodes after
+    the step ``a = s / sqrt(df)``, in which the integrand keeps a Gaussian shape however large ``df`` is.
+    """
+    t, df = np.abs(np.asarray(t, dtype=float))[:, None], np.asarray(df, dtype=float)[:, None]
+    root = np.sqrt(df)
+    start, end = root * np.arctan(t / root), root * (np.pi / 2)
+
+    def area(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        # Relative to the value at the low end, which keeps far tails from underflowing.
+        width = (high - low) / PANELS
+        at = (low + width * np.arange(PANELS)[None, :])[:, :, None] + width[:, :, None] * NODES
+        with np.errstate(divide="ignore"):
+            power = (df - 1)[:, :, None] * (_log_cos(at / root[:, :, None]) - _log_cos(low / root)[:, :, None])
+        return (np.exp(power) @ WEIGHTS * width).sum(axis=1, keepdims=True)
+
+    def reach(low: np.ndarray) -> np.ndarray:
+        # Beyond 13 widths of the Gaussian nothing is left; where the range is shorter it is taken whole.
+        return np.minimum(end, low + 13.0)
+
+    front = np.exp((df - 1) * _log_cos(start / root))
+    tail, whole = front * area(start, reach(start)), area(np.zeros_like(start), reach(np.zeros_like(start)))
+    return np.clip(tail / whole, 0.0, 1.0)[:, 0]
+
+
+def _log_cos(angle: np.ndarray) -> np.ndarray:
+    """Log of the cosine, exact near 0 where the cosine itself rounds to 1."""
+    half = np.sin(angle / 2)
+    return np.log1p(-2 * half * half)
+
+
+def slope_p_values(r: np.ndarray, n: np.ndarray, slope: np.ndarray) -> np.ndarray:
+    """p-values of zero slopes from correlations of ``n`` points; NaN where there is none."""
+    r, n, slope = (np.asarray(x, dtype=float) for x in (r, n, slope))
+    df, tiny = np.maximum(n - 2, 1), 1e-20
+    bounded = np.clip(r, -1.0, 1.0)
+    t = bounded * np.sqrt(df / ((1 - bounded + tiny) * (1 + bounded + tiny)))
+    p = np.full(len(r), np.nan)
+    known = ~np.isnan(r) & (n > 2)
+    if known.any():
+        p[known] = student_two_sided(t[known], df[known])
+    two = ~np.isnan(r) & (n == 2)
+    p[two] = np.where(slope[two] == 0, 1.0, 0.0)
+    return p
 
 
 def normal_cdf(x: float) -> float:
@@ -103,11 +102,6 @@ def adf_p_value(tau: float) -> float:
     return normal_cdf(sum(c * tau**i for i, c in enumerate(terms)))
 
 
-def kpss_p_value(statistic: float, trend: bool) -> float:
-    """p-value interpolated between the tabulated ones, which also bound it."""
-    return float(np.interp(statistic, KPSS_TREND if trend else KPSS_LEVEL, KPSS_P))
-
-
 def partial_autocorrelations(acf: Sequence[float]) -> list[float]:
     """Durbin-Levinson recursion on autocorrelations of lags 1, 2, …"""
     r = np.asarray(acf, dtype=float)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import keep_one
-from tidemark.operators.monitoring import flag_out_of_control
+from tidemark.operators.monitoring import is_beyond_limits
 
 DASH_KEY = ("coin_id", "timestamp")
 CONTROL_CHART_COLUMNS = (
@@ -108,7 +108,7 @@ def control_chart(forecasts: DataFrame) -> DataFrame:
 
 def control_cards(forecasts: DataFrame) -> DataFrame:
     """Number of rows and of rows beyond the control limits."""
-    return flag_out_of_control(forecasts).agg(
+    return forecasts.agg(
         F.count(F.lit(1)).alias("total_observations"),
-        F.count_if(F.col("beyond_control_limit")).alias("out_of_control_points"),
+        F.count_if(is_beyond_limits()).alias("out_of_control_points"),
     )

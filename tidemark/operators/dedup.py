@@ -37,11 +37,6 @@ def keep_one(
     return kept if rank_col else kept.drop(name)
 
 
-def dedup_chart(df: DataFrame) -> DataFrame:
-    """One row per (series, millisecond, price): the earliest load."""
-    return keep_one(df, CHART_KEY)
-
-
 def dedup_ohlc(df: DataFrame) -> DataFrame:
     """One row per (series, millisecond, four prices): the earliest load."""
     return keep_one(df, OHLC_KEY)

@@ -11,17 +11,17 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.functions.columns import correlation
 from tidemark.functions.statistics import (
-    Z95, adf_p_value, adf_statistic, kpss_p_value, partial_autocorrelations, slope_p_value,
+    KPSS_LEVEL, KPSS_P, KPSS_TREND, Z95, adf_p_value, adf_statistic, partial_autocorrelations, slope_p_values,
 )
 from tidemark.operators.ordering import (
-    BLOCK, HALO, INDEX, SeriesLayout, attach_stats, number_rows, spread_blocks, with_lookback,
+    BLOCK, HALO, INDEX, SeriesLayout, attach_stats, join_series, number_rows, spread_blocks, with_lookback,
 )
 from tidemark.session import materialize
 
@@ -61,7 +61,7 @@ def trend_fit(numbered: DataFrame, layout: SeriesLayout, value: str = "price") -
 
 @F.pandas_udf(T.DoubleType())
 def _slope_p(r: pd.Series, n: pd.Series, slope: pd.Series) -> pd.Series:
-    return pd.Series([slope_p_value(a, int(b), c) for a, b, c in zip(r, n, slope)], dtype="float64")
+    return pd.Series(slope_p_values(r.to_numpy(), n.to_numpy(), slope.to_numpy()))
 
 
 def trend_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataFrame:
@@ -194,10 +194,10 @@ def adf_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataF
     # execution from merging them into one task.
     partitions = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), layout.series))
     solved = (
-        sums.join(sizes.select(*group, "_n", "_max_lag"), group).repartition(partitions, *group)
+        join_series(sums, sizes.select(*group, "_n", "_max_lag"), group).repartition(partitions, *group)
         .groupBy(*group).applyInPandas(solve, schema)
     )
-    return sizes.select(*group).join(solved, group, "left").withColumn(
+    return join_series(sizes.select(*group), solved, group, "left").withColumn(
         "adf_reject_h0_5pct", F.col("adf_p_value") < SIGNIFICANCE)
 
 
@@ -253,14 +253,13 @@ def _kpss_window_sums(rows: pd.DataFrame) -> list[tuple[str, int, float]]:
     return [("windows", 0, total)]
 
 
-@F.pandas_udf(T.DoubleType())
-def _kpss_p_trend(statistic: pd.Series) -> pd.Series:
-    return statistic.map(lambda s: kpss_p_value(s, True), na_action="ignore").astype("float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _kpss_p_level(statistic: pd.Series) -> pd.Series:
-    return statistic.map(lambda s: kpss_p_value(s, False), na_action="ignore").astype("float64")
+def kpss_p_value(statistic: Column, trend: bool) -> Column:
+    """p-value interpolated between the tabulated ones, which also bound it."""
+    at = KPSS_TREND if trend else KPSS_LEVEL
+    p = F.when(statistic <= at[0], KPSS_P[0])
+    for low, high, p_low, p_high in zip(at, at[1:], KPSS_P, KPSS_P[1:]):
+        p = p.when(statistic <= high, p_low + (p_high - p_low) * (statistic - low) / (high - low))
+    return p.when(statistic > at[-1], KPSS_P[-1])
 
 
 def kpss_test(df: DataFrame, layout: SeriesLayout, value: str = "price", trend: bool = True) -> DataFrame:
@@ -284,7 +283,7 @@ def kpss_test(df: DataFrame, layout: SeriesLayout, value: str = "price", trend:
     first = materialize(_block_sums(residuals, layout, first_halo, _kpss_first_sums), "sums")
     # gamma_k enters s0 once for k = 0 and twice for k > 0; s1 weighs it by k.
     double = F.col("amount") * F.when(F.col("lag") == 0, 1).otherwise(2) / n
-    bandwidth = first.filter(F.col("part") == "ee").join(fits.select(*group, "_n"), group).groupBy(*group).agg(
+    bandwidth = join_series(first.filter(F.col("part") == "ee"), fits.select(*group, "_n"), group).groupBy(*group).agg(
         F.first("_n").alias("_n"), F.sum(double).alias("_s0"), F.sum(double * F.col("lag")).alias("_s1"))
     ratio = F.try_divide(F.col("_s1"), F.col("_s0"))
     third = F.lit(1.0 / 3.0)
@@ -299,11 +298,13 @@ def kpss_test(df: DataFrame, layout: SeriesLayout, value: str = "price", trend:
     walks = _walk_squares(first, layout)
 
     variance = F.col("_windows") / (F.col("kpss_lags_used") + 1) / n
+    joined = fits.select(*group, "_n")
+    for side in (walks, chosen, spread_sums):
+        joined = join_series(joined, side, group, "left")
     return (
-        fits.select(*group, "_n").join(walks, group, "left").join(chosen, group, "left")
-        .join(spread_sums, group, "left")
+        joined
         .withColumn("kpss_statistic", F.try_divide(F.col("_walk_squares") / (n * n), variance))
-        .withColumn("kpss_p_value", (_kpss_p_trend if trend else _kpss_p_level)(F.col("kpss_statistic")))
+        .withColumn("kpss_p_value", kpss_p_value(F.col("kpss_statistic"), trend))
         .select(*group, "kpss_statistic", "kpss_p_value", "kpss_lags_used",
                 (F.col("kpss_p_value") < SIGNIFICANCE).alias("kpss_reject_h0_5pct"))
     )
@@ -314,7 +315,7 @@ def kpss_test(df: DataFrame, layout: SeriesLayout, value: str = "price", trend:
 def stationarity(adf: DataFrame, kpss: DataFrame, layout: SeriesLayout) -> DataFrame:
     """Both tests side by side, and what they say together."""
     a, k = F.col("adf_reject_h0_5pct"), F.col("kpss_reject_h0_5pct")
-    return adf.join(kpss, list(layout.group_cols)).withColumn(
+    return join_series(adf, kpss, layout.group_cols).withColumn(
         "interpretation",
         F.when(a & ~k, VERDICTS["adf only"]).when(~a & k, VERDICTS["kpss only"])
         .when(a & k, VERDICTS["both"]).when(~a & ~k, VERDICTS["neither"]))
@@ -334,7 +335,7 @@ def diff_stationarity(df: DataFrame, layout: SeriesLayout, value: str = "price")
     changed = first_differences(df, layout, value)
     adf = adf_test(changed, layout, "_difference")
     kpss = kpss_test(changed, layout, "_difference", trend=False)
-    return adf.join(kpss, list(layout.group_cols)).select(
+    return join_series(adf, kpss, layout.group_cols).select(
         *layout.group_cols,
         F.col("adf_p_value").alias("adf_p_value_diff_price"),
         F.col("kpss_p_value").alias("kpss_p_value_diff_price"),
@@ -363,7 +364,8 @@ def acf(df: DataFrame, layout: SeriesLayout, value: str = "price", max_lags: int
         .withColumn("_lags", lags), "sizes")
     centred = attach_stats(_numbered_values(complete, layout, value), sizes, layout).filter(F.col("_lags").isNotNull()).select(
         *group, INDEX, "_lags", (F.col(value) - F.col("_mean")).alias("_x"))
-    products = _block_sums(centred, layout, max_lags, _acf_sums).join(sizes.select(*group, "n"), group)
+    products = _block_sums(centred, layout, max_lags, _acf_sums)
+    products = join_series(products, sizes.select(*group, "n"), group)
 
     # At most max_lags + 1 rows per series from here on.
     in_order = Window.partitionBy(*group).orderBy("lag")

@@ -23,6 +23,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.session import materialize
 
@@ -34,7 +35,9 @@ PLAIN_LIMIT = 2_000_000
 ROWS_PER_BLOCK = 262_144
 # Per-series tables (means, limits, coefficients) are broadcast up to this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
-STATS_ROW_BYTES = 512
+ROW_BYTES, NUMBER_BYTES = 16, 8
+
+FIXED_SIZE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 INDEX = "_idx"
 BLOCK = "_block"
@@ -59,13 +62,12 @@ class SeriesLayout:
     def blocked(self) -> bool:
         return self.longest > self.plain_limit
 
-    def fits_broadcast(self, table_rows: int) -> bool:
-        """Whether a table of ``table_rows`` rows of series keys and numbers is small."""
-        return table_rows * (self.key_bytes + STATS_ROW_BYTES) <= self.broadcast_bytes
-
-    @property
-    def stats_fit_broadcast(self) -> bool:
-        return self.fits_broadcast(self.series)
+    def fits_broadcast(self, side: DataFrame, rows: int) -> bool:
+        """Whether ``rows`` rows of series keys and fixed-size columns are small; other columns have no known size."""
+        rest = [f.dataType for f in side.schema.fields if f.name not in self.group_cols]
+        if not all(isinstance(t, FIXED_SIZE) for t in rest):
+            return False
+        return rows * (ROW_BYTES + self.key_bytes + NUMBER_BYTES * len(rest)) <= self.broadcast_bytes
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.group_cols).orderBy(*self.order_cols)
@@ -101,13 +103,12 @@ def measure_series(
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, layout: SeriesLayout) -> DataFrame:
-    """Left join of one-row-per-series ``stats``.
+    """Left join of one-row-per-series ``stats``; a missing key part is a key like any other.
 
-    Broadcast when the measured number of series bounds its size; beyond that a
-    shuffled join, whose hot series adaptive execution splits at run time.
+    Broadcast when the measured number of series and the columns of ``stats`` bound its size;
+    beyond that a shuffled join, whose hot series adaptive execution splits at run time.
     """
-    side = F.broadcast(stats) if layout.stats_fit_broadcast else stats
-    return df.join(side, list(layout.group_cols), "left")
+    return join_series(df, stats, layout.group_cols, "left", layout.fits_broadcast(stats, layout.series))
 
 
 def number_rows(df: DataFrame, layout: SeriesLayout, name: str = INDEX) -> DataFrame:
@@ -131,8 +132,8 @@ def number_rows(df: DataFrame, layout: SeriesLayout, name: str = INDEX) -> DataF
                 F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    small = layout.fits_broadcast(layout.series + partitions)
-    return _join_null_safe(stored, runs, [*layout.group_cols, "_part"], small).select(
+    small = layout.fits_broadcast(runs, layout.series + partitions)
+    return join_series(stored, runs, [*layout.group_cols, "_part"], small=small).select(
         *df.columns, (F.col("_at") - F.col("_first") + F.col("_before")).alias(name))
 
 
@@ -202,19 +203,22 @@ def running_total(
     )
     placed = stored.withColumn("_in_block", F.sum("_amount").over(along))
     return (
-        _join_null_safe(placed, offsets, [*group, BLOCK], layout.fits_broadcast(layout.series + layout.rows // size))
+        join_series(placed, offsets, [*group, BLOCK],
+                    small=layout.fits_broadcast(offsets, layout.series + layout.rows // size))
         .withColumn(running, F.col("_in_block") + F.col("_before"))
         .drop("_before", "_in_block", "_amount", BLOCK, INDEX)
     )
 
 
-def _join_null_safe(df: DataFrame, side: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Inner join in which NULL keys meet, keeping ``df``'s key columns."""
+def join_series(
+    df: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner", small: bool = False
+) -> DataFrame:
+    """Join in which NULL keys meet, as they do in ``groupBy``, keeping ``df``'s key columns."""
     renamed = side.withColumnsRenamed({k: f"_side_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_side_{k}"))
-    joined = df.join(F.broadcast(renamed) if small else renamed, condition, "inner")
+    joined = df.join(F.broadcast(renamed) if small else renamed, condition, how)
     return joined.drop(*[f"_side_{k}" for k in keys])
 
 
@@ -231,8 +235,9 @@ def series_quantiles(
     group = list(layout.group_cols)
     rows = df.filter(F.col(value).isNotNull()).select(*group, value)
     if not layout.blocked:
-        return rows.groupBy(*group).agg(
-            *[F.percentile(value, F.lit(q)).alias(name) for name, q in quantiles.items()])
+        # One map of the values serves all quantiles.
+        found = rows.groupBy(*group).agg(F.percentile(value, F.array(*map(F.lit, quantiles.values()))).alias("_at"))
+        return found.select(*group, *[F.get("_at", F.lit(i)).alias(name) for i, name in enumerate(quantiles)])
 
     counted = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_copies"))
     by_value = layout.ordered_by(value)

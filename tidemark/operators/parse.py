@@ -17,6 +17,8 @@ CHART_PAYLOAD = ("struct<prices:array<array<double>>, market_caps:array<array<do
                  "total_volumes:array<array<double>>>")
 CHART_FIELDS = {"prices": "price", "market_caps": "market_cap", "total_volumes": "total_volume"}
 OHLC_PAYLOAD = "array<array<double>>"
+# Milliseconds of the years 1 and 9999, between which an epoch has a timestamp and a text.
+EPOCH_MIN, EPOCH_MAX = -62_135_596_800_000, 253_402_300_799_999
 
 LINEAGE = ("etl_timestamp", "file_name", "file_modification_time",
            "endpoint", "coin_id", "vs_currency", "days")
@@ -46,6 +48,12 @@ def open_envelopes(raw: DataFrame, payload: str, wanted: Column) -> DataFrame:
     )
 
 
+def epoch_ms(number: Column) -> Column:
+    """Whole milliseconds; NULL for what is no point in time, so that one bad record stops nothing."""
+    # NaN and infinities compare as larger than any number.
+    return F.when((number >= EPOCH_MIN) & (number <= EPOCH_MAX), number.try_cast("long"))
+
+
 def chart_documents(raw: DataFrame) -> DataFrame:
     return open_envelopes(raw, CHART_PAYLOAD, F.contains(F.col("file_name"), F.lit("market_chart")))
 
@@ -64,7 +72,7 @@ def chart_points(documents: DataFrame) -> DataFrame:
     def tagged(field: str) -> Column:
         return F.transform(F.coalesce(F.col(f"payload.{field}"), missing), lambda point: F.struct(
             F.lit(field).alias("field"),
-            F.get(point, F.lit(0)).cast("long").alias("timestamp_unix_ms"),
+            epoch_ms(F.get(point, F.lit(0))).alias("timestamp_unix_ms"),
             F.get(point, F.lit(1)).alias("value")))
 
     return documents.select(*LINEAGE, F.inline(F.concat(*[tagged(field) for field in CHART_FIELDS])))
@@ -82,10 +90,29 @@ def usable(df: DataFrame) -> DataFrame:
 
 
 def quarantine(df: DataFrame) -> DataFrame:
-    """Rows left out of the tables: no coin in the endpoint, or no epoch."""
+    """Rows left out of the tables: no coin in the endpoint, or no usable epoch."""
     return df.filter(F.col("coin_id").isNull() | F.col("timestamp_unix_ms").isNull())
 
 
+def quarantined(raw: DataFrame) -> DataFrame:
+    """What parsing leaves out of the tables, with where it came from and why.
+
+    Chart points and OHLC records without a coin or a usable epoch, and OHLC records of fewer than five
+    elements. ``record`` is the point as it stands in the document.
+    """
+    def rows(documents: DataFrame, kind: str, records: Column, short: int) -> DataFrame:
+        epoch = epoch_ms(F.get("record", F.lit(0)))
+        reason = (F.when(F.col("coin_id").isNull(), "no coin").when(F.col("record").isNull(), "no record")
+                  .when(F.size("record") < short, "short record").when(epoch.isNull(), "no epoch"))
+        return (documents.select(*LINEAGE, F.explode(records).alias("record"))
+                .withColumn("reason", reason).filter(F.col("reason").isNotNull())
+                .select(*LINEAGE, F.lit(kind).alias("kind"), F.to_json("record").alias("record"), "reason"))
+
+    arrays = F.concat(*[F.coalesce(F.col(f"payload.{field}"), F.array().cast("array<array<double>>")) for field in CHART_FIELDS])
+    return rows(chart_documents(raw), "market_chart", arrays, 0).unionByName(
+        rows(ohlc_documents(raw), "ohlc", F.col("payload"), 5))
+
+
 def _join_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Copies of the keys in which a missing text compares equal to a missing text."""
     types = dict(df.dtypes)
@@ -151,7 +178,7 @@ def explode_ohlc(documents: DataFrame) -> DataFrame:
     return (
         documents.select(*LINEAGE, F.explode("payload").alias("record"))
         .filter(F.size("record") >= 5)
-        .select(*LINEAGE, F.get("record", F.lit(0)).cast("long").alias("timestamp_unix_ms"),
+        .select(*LINEAGE, epoch_ms(F.get("record", F.lit(0))).alias("timestamp_unix_ms"),
                 *[F.get("record", F.lit(i + 1)).alias(name) for i, name in enumerate(names)])
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import limited
 from tidemark.functions.timestamps import parse_text
 from tidemark.operators.ordering import GROUP_COLS
 from tidemark.operators.series import EXPECTED_MINUTES
@@ -29,14 +30,15 @@ def timestamp_parse_report(df: DataFrame) -> DataFrame:
 
 
 def coverage(
-    df: DataFrame, by: Sequence[str] = GROUP_COLS, time_col: str = "timestamp", distinct: bool = True
+    df: DataFrame, by: Sequence[str] = GROUP_COLS, time_col: str = "timestamp", distinct: bool = True,
+    limit: int | None = None,
 ) -> DataFrame:
     """Rows, distinct timestamps, first and last timestamp per series."""
     columns = [F.count(F.lit(1)).alias("observations")]
     if distinct:
         columns.append(F.count_distinct(time_col).alias("unique_timestamps"))
     columns += [F.min(time_col).alias("start_timestamp"), F.max(time_col).alias("end_timestamp")]
-    return df.groupBy(*by).agg(*columns).orderBy(*by)
+    return limited(df.groupBy(*by).agg(*columns).orderBy(*by), limit)
 
 
 def null_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,7 +52,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = (*GROUP_COLS, "timestamp
 
 
 def cadence_summary(
-    intervals: DataFrame, by: Sequence[str] = GROUP_COLS, expected: float | None = EXPECTED_MINUTES
+    intervals: DataFrame, by: Sequence[str] = GROUP_COLS, expected: float | None = EXPECTED_MINUTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """Number, mean, median, smallest and largest interval, and how many exceed the cadence."""
     minutes = F.col("interval_minutes")
@@ -63,13 +66,12 @@ def cadence_summary(
     ]
     if expected is not None:
         columns.append(F.count_if(minutes > expected).alias("intervals_above_expected"))
-    return intervals.filter(minutes.isNotNull()).groupBy(*by).agg(*columns)
+    return limited(intervals.filter(minutes.isNotNull()).groupBy(*by).agg(*columns).orderBy(*by), limit)
 
 
-def interval_frequency(intervals: DataFrame, by: Sequence[str] = GROUP_COLS) -> DataFrame:
+def interval_frequency(
+    intervals: DataFrame, by: Sequence[str] = GROUP_COLS, limit: int | None = None
+) -> DataFrame:
     """How often each interval occurs, most frequent first within a coin."""
-    return (
-        intervals.filter(F.col("interval_minutes").isNotNull())
-        .groupBy(*by, "interval_minutes").count()
-        .orderBy(by[0], F.desc("count"), *by[1:], "interval_minutes")
-    )
+    counts = intervals.filter(F.col("interval_minutes").isNotNull()).groupBy(*by, "interval_minutes").count()
+    return limited(counts.orderBy(by[0], F.desc("count"), *by[1:], "interval_minutes"), limit)

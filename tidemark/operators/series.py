@@ -7,8 +7,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import limited
 from tidemark.functions.timestamps import minutes_between
-from tidemark.operators.ordering import SeriesLayout, with_lookback
+from tidemark.operators.ordering import GROUP_COLS, SeriesLayout, with_lookback
 
 # Fixed values of the workload.
 LAGS = (1, 2, 3, 6, 12)
@@ -63,13 +64,11 @@ def add_intervals(df: DataFrame, layout: SeriesLayout, time_col: str = "timestam
     return with_lookback(df.filter(F.col(time_col).isNotNull()), layout, 1, columns)
 
 
-def time_gaps(intervals: DataFrame, expected: float = EXPECTED_MINUTES) -> DataFrame:
+def time_gaps(intervals: DataFrame, expected: float = EXPECTED_MINUTES, limit: int | None = None) -> DataFrame:
     """Intervals above the expected cadence, largest first."""
-    return (
-        intervals.filter(F.col("interval_minutes") > expected)
-        .select("coin_id", "previous_timestamp", "timestamp", "interval_minutes")
-        .orderBy(F.desc("interval_minutes"), "coin_id", "timestamp")
-    )
+    gaps = intervals.filter(F.col("interval_minutes") > expected).select(
+        *GROUP_COLS, "previous_timestamp", "timestamp", "interval_minutes")
+    return limited(gaps.orderBy(F.desc("interval_minutes"), *GROUP_COLS, "timestamp"), limit)
 
 
 def add_rolling_price(

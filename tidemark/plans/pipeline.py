@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import features as feat
 from tidemark.operators import models
 from tidemark.operators.ordering import ORDER_COLS, SeriesLayout, measure_series
-from tidemark.operators.parse import ALIGN_KEYS, parse_chart, parse_ohlc
+from tidemark.operators.parse import ALIGN_KEYS, parse_chart, parse_ohlc, quarantined
 from tidemark.operators.series import LAGS
 from tidemark.sources.landing import scan_landing
 from tidemark.sources.tables import create_layers, layer_name, load_source, save_table
@@ -44,6 +44,10 @@ class Tables:
     def ohlc(self) -> str:
         return self._name("processed", "coin_ohlc")
 
+    @property
+    def quarantine(self) -> str:
+        return self._name("processed", "quarantine")
+
     @property
     def features(self) -> str:
         return self._name("features", "coin_forecast_features")
@@ -76,6 +80,11 @@ def process_ohlc(spark: SparkSession, source: Tables, target: Tables) -> DataFra
     return save_table(parse_ohlc(spark.table(source.raw)), target.ohlc, "Open, high, low and close prices")
 
 
+def process_quarantine(spark: SparkSession, source: Tables, target: Tables) -> DataFrame:
+    """What parsing leaves out of the chart and OHLC tables."""
+    return save_table(quarantined(spark.table(source.raw)), target.quarantine, "Records that parsing left out")
+
+
 def create_features(
     spark: SparkSession, source: Tables, target: Tables,
     lags: Sequence[int] = LAGS, ratio: float = feat.TRAIN_RATIO, vector: bool = False,
@@ -89,12 +98,13 @@ def create_features(
 
 def train(
     spark: SparkSession, source: Tables, target: Tables, layout: SeriesLayout | None = None,
-    vs_currency: str | None = "usd", model_base: str = "models", lags: Sequence[int] = LAGS, strict: bool = False,
+    vs_currency: str | None = None, model_base: str = "models", lags: Sequence[int] = LAGS, strict: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Models, their performance and the forecasts of every series of a currency.
+    """Models, their performance and the forecasts of every series, or of those of one currency.
 
-    All series are fitted in one job. Series with no training or no test rows take no
-    part, as ``series_status`` shows; ``strict`` raises for them instead.
+    All series are fitted in one job. A series without training rows gets no model and NULL
+    predictions; one without test rows gets NULL test metrics. ``series_status`` names both;
+    ``strict`` raises for them instead.
     """
     table = spark.table(source.features)
     if vs_currency is not None:
@@ -113,11 +123,15 @@ def train(
     return performance, forecasts
 
 
-def run(spark: SparkSession, landing: str, source: Tables, target: Tables) -> tuple[DataFrame, DataFrame]:
-    """The whole job; ``source`` equals ``target`` unless one environment reads another's."""
+def run(
+    spark: SparkSession, landing: str, source: Tables, target: Tables,
+    vs_currency: str | None = None, strict: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The whole job, for every currency or one; ``source`` equals ``target`` unless one environment reads another's."""
     create_layers(spark, target.prefix)
     ingest(spark, landing, target)
     process_chart(spark, source, target)
     process_ohlc(spark, source, target)
+    process_quarantine(spark, source, target)
     _features, layout = create_features(spark, target, target)
-    return train(spark, target, target, layout)
+    return train(spark, target, target, layout, vs_currency, strict=strict)

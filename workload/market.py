@@ -140,6 +140,26 @@ def land_documents(spark: SparkSession, sf_dir: str, kind: str, loads: int = 2)
     return root
 
 
+def land_spoiled(spark: SparkSession, sf_dir: str) -> str:
+    """A document for each event, spoiled by its id modulo 7: epochs that are no time, short records, no coin."""
+    kind = F.col("event_id") % 7
+    epoch = (F.when(kind == 0, '"NaN"').when(kind == 1, "1e300").when(kind == 2, "9e18")
+             .otherwise(F.unix_millis(F.col("timestamp").cast("timestamp")).cast("string")))
+    endpoint = F.when(kind == 3, "/ping").otherwise(F.concat(F.lit("/coins/"), F.col("coin_id"), F.lit("/x")))
+    price = F.col("event_id").cast("string")
+
+    def envelope(response):
+        parameters = F.to_json(F.struct("vs_currency"))
+        return F.to_json(F.struct(endpoint.alias("endpoint"), parameters.alias("parameters"), response.alias("response")))
+
+    rows = market(apply_settings(spark), sf_dir)
+    chart = F.concat(F.lit('{"prices":[['), epoch, F.lit(","), price, F.lit("]]}"))
+    record = F.when(kind == 4, F.concat(epoch, F.lit(",1"))).otherwise(F.concat(epoch, F.lit(",1,2,0,"), price))
+    root = f"{scratch_root(spark)}/landing-{uuid.uuid4().hex}"
+    write_lines(rows.select(envelope(chart)), root, "market_chart")
+    return write_lines(rows.select(envelope(F.concat(F.lit("[["), record, F.lit("]]")))), root, "ohlc")
+
+
 # Feature and forecast tables, as stored between the jobs.
 
 def feature_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:

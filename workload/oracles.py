@@ -177,6 +177,19 @@ oracle("parse_chart", MARKET, f"""
 SELECT coin_id, vs_currency, '1' AS days, epoch_us(timestamp) // 1000 AS timestamp_unix_ms,
        strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_raw, date_trunc('millisecond', timestamp) AS timestamp,
        {rs('price, market_cap, total_volume')} FROM market""")
+SPOILED = MARKET + """,
+spoiled AS (
+  SELECT *, event_id % 7 AS kind,
+         CASE event_id % 7 WHEN 3 THEN '/ping' ELSE '/coins/' || coin_id || '/x' END AS endpoint,
+         epoch_us(timestamp) // 1000 AS ms FROM market)"""
+oracle("parse_spoiled", SPOILED, """
+SELECT coin_id, vs_currency, ms AS timestamp_unix_ms, CAST(event_id AS DOUBLE) AS price FROM spoiled WHERE kind > 3""")
+_REASON = "CASE WHEN kind = 3 THEN 'no coin' WHEN kind = 4 THEN 'short record' ELSE 'no epoch' END AS reason"
+oracle("parse_quarantine", SPOILED, f"""
+SELECT 'market_chart' AS kind, endpoint, CASE WHEN kind <> 3 THEN coin_id END AS coin_id, vs_currency,
+       CAST(event_id AS DOUBLE) AS second, {_REASON} FROM spoiled WHERE kind < 4
+UNION ALL
+SELECT 'ohlc', endpoint, CASE WHEN kind <> 3 THEN coin_id END, vs_currency, 1.0, {_REASON} FROM spoiled WHERE kind < 5""")
 oracle("parse_ohlc", MARKET, f"""
 SELECT coin_id, vs_currency, '1' AS days, epoch_us(timestamp) // 1000 AS timestamp_unix_ms,
        strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_raw, {r('price', 'open_price')},
@@ -184,11 +197,13 @@ SELECT coin_id, vs_currency, '1' AS days, epoch_us(timestamp) // 1000 AS timesta
        {r('price + (event_id % 5 - 2) * 0.01 * price', 'close_price')} FROM market""")
 oracle("chart_align", MARKET + """,
 points AS (SELECT *, epoch_us(timestamp) // 1000 AS timestamp_unix_ms FROM market),
+-- The second load repeats even documents: series points of 256 consecutive event ids.
+landed AS (SELECT * FROM points UNION ALL SELECT * FROM points WHERE (event_id // 256) % 2 = 0),
 caps AS (SELECT timestamp_unix_ms, min(market_cap) AS market_cap FROM points GROUP BY 1),
 volumes AS (SELECT timestamp_unix_ms, min(total_volume) AS total_volume FROM points GROUP BY 1)""", f"""
 SELECT '/coins/' || coin_id || '/market_chart' AS endpoint, coin_id, vs_currency, p.timestamp_unix_ms,
        {r('p.price', 'price')}, {r('caps.market_cap', 'market_cap')}, {r('volumes.total_volume', 'total_volume')}
-FROM points p LEFT JOIN caps USING (timestamp_unix_ms) LEFT JOIN volumes USING (timestamp_unix_ms)""")
+FROM landed p LEFT JOIN caps USING (timestamp_unix_ms) LEFT JOIN volumes USING (timestamp_unix_ms)""")
 oracle("chart_dedup", LOADS, f"""
 SELECT coin_id, vs_currency, timestamp_unix_ms, {rs('price, market_cap, total_volume')}, etl_timestamp, load
 FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, vs_currency, timestamp_unix_ms, price
@@ -212,14 +227,14 @@ oracle("price_volume_pairs", MARKET, f"SELECT {G}, {rs('total_volume, price')} F
 oracle("lag1_pairs", RETURNS, f"""
 SELECT {G}, {r('previous_price', 'price_lag_1')}, {r('price')} FROM returns WHERE previous_price IS NOT NULL""")
 oracle("actual_vs_predicted", FORECASTS, f"""
-SELECT coin_id, timestamp, dataset_type, {rs('price, prediction')} FROM forecasts WHERE coin_id = 'click'""")
+SELECT {G}, timestamp, dataset_type, {rs('price, prediction')} FROM forecasts""")
 oracle("residuals_over_time", FORECASTS, f"""
-SELECT coin_id, timestamp, dataset_type, {r('residual')} FROM forecasts WHERE coin_id = 'click'""")
+SELECT {G}, timestamp, dataset_type, {r('residual')} FROM forecasts""")
 oracle("returns_over_time", RETURNS, f"""
 SELECT timestamp, coin_id, {r('return_pct')} FROM returns WHERE return_pct IS NOT NULL""")
 oracle("peek", MARKET, f"""
 SELECT coin_id, vs_currency, timestamp, event_id, {rs('price, market_cap, total_volume')}
-FROM (SELECT * FROM market ORDER BY coin_id, vs_currency, timestamp LIMIT 5)""")
+FROM (SELECT * FROM market ORDER BY coin_id, vs_currency, timestamp, event_id LIMIT 5)""")
 
 # Features
 
@@ -281,36 +296,36 @@ oracle("forecast_null_summary", FORECASTS, "SELECT " + ", ".join(
 oracle("forecast_duplicate_keys", FORECASTS, f"""
 SELECT {G}, date_trunc('hour', timestamp) AS timestamp, count(*) AS count
 FROM forecasts GROUP BY ALL HAVING count(*) > 1""")
-oracle("split_summary", FORECASTS, """
-SELECT coin_id, dataset_type, count(*) AS observations, min(timestamp) AS start_timestamp,
-       max(timestamp) AS end_timestamp FROM forecasts GROUP BY coin_id, dataset_type""")
-oracle("split_validation", FORECASTS, """
+oracle("split_summary", FORECASTS, f"""
+SELECT {G}, dataset_type, count(*) AS observations, min(timestamp) AS start_timestamp,
+       max(timestamp) AS end_timestamp FROM forecasts GROUP BY {G}, dataset_type""")
+oracle("split_validation", FORECASTS, f"""
 SELECT *, last_train_timestamp < first_test_timestamp AS valid_chronological_split FROM (
-  SELECT coin_id, max(timestamp) FILTER (dataset_type = 'train') AS last_train_timestamp,
-         min(timestamp) FILTER (dataset_type = 'test') AS first_test_timestamp FROM forecasts GROUP BY coin_id)""")
+  SELECT {G}, max(timestamp) FILTER (dataset_type = 'train') AS last_train_timestamp,
+         min(timestamp) FILTER (dataset_type = 'test') AS first_test_timestamp FROM forecasts GROUP BY {G})""")
 oracle("forecast_price_stats", FORECASTS, f"""
-SELECT coin_id, dataset_type, count(*) AS n,
+SELECT {G}, dataset_type, count(*) AS n,
        {summary('price', 'mean_price', 'std_price', 'min_price', 'q1', 'median', 'q3', 'max_price')}
-FROM forecasts GROUP BY coin_id, dataset_type""")
+FROM forecasts GROUP BY {G}, dataset_type""")
 oracle("residual_stats", FORECASTS, f"""
-SELECT coin_id, dataset_type, count(*) AS n,
+SELECT {G}, dataset_type, count(*) AS n,
        {summary('residual', 'mean_residual', 'std_residual', 'min_residual', 'q1', 'median', 'q3', 'max_residual')}
-FROM forecasts GROUP BY coin_id, dataset_type""")
+FROM forecasts GROUP BY {G}, dataset_type""")
 oracle("out_of_control", FORECASTS, f"""
-SELECT coin_id, timestamp, dataset_type, {rs('price, prediction, residual, lcl, ucl')}
+SELECT {G}, timestamp, dataset_type, {rs('price, prediction, residual, lcl, ucl')}
 FROM forecasts WHERE residual > ucl OR residual < lcl""")
 oracle("out_of_control_summary", FORECASTS, f"""
 SELECT *, {r('beyond_control_limits * 100.0 / observations', 'percent_beyond_limits')} FROM (
-  SELECT coin_id, dataset_type, count(*) AS observations,
+  SELECT {G}, dataset_type, count(*) AS observations,
          count(*) FILTER (residual > ucl OR residual < lcl) AS beyond_control_limits
-  FROM forecasts GROUP BY coin_id, dataset_type)""")
-METRICS = FORECASTS + """,
+  FROM forecasts GROUP BY {G}, dataset_type)""")
+METRICS = FORECASTS + f""",
 metrics AS (
-  SELECT coin_id, dataset_type, avg(abs(residual)) AS mae, sqrt(avg(residual * residual)) AS rmse,
+  SELECT {G}, dataset_type, avg(abs(residual)) AS mae, sqrt(avg(residual * residual)) AS rmse,
          avg(residual) AS mean_error, avg(abs(residual / nullif(price, 0))) * 100 AS mape,
          stddev_samp(residual) AS std_residual
-  FROM forecasts GROUP BY coin_id, dataset_type)"""
-oracle("forecast_metrics", METRICS, f"SELECT coin_id, dataset_type, {rs('mae, rmse, mean_error, mape')} FROM metrics")
+  FROM forecasts GROUP BY {G}, dataset_type)"""
+oracle("forecast_metrics", METRICS, f"SELECT {G}, dataset_type, {rs('mae, rmse, mean_error, mape')} FROM metrics")
 
 
 def pivoted(columns: dict[str, str]) -> str:
@@ -319,15 +334,15 @@ def pivoted(columns: dict[str, str]) -> str:
 
 
 oracle("error_pivot", METRICS, f"""
-SELECT coin_id, {pivoted({c: c for c in ('mae', 'rmse', 'mean_error', 'mape')})} FROM metrics GROUP BY coin_id""")
+SELECT {G}, {pivoted({c: c for c in ('mae', 'rmse', 'mean_error', 'mape')})} FROM metrics GROUP BY {G}""")
 oracle("residual_pivot", METRICS, f"""
-SELECT coin_id, {pivoted({'mean_residual': 'mean_error', 'std_residual': 'std_residual'})}
-FROM metrics GROUP BY coin_id""")
+SELECT {G}, {pivoted({'mean_residual': 'mean_error', 'std_residual': 'std_residual'})}
+FROM metrics GROUP BY {G}""")
 ERRORS = f"""
-SELECT coin_id, timestamp, dataset_type, {rs('price, prediction, residual')},
+SELECT {G}, timestamp, dataset_type, {rs('price, prediction, residual')},
        {r('abs(residual)', 'absolute_residual')} FROM """
 oracle("top_errors", FORECASTS,
-       ERRORS + "(SELECT * FROM forecasts ORDER BY abs(residual) DESC, coin_id, timestamp LIMIT 5)")
+       ERRORS + "(SELECT * FROM forecasts ORDER BY abs(residual) DESC, coin_id, vs_currency, timestamp, dataset_type, price LIMIT 5)")
 oracle("top_test_errors", FORECASTS, ERRORS + "forecasts WHERE dataset_type = 'test'")
 
 # Quality
@@ -356,7 +371,7 @@ SELECT {G}, {r('seconds / 60.0', 'interval_minutes')}, count FROM (
   SELECT {G}, CAST(round(interval_minutes * 60) AS BIGINT) AS seconds, count(*) AS count
   FROM intervals WHERE interval_minutes IS NOT NULL GROUP BY ALL)""")
 oracle("time_gaps", INTERVALS, f"""
-SELECT coin_id, previous_timestamp, timestamp, {r('interval_minutes')} FROM intervals WHERE interval_minutes > 5""")
+SELECT {G}, previous_timestamp, timestamp, {r('interval_minutes')} FROM intervals WHERE interval_minutes > 5""")
 
 # Description
 
@@ -384,7 +399,7 @@ SELECT {G}, {summary('return_pct', 'mean_return_pct', 'return_std_pct', 'min_ret
 FROM returns WHERE return_pct IS NOT NULL GROUP BY {G}""")
 OUTLIERS = RETURNS + f""",
 quartiles AS (
-  SELECT {G}, quantile_disc(return_pct, 0.25) AS q1, quantile_disc(return_pct, 0.75) AS q3
+  SELECT {G}, quantile_cont(return_pct, 0.25) AS q1, quantile_cont(return_pct, 0.75) AS q3
   FROM returns WHERE return_pct IS NOT NULL GROUP BY {G}),
 bounds AS (SELECT {G}, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound FROM quartiles),
 outliers AS (
@@ -392,16 +407,16 @@ outliers AS (
 oracle("return_outliers", OUTLIERS, f"""
 SELECT {G}, timestamp, {rs('price, previous_price, return_pct, lower_bound, upper_bound')} FROM outliers""")
 oracle("top_return_outliers", OUTLIERS, f"""
-SELECT coin_id, timestamp, {rs('price, return_pct, lower_bound, upper_bound')},
+SELECT {G}, timestamp, event_id, {rs('price, return_pct, lower_bound, upper_bound')},
        {r('abs(return_pct)', 'absolute_return_pct')}
-FROM (SELECT * FROM outliers ORDER BY abs(return_pct) DESC, coin_id, timestamp LIMIT 10)""")
+FROM (SELECT * FROM outliers ORDER BY abs(return_pct) DESC, coin_id, vs_currency, timestamp, event_id LIMIT 10)""")
 oracle("outlier_counts", OUTLIERS, f"""
 SELECT {G}, count(*) AS potential_return_outliers FROM outliers GROUP BY {G}""")
 oracle("top_abs_returns", RETURNS, f"""
-SELECT coin_id, timestamp, {rs('price, previous_price, price_change, return_pct, total_volume')},
+SELECT {G}, timestamp, event_id, {rs('price, previous_price, price_change, return_pct, total_volume')},
        {r('abs(return_pct)', 'absolute_return_pct')}
 FROM (SELECT * FROM returns WHERE return_pct IS NOT NULL
-      ORDER BY abs(return_pct) DESC, coin_id, timestamp LIMIT 10)""")
+      ORDER BY abs(return_pct) DESC, coin_id, vs_currency, timestamp, event_id LIMIT 10)""")
 TRAILING = f"OVER ({W} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)"
 oracle("rolling_price", MARKET, f"""
 SELECT {G}, timestamp, {r('price')}, {r(f'avg(price) {TRAILING}', 'rolling_price_mean')},
@@ -488,13 +503,14 @@ oracle("trend_fit", TREND, f"SELECT {G}, n, {rs('slope, intercept, r_squared')}
 oracle("trend_line", TREND, f"""
 SELECT {G}, timestamp, {r('price')}, {r('intercept + slope * idx', 'linear_trend')}
 FROM numbered JOIN fits USING ({G})""")
-for _key, _views, _source, _value in (
-        ("price_acf", MARKET, "market", "price"), ("return_acf", RETURNS, "returns", "return_pct")):
-    oracle(_key, _views + f""",
+
+def autocorrelations(source: str, value: str) -> str:
+    """``coefficients``: autocorrelations of ``value`` by lag."""
+    return f"""
 rows AS (
-  SELECT {G}, {_value} - avg({_value}) OVER (PARTITION BY {G}) AS x, row_number() OVER ({W}) AS idx,
+  SELECT {G}, {value} - avg({value}) OVER (PARTITION BY {G}) AS x, row_number() OVER ({W}) AS idx,
          count(*) OVER (PARTITION BY {G}) AS n
-  FROM {_source} WHERE {_value} IS NOT NULL),
+  FROM {source} WHERE {value} IS NOT NULL),
 squares AS (SELECT {G}, n, sum(x * x) AS s FROM rows GROUP BY {G}, n),
 shifts AS (SELECT unnest(range(1, 41)) AS lag),
 products AS (
@@ -503,20 +519,55 @@ products AS (
   WHERE a.coin_id = b.coin_id AND a.vs_currency = b.vs_currency AND b.idx = a.idx - lag GROUP BY 1, 2, 3),
 coefficients AS (
   SELECT {G}, n, lag, p / nullif(s, 0) AS acf FROM products JOIN squares USING ({G})
-  WHERE lag <= least(40, greatest(1, n // 2 - 1)))""", f"""
+  WHERE lag <= least(40, greatest(1, n // 2 - 1)))"""
+
+
+for _key, _views, _source, _value in (("price", MARKET, "market", "price"), ("return", RETURNS, "returns", "return_pct")):
+    _acf = _views + "," + autocorrelations(_source, _value)
+    oracle(f"{_key}_acf", _acf, f"""
 SELECT {G}, n, lag, {r('acf')},
        {r(f'1.959963984540054 * sqrt((1 + 2 * coalesce(sum(acf * acf) OVER (PARTITION BY {G} ORDER BY lag '
           'ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n)', 'band')}
 FROM coefficients""")
-oracle("kpss_test", TREND + f""",
-errors AS (SELECT {G}, idx, n, price - (intercept + slope * idx) AS e FROM numbered JOIN fits USING ({G})),
+    # Durbin-Levinson: phi holds the coefficients of the order reached so far.
+    ORACLES[f"{_key}_pacf"] = f"""WITH RECURSIVE {_acf},
+listed AS (SELECT {G}, n, list(acf ORDER BY lag) AS rho FROM coefficients WHERE acf IS NOT NULL GROUP BY {G}, n),
+orders AS (
+  SELECT {G}, n, rho, 1 AS lag, rho[1] AS pacf, [rho[1]] AS phi, 1 - rho[1] * rho[1] AS error FROM listed
+  UNION ALL
+  SELECT {G}, n, rho, lag + 1, f, list_append([phi[i] - f * phi[lag + 1 - i] FOR i IN range(1, lag + 1)], f),
+         error * (1 - f * f)
+  FROM (SELECT *, (rho[lag + 1] - list_sum([phi[i] * rho[lag + 1 - i] FOR i IN range(1, lag + 1)])) / error AS f
+        FROM orders WHERE lag < len(rho)))
+SELECT {G}, n, lag, {r('pacf')}, {r('1.959963984540054 / sqrt(n)', 'band')} FROM orders"""
+
+
+# Tests of stationarity. A series is a table with G, idx (from 0), n and v.
+
+def series_of(source: str, value: str) -> str:
+    return f"""
+series AS (
+  SELECT {G}, {value} AS v, row_number() OVER ({W}) - 1 AS idx, count(*) OVER (PARTITION BY {G}) AS n
+  FROM {source} WHERE {value} IS NOT NULL)"""
+
+
+def kpss(trend: bool, n_max: str = "(SELECT max(n) FROM series)") -> str:
+    """``kpss``: statistic, p-value and bandwidth of ``series``."""
+    line = "regr_intercept(v, idx) AS a, regr_slope(v, idx) AS b" if trend else "avg(v) AS a, 0.0 AS b"
+    points = (0.119, 0.146, 0.176, 0.216) if trend else (0.347, 0.463, 0.574, 0.739)
+    between = "\n".join(
+        f"    WHEN stat <= {high} THEN {p} - {p - q:.3f} * (stat - {low}) / ({high} - {low})"
+        for low, high, p, q in zip(points, points[1:], (0.10, 0.05, 0.025), (0.05, 0.025, 0.01)))
+    return f"""
+lines AS (SELECT {G}, {line} FROM series GROUP BY {G}),
+errors AS (SELECT {G}, idx, n, v - (a + b * idx) AS e FROM series JOIN lines USING ({G})),
 walks AS (
   SELECT {G}, n, sum(e) OVER (PARTITION BY {G} ORDER BY idx) AS s FROM errors),
 eta AS (SELECT {G}, n, sum(s * s) / (n * n) AS eta FROM walks GROUP BY {G}, n),
-shifts AS (SELECT unnest(range(0, 41)) AS k),
+-- First the lags that choose the bandwidth, then those within it.
 gammas AS (
   SELECT a.coin_id, a.vs_currency, a.n, k, sum(a.e * b.e) AS g
-  FROM errors a, shifts, errors b
+  FROM errors a, (SELECT unnest(range(0, CAST(floor(pow({n_max}, 2.0 / 9.0)) AS BIGINT) + 1)) AS k) shifts, errors b
   WHERE a.coin_id = b.coin_id AND a.vs_currency = b.vs_currency AND b.idx = a.idx - k GROUP BY ALL),
 widths AS (
   SELECT {G}, sum(CASE WHEN k = 0 THEN g ELSE 2 * g END / n) AS s0, sum(2 * k * g / n) AS s1, any_value(n) AS n
@@ -524,15 +575,117 @@ widths AS (
 chosen AS (
   SELECT {G}, least(CAST(floor(1.1447 * pow((s1 / s0) * (s1 / s0), 1.0 / 3.0) * pow(n, 1.0 / 3.0)) AS BIGINT), n - 1)
          AS lags FROM widths),
+within AS (
+  SELECT a.coin_id, a.vs_currency, a.n, lags, k, sum(a.e * b.e) AS g
+  FROM errors a JOIN chosen c ON a.coin_id = c.coin_id AND a.vs_currency = c.vs_currency
+    JOIN (SELECT unnest(range(0, (SELECT max(lags) FROM chosen) + 1)) AS k) shifts ON k <= lags
+    JOIN errors b ON a.coin_id = b.coin_id AND a.vs_currency = b.vs_currency AND b.idx = a.idx - k GROUP BY ALL),
 spreads AS (
-  SELECT {G}, any_value(lags) AS lags,
-         sum(CASE WHEN k = 0 THEN g ELSE 2 * g * (1 - k / (lags + 1.0)) END / n) AS variance
-  FROM gammas JOIN chosen USING ({G}) WHERE k <= lags GROUP BY {G}),
-results AS (SELECT {G}, eta / variance AS stat, lags FROM eta JOIN spreads USING ({G})),
-valued AS (
-  SELECT *, CASE WHEN stat <= 0.119 THEN 0.10
-    WHEN stat <= 0.146 THEN 0.10 - 0.05 * (stat - 0.119) / (0.146 - 0.119)
-    WHEN stat <= 0.176 THEN 0.05 - 0.025 * (stat - 0.146) / (0.176 - 0.146)
-    WHEN stat <= 0.216 THEN 0.025 - 0.015 * (stat - 0.176) / (0.216 - 0.176) ELSE 0.01 END AS p FROM results)""", f"""
+  SELECT {G}, lags, sum(CASE WHEN k = 0 THEN g ELSE 2 * g * (1 - k / (lags + 1.0)) END / n) AS variance
+  FROM within GROUP BY {G}, lags),
+kpss_stats AS (SELECT {G}, eta / variance AS stat, lags FROM eta JOIN spreads USING ({G})),
+kpss AS (
+  SELECT {G}, stat, lags, CASE WHEN stat <= {points[0]} THEN 0.10
+{between} ELSE 0.01 END AS p FROM kpss_stats)"""
+
+
+# Regressors of the Dickey-Fuller test that the SQL has columns for: Schwert's rule needs them up to 30,000 rows.
+ADF_COLUMNS = 50
+
+
+def taken_out(tag: str, source: str, columns: list[str], keep: str) -> str:
+    """Each column in turn taken out of ``y`` and of the columns after it, as sums over the series' rows."""
+    over = f"OVER (PARTITION BY {G})"
+    tables, before = [], source
+    for i, c in enumerate(columns):
+        def slope(other: str, c: str = c) -> str:
+            # A column that nothing is left of takes nothing out.
+            return (f"CASE WHEN sum({c} * {c}) {over} > 1e-9 * {c}_size THEN "
+                    f"sum({c} * {other}) {over} / sum({c} * {c}) {over} ELSE 0 END")
+
+        later = "".join(f", {o} - {c} * ({slope(o)}) AS {o}, {o}_size" for o in columns[i + 1:])
+        last = f", {c} AS last_e, {slope('y')} AS last_slope" if i == len(columns) - 1 else ""
+        tables.append(f"{tag}{i} AS (SELECT {keep}, y - {c} * ({slope('y')}) AS y{later}{last} FROM {before})")
+        before = f"{tag}{i}"
+    return ",\n".join(tables)
+
+
+def adf() -> str:
+    """``adf``: statistic, p-value and lags of ``series``, by regressions built up column by column.
+
+    Orders are compared on one sample; the chosen one is fitted on its own, with columns past it set to 0.
+    """
+    names = [f"d{k}" for k in range(1, ADF_COLUMNS + 1)]
+    lagged = ", ".join(f"coalesce(lag(d, {k}) OVER w, 0) AS d{k}" for k in range(1, ADF_COLUMNS + 1))
+
+    def sized(columns: list[str]) -> str:
+        return ", ".join(f"{c}, sum({c} * {c}) OVER (PARTITION BY {G}) AS {c}_size" for c in columns)
+
+    masked = ", ".join(f"CASE WHEN {k} <= used THEN d{k} ELSE 0 END AS d{k}" for k in range(1, ADF_COLUMNS + 1))
+    fit = taken_out("a", "adf_sample", ["one", "z", *names], f"{G}, n, most, idx")
+    errors = " UNION ALL ".join(
+        f"SELECT {G}, n, most, {k} AS lags, sum(y * y) AS rss FROM a{k + 1} GROUP BY {G}, n, most" for k in range(ADF_COLUMNS + 1))
+    again = taken_out("b", "adf_chosen_sample", ["one", *names, "z"], f"{G}, n, used")
+    last = ADF_COLUMNS + 1
+    tau_small, tau_large = "2.1659 + 1.4412 * t + 0.038269 * t * t", "1.7339 + 0.93202 * t - 0.12745 * t * t - 0.010368 * t * t * t"
+    # Simpson's rule for the normal distribution, from 0 to |x|.
+    steps = 400
+    area = (f"abs(x) / {steps} / 3 * list_sum([(CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+            f"* exp(-0.5 * (abs(x) * i / {steps}) * (abs(x) * i / {steps})) FOR i IN range(0, {steps} + 1)]) / sqrt(2 * pi())")
+    return f"""
+adf_rows AS (
+  SELECT {G}, idx, n, least(CAST(ceil(12 * pow(n / 100.0, 0.25)) AS BIGINT), n // 2 - 2) AS most,
+         lag(v) OVER w - avg(v) OVER (PARTITION BY {G}) AS z, v - lag(v) OVER w AS d
+  FROM series WINDOW w AS (PARTITION BY {G} ORDER BY idx)),
+adf_lags AS (SELECT *, {lagged} FROM adf_rows WINDOW w AS (PARTITION BY {G} ORDER BY idx)),
+adf_raw AS (SELECT {G}, n, most, idx, d AS y, 1.0 AS one, z, {', '.join(names)} FROM adf_lags WHERE idx > most),
+adf_sample AS (SELECT {G}, n, most, idx, y, {sized(['one', 'z', *names])} FROM adf_raw),
+{fit},
+adf_errors AS ({errors}),
+adf_orders AS (
+  SELECT *, row_number() OVER (PARTITION BY {G} ORDER BY (n - 1 - most) * ln(rss / (n - 1 - most)) + 2 * (lags + 2), lags) AS rank
+  FROM adf_errors WHERE lags <= most),
+adf_used AS (SELECT {G}, lags AS used FROM adf_orders WHERE rank = 1),
+adf_chosen AS (SELECT {G}, n, used, d AS y, 1.0 AS one, z, {masked} FROM adf_lags JOIN adf_used USING ({G}) WHERE idx > used),
+adf_chosen_sample AS (SELECT {G}, n, used, y, {sized(['one', *names, 'z'])} FROM adf_chosen),
+{again},
+adf_stats AS (
+  SELECT {G}, used, any_value(last_slope) / sqrt(sum(y * y) / (n - 1 - used - used - 2) / sum(last_e * last_e)) AS t
+  FROM b{last} GROUP BY {G}, n, used),
+adf_scores AS (SELECT *, CASE WHEN t <= -1.61 THEN {tau_small} ELSE {tau_large} END AS x FROM adf_stats),
+adf AS (
+  SELECT {G}, t AS stat, used AS lags, CASE WHEN t > 2.74 THEN 1.0 WHEN t < -18.83 THEN 0.0
+    WHEN x > 0 THEN 0.5 + {area} ELSE 0.5 - {area} END AS p FROM adf_scores)"""
+
+
+# Student's t by the substitution t = sqrt(df) tan(a): shares of the area under cos(a) ** (df - 1), by Simpson's rule.
+def _cosines(low: str, high: str, steps: int = 4000) -> str:
+    return (f"((({high}) - ({low})) / {steps} * list_sum([(CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) "
+            f"* pow(cos(({low}) + (({high}) - ({low})) * i / {steps}), n - 3) FOR i IN range(0, {steps} + 1)]))")
+
+
+oracle("trend_test", TREND + f""",
+angles AS (SELECT *, atan(sqrt(r_squared / (1 - r_squared))) AS angle FROM fits),
+valued AS (SELECT *, {_cosines('angle', 'pi() / 2')} / {_cosines('0.0', 'pi() / 2')} AS p_value FROM angles)""", f"""
+SELECT {G}, n, {rs('slope, intercept, r_squared, p_value')}, p_value < 0.05 AS significant_trend_5pct FROM valued""")
+PRICE_SERIES = MARKET + "," + series_of("market", "price")
+oracle("kpss_test", PRICE_SERIES + "," + kpss(True), f"""
 SELECT {G}, {r('stat', 'kpss_statistic')}, {r('p', 'kpss_p_value')}, lags AS kpss_lags_used,
-       p < 0.05 AS kpss_reject_h0_5pct FROM valued""")
+       p < 0.05 AS kpss_reject_h0_5pct FROM kpss""")
+oracle("adf_test", PRICE_SERIES + "," + adf(), f"""
+SELECT {G}, {r('stat', 'adf_statistic')}, {r('p', 'adf_p_value')}, lags AS adf_lags_used,
+       p < 0.05 AS adf_reject_h0_5pct FROM adf""")
+oracle("stationarity", PRICE_SERIES + "," + kpss(True) + "," + adf(), f"""
+SELECT {G}, {r('a.stat', 'adf_statistic')}, {r('a.p', 'adf_p_value')}, a.lags AS adf_lags_used,
+       a.p < 0.05 AS adf_reject_h0_5pct, {r('k.stat', 'kpss_statistic')}, {r('k.p', 'kpss_p_value')},
+       k.lags AS kpss_lags_used, k.p < 0.05 AS kpss_reject_h0_5pct,
+       CASE WHEN a.p < 0.05 AND k.p >= 0.05 THEN 'Evidence favors stationarity'
+            WHEN a.p >= 0.05 AND k.p < 0.05 THEN 'Evidence favors non-stationarity'
+            WHEN a.p < 0.05 THEN 'Conflicting evidence' ELSE 'Inconclusive' END AS interpretation
+FROM adf a JOIN kpss k USING ({G})""")
+oracle("diff_stationarity", MARKET + f""",
+changes AS (SELECT *, price - lag(price) OVER ({W}) AS change FROM market),""" + series_of("changes", "change")
+       + "," + kpss(False) + "," + adf(), f"""
+SELECT {G}, {r('a.p', 'adf_p_value_diff_price')}, {r('k.p', 'kpss_p_value_diff_price')},
+       a.p < 0.05 AS adf_stationary_5pct, k.p >= 0.05 AS kpss_stationary_5pct
+FROM adf a JOIN kpss k USING ({G})""")

@@ -15,7 +15,7 @@ from tidemark.operators import features as feat
 from tidemark.operators import models, monitoring, quality, series
 from tidemark.operators.dedup import CHART_KEY, OHLC_KEY, keep_one
 from tidemark.operators.ordering import number_rows
-from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, usable
+from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, quarantined, usable
 from tidemark.session import materialize, scratch_root
 from tidemark.sources.landing import peek_with_file, scan_landing
 from tidemark.sources.tables import load_source, row_count
@@ -102,6 +102,20 @@ def _(spark, sf_dir):
     return parse_chart(raw).select(*PARSED_CHART)
 
 
+@query("parse_quarantine")
+def _(spark, sf_dir):
+    raw = scan_landing(spark, m.land_spoiled(spark, sf_dir))
+    # The text of a number differs between engines, so the second number of a record stands for it.
+    second = F.get(F.from_json("record", "array<double>"), F.lit(1))
+    return quarantined(raw).select("kind", "endpoint", "coin_id", "vs_currency", second.alias("second"), "reason")
+
+
+@query("parse_spoiled")
+def _(spark, sf_dir):
+    raw = scan_landing(spark, m.land_spoiled(spark, sf_dir))
+    return parse_chart(raw).select("coin_id", "vs_currency", "timestamp_unix_ms", "price")
+
+
 @query("parse_ohlc")
 def _(spark, sf_dir):
     raw = scan_landing(spark, m.land_documents(spark, sf_dir, "ohlc"))
@@ -112,7 +126,7 @@ def _(spark, sf_dir):
 
 @query("chart_align")
 def _(spark, sf_dir):
-    raw = scan_landing(spark, m.land_documents(spark, sf_dir, "market_chart", loads=1))
+    raw = scan_landing(spark, m.land_documents(spark, sf_dir, "market_chart"))
     points = materialize(chart_points(chart_documents(raw)), "points")
     return align_chart(
         usable(points_of(points, "prices")), points_of(points, "market_caps"), points_of(points, "total_volumes"),
@@ -163,13 +177,13 @@ def _(spark, sf_dir):
 @query("actual_vs_predicted")
 def _(spark, sf_dir):
     return series.series_view(
-        _forecasts(spark, sf_dir), ["coin_id", "timestamp", "dataset_type", "price", "prediction"], [ONE_COIN])
+        _forecasts(spark, sf_dir), ["coin_id", "vs_currency", "timestamp", "dataset_type", "price", "prediction"])
 
 
 @query("residuals_over_time")
 def _(spark, sf_dir):
     return series.series_view(
-        _forecasts(spark, sf_dir), ["coin_id", "timestamp", "dataset_type", "residual"], [ONE_COIN])
+        _forecasts(spark, sf_dir), ["coin_id", "vs_currency", "timestamp", "dataset_type", "residual"])
 
 
 @query("returns_over_time")
@@ -180,7 +194,7 @@ def _(spark, sf_dir):
 
 @query("peek")
 def _(spark, sf_dir):
-    return series.peek(m.market(spark, sf_dir), ["coin_id", "vs_currency", "timestamp"], 5)
+    return series.peek(m.market(spark, sf_dir), ["coin_id", "vs_currency", "timestamp", "event_id"], 5)
 
 
 # Features
@@ -289,37 +303,37 @@ def _(spark, sf_dir):
 
 @query("split_summary")
 def _(spark, sf_dir):
-    return monitoring.split_summary(_forecasts(spark, sf_dir))
+    return monitoring.report_part(_forecasts(spark, sf_dir), "range")
 
 
 @query("split_validation")
 def _(spark, sf_dir):
-    return monitoring.split_validation(_forecasts(spark, sf_dir))
+    return monitoring.split_order(_forecasts(spark, sf_dir))
 
 
 @query("forecast_price_stats")
 def _(spark, sf_dir):
-    return monitoring.price_stats(_forecasts(spark, sf_dir))
+    return monitoring.value_stats(_forecasts(spark, sf_dir), "price")
 
 
 @query("residual_stats")
 def _(spark, sf_dir):
-    return monitoring.residual_stats(_forecasts(spark, sf_dir))
+    return monitoring.value_stats(_forecasts(spark, sf_dir), "residual")
 
 
 @query("out_of_control")
 def _(spark, sf_dir):
-    return monitoring.out_of_control(_forecasts(spark, sf_dir))
+    return monitoring.rows_beyond_limits(_forecasts(spark, sf_dir))
 
 
 @query("out_of_control_summary")
 def _(spark, sf_dir):
-    return monitoring.out_of_control_summary(_forecasts(spark, sf_dir))
+    return monitoring.report_part(_forecasts(spark, sf_dir), "limits")
 
 
 @query("forecast_metrics")
 def _(spark, sf_dir):
-    return monitoring.forecast_metrics(_forecasts(spark, sf_dir))
+    return monitoring.report_part(_forecasts(spark, sf_dir), "errors")
 
 
 @query("error_pivot")
@@ -428,7 +442,7 @@ def _(spark, sf_dir):
     returns, layout = _returns(spark, sf_dir)
     return desc.return_outliers(returns, layout).select(
         "coin_id", "vs_currency", "timestamp", "price", "previous_price", "return_pct", "lower_bound", "upper_bound"
-    ).orderBy("coin_id", "timestamp")
+    ).orderBy("coin_id", "vs_currency", "timestamp")
 
 
 @query("top_return_outliers")
@@ -436,7 +450,8 @@ def _(spark, sf_dir):
     returns, layout = _returns(spark, sf_dir)
     return desc.top_absolute(
         desc.return_outliers(returns, layout), "return_pct", "absolute_return_pct",
-        ["coin_id", "timestamp", "price", "return_pct", "lower_bound", "upper_bound"], 10, ["coin_id", "timestamp"])
+        ["coin_id", "vs_currency", "timestamp", "event_id", "price", "return_pct", "lower_bound", "upper_bound"],
+        10, ["coin_id", "vs_currency", "timestamp", "event_id"])
 
 
 @query("outlier_counts")
@@ -449,8 +464,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     return desc.top_absolute(
         _returns(spark, sf_dir)[0], "return_pct", "absolute_return_pct",
-        ["coin_id", "timestamp", "price", "previous_price", "price_change", "return_pct", "total_volume"],
-        10, ["coin_id", "timestamp"])
+        ["coin_id", "vs_currency", "timestamp", "event_id", "price", "previous_price", "price_change", "return_pct",
+         "total_volume"],
+        10, ["coin_id", "vs_currency", "timestamp", "event_id"])
 
 
 @query("rolling_price")
