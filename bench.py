@@ -1,4 +1,7 @@
-"""Times the headline queries: warm, median of three runs, one JSON line."""
+"""Times the headline queries: warm, median of three runs, one JSON line.
+
+Inputs that a query reads as files or tables (landed documents, stored forecasts) are made by the untimed first run.
+"""
 
 from __future__ import annotations
 
@@ -22,6 +25,9 @@ HEADLINE = (
     "dash_ohlc", "dash_history", "dash_price_cards", "dash_price_line",
     "trend_test", "adf_test", "kpss_test", "price_acf", "return_pacf",
 )
+# Timed too, but not part of the total: the route for series that are too long for one task.
+LONG = ("lag_features_long", "rolling_price_long", "standardize_long", "forecasts_long", "return_boxplot_long",
+        "price_acf_long", "kpss_test_long", "adf_test_long")
 RUNS = 3
 
 
@@ -43,11 +49,11 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     timings = {}
-    for name in HEADLINE:
+    for name in (*HEADLINE, *LONG):
         seconds(spark, name, sf_dir)
         timings[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(RUNS)), 3)
     print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(timings.values()), 3), "unit": "sec",
+        "metric": "headline_queries_total", "value": round(sum(timings[n] for n in HEADLINE), 3), "unit": "sec",
         "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
     spark.stop()

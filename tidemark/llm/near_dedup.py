@@ -11,9 +11,10 @@ the work is about the number of shingles plus m log m.
 Texts with the same words in the same order are one text from the start. Signatures are banded;
 texts that share a band are a bucket. No bucket is expanded into all pairs: first each member is
 verified against one pivot, and classes are the connected components of verified pairs. Then only
-buckets whose members still lie in different classes go on, with a few more pivots a round, from
-the smallest classes first, until no unverified pair of members of different classes is left. So no
-candidate pair that could join two classes is skipped, whatever the size of a bucket.
+buckets whose members still lie in different classes go on, with more pivots a round, from the
+smallest classes first, until no pair of members of different classes is left that could be similar.
+A pair is ruled out without a look only by the triangle inequality (one minus the weighted Jaccard
+similarity is a metric), so no link is lost, whatever the size of a bucket.
 
 Verification compares whole multisets: overlap / union of 5-word shingles, at least 0.8.
 
@@ -31,7 +32,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import BASE, Words, buffer_of, chunks, materialize, mix, only, prepare, shingles
@@ -39,7 +40,7 @@ from tidemark.llm.common import BASE, Words, buffer_of, chunks, materialize, mix
 WORDS, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**25, about 5 in 100,000.
 BANDS, ROWS = 25, 5
-PIVOTS = 8
+PIVOTS = 64
 # Sides of a join are broadcast up to so many rows of two ids, or so many bytes of bags; else both are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 BAG_BYTES = 6
@@ -165,19 +166,23 @@ def _long(bag: pa.Scalar) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.uint64)
 
 
-def _verify(batches, threshold: float):
+def _compare(batches):
     for batch in batches:
-        keep = []
+        found = []
         for x, y in zip(batch.column("bag_a"), batch.column("bag_b")):
             x, y = _long(x), _long(y)
-            if min(len(x), len(y)) < threshold * max(len(x), len(y)):
-                keep.append(False)
-                continue
             both = np.concatenate([x, y])
             both.sort()
             common = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(common >= threshold * (len(x) + len(y) - common) - 1e-9)
-        yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found.append(common / (len(both) - common))
+        yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+
+
+def stored(df: DataFrame, label: str, *figures) -> tuple[DataFrame, dict]:
+    """``df`` written and read back, with its row count ``n`` and ``figures`` gathered while it was written."""
+    seen = Observation()
+    back = materialize(df.observe(seen, F.count(F.lit(1)).alias("n"), *figures), label)
+    return back, seen.get
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -186,54 +191,55 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps: each joins a node's neighbours to the least of
     them, by one aggregation and one join, until nothing changes. No neighbourhood is gathered.
     """
-    now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                      .filter("a <> b").distinct(), "edges")
-    mark = None
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    mark, total = None, F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(small, "a")
-        after = (joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        after = (large.join(small, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-        now = materialize(after, "edges")
-        state = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if (state["n"], state["s"]) == mark:
+        now, state = stored(after, "edges", total)
+        if state == mark:
             # Stars by now: every node but the centre has one edge, to the centre.
             return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
                 now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
-        mark = (state["n"], state["s"])
+        mark = state
 
 
-def verify(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (``a`` a pivot, ``b``) whose whole bags are similar enough. ``pairs`` must be stored."""
-    few = pairs.count() <= BROADCAST_ROWS
+def compare(pairs: DataFrame, n_pairs: int, bags: DataFrame) -> DataFrame:
+    """``a, b, similarity`` of whole bags for the stored ``pairs`` (``a`` a pivot)."""
+    few = n_pairs <= BROADCAST_ROWS
     pivots = bags.join(F.broadcast(pairs.select("a").distinct()) if few else pairs.select("a").distinct(),
                        bags["doc_id"] == F.col("a"), "left_semi")
     light = few and (pivots.agg(F.sum(F.length("bag"))).first()[0] or 0) <= BROADCAST_BYTES
     side = pivots.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a"))
     whole = (bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b"))
              .join(F.broadcast(pairs) if few else pairs, "b").join(F.broadcast(side) if light else side, "a"))
-    return whole.select("a", "b", "bag_a", "bag_b").mapInArrow(lambda it: _verify(it, threshold), "a long, b long")
+    return whole.select("a", "b", "bag_a", "bag_b").mapInArrow(_compare, "a long, b long, similarity double")
 
 
 def links(texts: DataFrame, members: DataFrame, threshold: float, words: int, pivots: int = PIVOTS) -> DataFrame:
     """``node, label`` of the classes that candidate pairs in buckets (``band, key, doc``) form once verified."""
-    ids = materialize(members.select(F.col("doc").alias("doc_id")).distinct(), "candidates")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    ids, found = stored(members.select(F.col("doc").alias("doc_id")).distinct(), "candidates")
+    side = F.broadcast(ids) if found["n"] <= BROADCAST_ROWS else ids
     # Of rows that share an id, the one with the least bag is compared.
     bags = materialize(shingle_sets(texts.join(side, "doc_id").select("doc_id", "text"), words)
                        .groupBy("doc_id").agg(F.min("bag").alias("bag")), "bags")
+    reach = 1 - threshold + 1e-9
     by_hash = F.struct(F.xxhash64("doc"), "doc")
-    lead = members.groupBy("band", "key").agg(F.min_by("doc", by_hash).alias("pivot"))
-    rest = members.join(lead, ["band", "key"]).filter("doc <> pivot")
-    pairs = materialize(rest.select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-    verified = verify(pairs, bags, threshold)
-    labels, rest = None, rest.drop("pivot")
+    lead = members.groupBy("band", "key").agg(F.min_by("doc", by_hash).alias("a"))
+    rest = materialize(members.join(lead, ["band", "key"]).filter("doc <> a").withColumnRenamed("doc", "b"), "members")
+    pairs, found = stored(rest.select("a", "b").distinct(), "pairs")
+    tried = materialize(compare(pairs, found["n"], bags), "compared")
+    # ``near``: the similarity to the bucket's first pivot.
+    rest = rest.join(tried, ["a", "b"]).select("band", "key", F.col("b").alias("doc"), F.col("similarity").alias("near"))
+    labels, fresh = None, tried
     while True:
-        edges = verified if labels is None else verified.unionByName(
-            labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+        edges = fresh.filter(F.col("similarity") >= threshold - 1e-9).select("a", "b")
+        if labels is not None:
+            edges = edges.unionByName(labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
         labels = components(edges)
         # A bucket goes on while documents that were no pivot yet lie in different classes.
         sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
@@ -242,17 +248,23 @@ def links(texts: DataFrame, members: DataFrame, threshold: float, words: int, pi
             {"label": F.coalesce("label", "doc"), "size": F.coalesce("size", F.lit(1))}), "placed")
         mixed = placed.groupBy("band", "key").agg(
             F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band", "key")
-        still_open = materialize(placed.join(mixed, ["band", "key"]), "open")
-        if still_open.isEmpty():
+        still_open, found = stored(placed.join(mixed, ["band", "key"]), "open")
+        if not found["n"]:
             return labels
         rank = F.row_number().over(Window.partitionBy("band", "key").orderBy("size", F.xxhash64("doc"), "doc"))
         lead = still_open.withColumn("rank", rank).filter(F.col("rank") <= pivots).select(
-            "band", "key", F.col("doc").alias("pivot"), F.col("label").alias("own"))
-        pairs = materialize(still_open.join(lead, ["band", "key"]).filter("label <> own").select(
-            F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
-        rest = still_open.select("band", "key", "doc").join(
-            lead.select("band", "key", F.col("pivot").alias("doc")), ["band", "key", "doc"], "left_anti")
-        verified = verify(pairs, bags, threshold)
+            "band", "key", F.col("doc").alias("a"), F.col("label").alias("own"), F.col("near").alias("own_near"))
+        # 1 - similarity is a metric: documents whose distances to the first pivot differ by more than
+        # the reach cannot be similar to each other.
+        possible = still_open.join(lead, ["band", "key"]).filter((F.col("label") != F.col("own")) & (
+            F.abs(F.col("near") - F.col("own_near")) <= reach)).select("a", F.col("doc").alias("b"))
+        once = possible.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).dropDuplicates(["x", "y"])
+        before = tried.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+        pairs, found = stored(once.join(before, ["x", "y"], "left_anti").select("a", "b"), "pairs")
+        rest = still_open.select("band", "key", "doc", "near").join(
+            lead.select("band", "key", F.col("a").alias("doc")), ["band", "key", "doc"], "left_anti")
+        fresh = materialize(compare(pairs, found["n"], bags), "compared")
+        tried = tried.unionByName(fresh)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

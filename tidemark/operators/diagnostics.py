@@ -21,7 +21,8 @@ from tidemark.functions.statistics import (
     KPSS_LEVEL, KPSS_P, KPSS_TREND, Z95, adf_p_value, adf_statistic, partial_autocorrelations, slope_p_values,
 )
 from tidemark.operators.ordering import (
-    BLOCK, HALO, INDEX, SeriesLayout, attach_stats, join_series, number_rows, spread_blocks, with_lookback,
+    BLOCK, HALO, INDEX, SeriesLayout, attach_stats, join_series, number_rows, series_stats, spread_blocks,
+    with_lookback,
 )
 from tidemark.session import materialize
 
@@ -75,10 +76,9 @@ def trend_test(df: DataFrame, layout: SeriesLayout, value: str = "price") -> Dat
 def trend_line(df: DataFrame, layout: SeriesLayout, value: str = "price") -> DataFrame:
     """Each row with the value of its series' trend line."""
     numbered = number_rows(complete_rows(df, value), layout)
-    fit = trend_fit(numbered, layout, value).select(*layout.group_cols, "slope", "intercept")
-    return attach_stats(numbered, fit, layout).select(
-        *layout.group_cols, "timestamp", value,
-        (F.col("intercept") + F.col("slope") * F.col(INDEX)).alias("linear_trend"))
+    x, y = F.col(INDEX), F.col(value)
+    fitted = series_stats(numbered, {"_slope": F.regr_slope(y, x), "_intercept": F.regr_intercept(y, x)}, layout)
+    return fitted.select(*layout.group_cols, "timestamp", value, (F.col("_intercept") + F.col("_slope") * x).alias("linear_trend"))
 
 
 # Sums over blocks

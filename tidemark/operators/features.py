@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import GROUP_COLS, SeriesLayout, attach_stats, running_total
+from tidemark.operators.ordering import GROUP_COLS, SeriesLayout, running_total, series_stats
 from tidemark.operators.series import LAGS, add_lags, lag_names
 
 TRAIN_RATIO = 0.80
@@ -61,16 +61,15 @@ def scaling_stats(
     return train.groupBy(*by).agg(*columns)
 
 
-def standardize(
-    df: DataFrame, stats: DataFrame, features: Sequence[str], layout: SeriesLayout
-) -> tuple[DataFrame, list[str]]:
-    """``(x - mean) / std`` with the training statistics; 0 where there is no spread."""
-    scaled = {}
+def standardize(df: DataFrame, features: Sequence[str], layout: SeriesLayout) -> tuple[DataFrame, list[str]]:
+    """``(x - mean) / std`` of a split table with its training statistics; 0 where there is no spread."""
+    train, stats, scaled = F.col("dataset_type") == TRAIN, {}, {}
     for name in features:
-        std = F.col(f"{name}_std")
+        seen, std = F.when(train, F.col(name)), F.col(f"{name}_std")
+        stats |= {f"{name}_mean": F.avg(seen), f"{name}_std": F.stddev_samp(seen)}
         scaled[f"{name}_scaled"] = F.when(std.isNull() | (std == 0), F.lit(0.0)).otherwise(
             F.try_divide(F.col(name) - F.col(f"{name}_mean"), std))
-    return attach_stats(df, stats, layout).withColumns(scaled), list(scaled)
+    return series_stats(df, stats, layout).withColumns(scaled), list(scaled)
 
 
 def assemble(df: DataFrame, scaled: Sequence[str], output: str = "features") -> DataFrame:
@@ -89,8 +88,7 @@ def build_features(
     """
     names = lag_names(value, lags)
     tagged = split_features(df, layout, value, lags, ratio)
-    stats = scaling_stats(train_rows(tagged), names, layout.group_cols)
-    scaled, scaled_names = standardize(tagged, stats, names, layout)
+    scaled, scaled_names = standardize(tagged, names, layout)
     extra = []
     if vector:
         scaled = assemble(scaled, scaled_names)

@@ -18,7 +18,7 @@ here then takes one of two exact routes:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -111,6 +111,18 @@ def attach_stats(df: DataFrame, stats: DataFrame, layout: SeriesLayout) -> DataF
     return join_series(df, stats, layout.group_cols, "left", layout.fits_broadcast(stats, layout.series))
 
 
+def series_stats(df: DataFrame, stats: Mapping[str, Column], layout: SeriesLayout) -> DataFrame:
+    """Add aggregates over each row's whole series to rows that are grouped by series anyhow.
+
+    Short series: window aggregates, which use the partitioning of the windows before them, so the
+    rows are neither read nor shuffled again. Long ones: one aggregation with partial sums, joined.
+    """
+    if layout.blocked:
+        return attach_stats(df, df.groupBy(*layout.group_cols).agg(*[c.alias(n) for n, c in stats.items()]), layout)
+    whole = Window.partitionBy(*layout.group_cols)
+    return df.withColumns({name: column.over(whole) for name, column in stats.items()})
+
+
 def number_rows(df: DataFrame, layout: SeriesLayout, name: str = INDEX) -> DataFrame:
     """Add the 0-based position of each row in its series."""
     if not layout.blocked:

@@ -17,6 +17,7 @@ from tidemark.operators import models
 from tidemark.operators.ordering import ORDER_COLS, SeriesLayout, measure_series
 from tidemark.operators.parse import ALIGN_KEYS, parse_chart, parse_ohlc, quarantined
 from tidemark.operators.series import LAGS
+from tidemark.session import scratch_scope
 from tidemark.sources.landing import scan_landing
 from tidemark.sources.tables import create_layers, layer_name, load_source, save_table
 
@@ -129,9 +130,11 @@ def run(
 ) -> tuple[DataFrame, DataFrame]:
     """The whole job, for every currency or one; ``source`` equals ``target`` unless one environment reads another's."""
     create_layers(spark, target.prefix)
-    ingest(spark, landing, target)
-    process_chart(spark, source, target)
-    process_ohlc(spark, source, target)
-    process_quarantine(spark, source, target)
-    _features, layout = create_features(spark, target, target)
-    return train(spark, target, target, layout, vs_currency, strict=strict)
+    # All results are tables by the end, so intermediate stages can go.
+    with scratch_scope(spark):
+        ingest(spark, landing, target)
+        process_chart(spark, source, target)
+        process_ohlc(spark, source, target)
+        process_quarantine(spark, source, target)
+        _features, layout = create_features(spark, target, target)
+        return train(spark, target, target, layout, vs_currency, strict=strict)

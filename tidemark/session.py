@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +54,41 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def store(df: DataFrame, label: str = "stage") -> str:
+    """Write ``df`` to a new folder under the scratch folder as Parquet; its path."""
+    path = f"{scratch_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    for stages in _open_scopes:
+        stages.append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` to the scratch folder as Parquet and read it back.
+    """Write ``df`` to the scratch folder and read it back.
 
     Cuts the lineage, so values that depend on how rows were partitioned stay fixed
     for every later reader, and keeps column pruning and min/max row-group skipping.
     """
-    path = f"{scratch_root(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store(df, label))
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes the stages stored inside it when it ends, also after an error.
+
+    Results that read them must be written or collected before that.
+    """
+    stages: list[str] = []
+    _open_scopes.append(stages)
+    try:
+        yield stages
+    finally:
+        # By identity: lists of equal content are equal.
+        _open_scopes[:] = [s for s in _open_scopes if s is not stages]
+        paths = spark._jvm.org.apache.hadoop.fs.Path
+        for stage in stages:
+            path = paths(stage)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from tidemark.functions.timestamps import TEXT_FORMAT
 from tidemark.operators.features import build_features
 from tidemark.operators.models import forecasts, score_all
 from tidemark.operators.ordering import SeriesLayout, measure_series
-from tidemark.session import apply_settings, materialize, scratch_root
+from tidemark.session import apply_settings, materialize, scratch_root, store
 
 ORDER = ("timestamp", "event_id")
 POINTS_PER_DOCUMENT = 256
@@ -22,12 +25,36 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_settings(spark).read.parquet(f"{sf_dir}/events.parquet")
 
 
+@dataclass
+class Variant:
+    """How the market is presented while a query is built."""
+
+    no_currency: bool = False       # the second currency is missing
+    long_series: bool = False       # series count as too long for one task
+
+
+variant = Variant()
+# Rows of a block where the route for long series is forced.
+SMALL_BLOCK = 256
+
+
+@contextmanager
+def presented(**how: bool):
+    global variant
+    before, variant = variant, Variant(**how)
+    try:
+        yield
+    finally:
+        variant = before
+
+
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten series: an event type is a coin, the parity of the user its currency."""
     value = F.col("value")
+    currency = F.when(F.col("user_id") % 2 == 0, "usd")
     return events(spark, sf_dir).select(
         F.col("event_type").alias("coin_id"),
-        F.when(F.col("user_id") % 2 == 0, "usd").otherwise("eur").alias("vs_currency"),
+        (currency if variant.no_currency else currency.otherwise("eur")).alias("vs_currency"),
         F.col("ts").alias("timestamp"),
         "event_id",
         value.alias("price"),
@@ -37,6 +64,8 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layout_of(df: DataFrame) -> SeriesLayout:
+    if variant.long_series:
+        return measure_series(df, order_cols=ORDER, plain_limit=1, rows_per_block=SMALL_BLOCK)
     return measure_series(df, order_cols=ORDER)
 
 
@@ -127,10 +156,25 @@ def write_lines(lines: DataFrame, path: str, file_prefix: str) -> str:
     return path
 
 
+_MADE: dict[tuple, str] = {}
+
+
+def once(spark: SparkSession, key: tuple, make: Callable[[], str]) -> str:
+    """The folder of an input that a session needs in several queries, made at first use."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
+
+
 def land_documents(spark: SparkSession, sf_dir: str, kind: str, loads: int = 2) -> str:
-    """Write chart or OHLC documents to a fresh landing folder; the second load repeats
-    every even document with another ``days``."""
+    """A landing folder with chart or OHLC documents; the second load repeats every even document
+    with another ``days``. Written once a session: landing is the input of parsing, not a part of it."""
     apply_settings(spark)
+    return once(spark, (kind, sf_dir, loads), lambda: _land(spark, sf_dir, kind, loads))
+
+
+def _land(spark: SparkSession, sf_dir: str, kind: str, loads: int) -> str:
     root = f"{scratch_root(spark)}/landing-{uuid.uuid4().hex}"
     column = "chart" if kind == "market_chart" else "ohlc"
     write_lines(documents(spark, sf_dir, "1").select(column), f"{root}/1", kind)
@@ -167,6 +211,12 @@ def feature_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLa
     return materialize(build_features(df, layout), "features"), layout
 
 
+def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = once(spark, ("forecasts", sf_dir, variant.no_currency, variant.long_series), lambda: store(
+        forecast_table(spark, sf_dir)[0], "forecasts"))
+    return spark.read.parquet(path)
+
+
 def forecast_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:
     features, layout = feature_table(spark, sf_dir)
     _, predictions = score_all(features, layout)

@@ -689,3 +689,16 @@ changes AS (SELECT *, price - lag(price) OVER ({W}) AS change FROM market),""" +
 SELECT {G}, {r('a.p', 'adf_p_value_diff_price')}, {r('k.p', 'kpss_p_value_diff_price')},
        a.p < 0.05 AS adf_stationary_5pct, k.p >= 0.05 AS kpss_stationary_5pct
 FROM adf a JOIN kpss k USING ({G})""")
+
+
+# Variants: a missing currency is a value of its own to SQL until the last step; long series give the same rows.
+
+def _without_currency(name: str) -> str:
+    body = ORACLES[name].replace("ELSE 'eur' END", "ELSE '?' END")
+    return f"SELECT * REPLACE (nullif(vs_currency, '?') AS vs_currency) FROM ({body})"
+
+
+def add_variants(variants: dict) -> None:
+    for suffix, (how, names) in variants.items():
+        for name in names:
+            ORACLES[f"{name}_{suffix}"] = _without_currency(name) if how.get("no_currency") else ORACLES[name]

@@ -20,6 +20,7 @@ from tidemark.session import materialize, scratch_root
 from tidemark.sources.landing import peek_with_file, scan_landing
 from tidemark.sources.tables import load_source, row_count
 from workload import market as m
+from workload.oracles import add_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,7 +54,8 @@ def _history(spark, sf_dir):
 
 
 def _forecasts(spark, sf_dir):
-    return m.forecast_table(spark, sf_dir)[0]
+    """The forecasts as one job stored them; monitoring reads them and fits nothing again."""
+    return m.stored_forecasts(spark, sf_dir)
 
 
 def _split(spark, sf_dir):
@@ -230,8 +232,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     tagged, layout = _split(spark, sf_dir)
     names = series.lag_names("price")
-    stats = feat.scaling_stats(feat.train_rows(tagged), names)
-    rows, scaled = feat.standardize(tagged, stats, names, layout)
+    rows, scaled = feat.standardize(tagged, names, layout)
     return rows.select("coin_id", "vs_currency", "timestamp", *scaled)
 
 
@@ -264,7 +265,7 @@ def _(spark, sf_dir):
 
 @query("forecasts")
 def _(spark, sf_dir):
-    return _forecasts(spark, sf_dir)
+    return m.forecast_table(spark, sf_dir)[0]
 
 
 @query("control_limits")
@@ -635,3 +636,30 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     returns, layout = _returns(spark, sf_dir)
     return diag.pacf(diag.acf(returns, layout, "return_pct"), layout)
+
+
+# The same operators where the second currency is missing, and by the route for series that are too long for one
+# task, with small blocks.
+
+VARIANTS = {
+    "no_currency": ({"no_currency": True}, (
+        "lag_features", "standardize", "feature_train", "forecasts", "control_limits", "forecast_metrics", "split_validation", "return_outliers", "price_histogram", "return_boxplot", "trend_line",
+        "trend_test", "price_acf", "return_pacf", "kpss_test", "adf_test", "stationarity")),
+    "long": ({"long_series": True}, (
+        "lag_features", "split_train", "split_test", "standardize", "feature_train", "forecasts", "intervals", "returns",
+        "rolling_price", "rolling_volatility", "price_lag_corr", "return_outliers", "return_boxplot", "trend_line",
+        "price_acf", "kpss_test", "adf_test")),
+}
+
+
+def _presented(name: str, how: dict[str, bool]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with m.presented(**how):
+            return QUERIES[name](spark, sf_dir)
+
+    return run
+
+
+for _suffix, (_how, _names) in VARIANTS.items():
+    QUERIES |= {f"{_name}_{_suffix}": _presented(_name, _how) for _name in _names}
+add_variants(VARIANTS)
