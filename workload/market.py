@@ -21,6 +21,9 @@ ORDER = ("timestamp", "event_id")
 POINTS_PER_DOCUMENT = 256
 
 
+prepared = apply_settings
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_settings(spark).read.parquet(f"{sf_dir}/events.parquet")
 

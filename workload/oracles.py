@@ -166,6 +166,10 @@ def summary(column: str, mean: str, std: str, low: str, q1: str, median: str, q3
 
 oracle("raw_ingest", "", """SELECT props AS data, true AS is_chart_file, true AS has_size, true AS landed_before_load
 FROM events""")
+oracle("incremental_landing", "", "SELECT props AS data, true AS is_chart_file, true AS has_size FROM events")
+oracle("table_round_trip", MARKET, f"""
+SELECT {G}, timestamp, event_id, {r('price')} FROM market WHERE vs_currency = 'usd'""")
+oracle("renamed_timestamp", LOADS, f"SELECT {G}, event_id, timestamp_raw, timestamp, load FROM parsed")
 oracle("load_source", MARKET, f"SELECT coin_id, timestamp, vs_currency, {r('price')} FROM market")
 oracle("row_count", MARKET, "SELECT count(*) AS row_count FROM market")
 oracle("peek_with_file", "", """SELECT event_id, ts, user_id, event_type, value, props, 'events.parquet' AS file_path
@@ -252,6 +256,8 @@ FROM split WHERE dataset_type = '{side}'""")
     oracle(f"feature_{side}", FEATURES, f"""
 SELECT coin_id, timestamp, vs_currency, {r('price')}, {rs(LAG_COLUMNS)}, {rs(SCALED_COLUMNS)}
 FROM features WHERE dataset_type = '{side}'""")
+oracle("assembled", FEATURES, f"""
+SELECT {G}, timestamp, {', '.join(r(f'price_lag_{k}_scaled', f'f{i}') for i, k in enumerate(LAGS))} FROM features""")
 oracle("scaling_stats", FEATURES, f"""
 SELECT {G}, {', '.join(rs(f'price_lag_{k}_mean, price_lag_{k}_std') for k in LAGS)} FROM stats""")
 oracle("standardize", FEATURES, f"SELECT {G}, timestamp, {rs(SCALED_COLUMNS)} FROM features")
@@ -274,6 +280,11 @@ FROM sizes JOIN slopes USING ({G})""")
 oracle("forecasts", FORECASTS, f"""
 SELECT coin_id, timestamp, vs_currency, dataset_type, {rs('price, prediction, residual')}, {rs(LIMITS)}
 FROM forecasts""")
+ONE = "coin_id = 'click' AND vs_currency = 'usd'"
+oracle("single_model", FORECASTS, f"""
+SELECT coin_id, timestamp, vs_currency, dataset_type, {rs('price, prediction, residual')}, {rs(LIMITS)}
+FROM forecasts WHERE {ONE}""")
+oracle("saved_model", FORECASTS, f"SELECT {G}, timestamp, {rs('prediction, residual')} FROM forecasts WHERE {ONE}")
 oracle("control_limits", FORECASTS, f"SELECT {G}, {rs(LIMITS)} FROM limits")
 oracle("model_performance", FORECASTS, f"""
 SELECT {G}, 'linear_regression' AS model_type, count(*) FILTER (dataset_type = 'train') AS train_rows,
@@ -373,6 +384,19 @@ SELECT {G}, {r('seconds / 60.0', 'interval_minutes')}, count FROM (
 oracle("time_gaps", INTERVALS, f"""
 SELECT {G}, previous_timestamp, timestamp, {r('interval_minutes')} FROM intervals WHERE interval_minutes > 5""")
 
+def _first(report: str, source: str, order: str) -> str:
+    return f"SELECT '{report}' AS report, {G} FROM (SELECT * FROM {source} ORDER BY {order} LIMIT 3)"
+
+
+oracle("limited_reports", INTERVALS + f""",
+frequencies AS (SELECT {G}, interval_minutes, count(*) AS c FROM intervals WHERE interval_minutes IS NOT NULL GROUP BY ALL),
+keys AS (SELECT DISTINCT {G} FROM market), sides AS (SELECT *, unnest(['test', 'train']) AS side FROM keys)""",
+       " UNION ALL ".join([
+           _first("coverage", "keys", G), _first("cadence", "keys", G), _first("describe", "keys", G),
+           _first("metrics", "sides", f"{G}, side"),
+           _first("frequency", "frequencies", "coin_id, c DESC, vs_currency, interval_minutes"),
+           _first("gaps", "(SELECT * FROM intervals WHERE interval_minutes > 5)", f"interval_minutes DESC, {G}, timestamp")]))
+
 # Description
 
 oracle("describe_market", LOADS, f"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from tidemark.operators.ordering import number_rows
 from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, quarantined, usable
 from tidemark.session import materialize, scratch_root
 from tidemark.sources.landing import peek_with_file, scan_landing
-from tidemark.sources.tables import load_source, row_count
+from tidemark.sources.tables import create_layers, layer_name, load_source, replace_from_query, row_count, save_table
+from tidemark.streaming.landing import land_new_files
 from workload import market as m
 from workload.oracles import add_variants
 
@@ -75,6 +78,36 @@ def _(spark, sf_dir):
         (F.col("file_modification_time") <= F.col("etl_timestamp")).alias("landed_before_load"))
 
 
+@query("incremental_landing")
+def _(spark, sf_dir):
+    """Two runs of the incremental job over files that arrive between them; a third finds nothing new."""
+    root = f"{scratch_root(m.prepared(spark))}/arriving-{uuid.uuid4().hex}"
+    rows = m.events(spark, sf_dir).select("event_id", "props")
+    for parity in (0, 1, None):
+        if parity is not None:
+            m.write_lines(rows.filter(F.col("event_id") % 2 == parity).select("props"), f"{root}/in", "market_chart")
+        land_new_files(spark, f"{root}/in", f"{root}/out", f"{root}/state").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select(
+        "data", F.contains("file_name", F.lit("market_chart")).alias("is_chart_file"), (F.col("file_size") > 0).alias("has_size"))
+
+
+@query("table_round_trip")
+def _(spark, sf_dir):
+    """A table of a layer is created, replaced with another schema, made again from a query, and read back."""
+    prefix = f"t{uuid.uuid4().hex[:8]}"
+    create_layers(m.prepared(spark), prefix)
+    market = f"{layer_name(prefix, 'processed')}.market"
+    save_table(m.market(spark, sf_dir).select("coin_id"), market)
+    save_table(m.market(spark, sf_dir), market, "The whole market", partition_by=["coin_id"])
+    usd = replace_from_query(spark, f"{layer_name(prefix, 'features')}.usd", f"SELECT * FROM {market} WHERE vs_currency = 'usd'")
+    return usd.select("coin_id", "vs_currency", "timestamp", "event_id", "price")
+
+
+@query("renamed_timestamp")
+def _(spark, sf_dir):
+    return _parsed_loads(spark, sf_dir).select("coin_id", "vs_currency", "event_id", "timestamp_raw", "timestamp", "load")
+
+
 @query("load_source")
 def _(spark, sf_dir):
     m.market(spark, sf_dir).createOrReplaceTempView("market_source")
@@ -250,6 +283,46 @@ def _(spark, sf_dir):
 
 # Models
 
+@query("assembled")
+def _(spark, sf_dir):
+    df, layout = m.market_series(spark, sf_dir)
+    rows = feat.select_final(feat.build_features(df, layout, vector=True))
+    values = vector_to_array("features")
+    return rows.select("coin_id", "vs_currency", "timestamp", *[values[i].alias(f"f{i}") for i in range(5)])
+
+
+@query("single_model")
+def _(spark, sf_dir):
+    features, layout = m.feature_table(spark, sf_dir)
+    return models.single_model(features, layout, {"coin_id": ONE_COIN, "vs_currency": ONE_CURRENCY})[1]
+
+
+@query("saved_model")
+def _(spark, sf_dir):
+    """Coefficients of one series stored twice, read back and applied."""
+    features, layout = m.feature_table(spark, sf_dir)
+    path, key = f"{scratch_root(spark)}/model-{uuid.uuid4().hex}", {"coin_id": ONE_COIN, "vs_currency": ONE_CURRENCY}
+    for _ in range(2):
+        models.single_model(features, layout, key, path=path)
+    one = series.filter_series(features, ONE_COIN, ONE_CURRENCY)
+    return models.predict(one, spark.read.parquet(path), models.scaled_names(), layout).select(
+        "coin_id", "vs_currency", "timestamp", "prediction", "residual")
+
+
+@query("limited_reports")
+def _(spark, sf_dir):
+    """The first rows of reports that take a limit, as a name and the rows kept."""
+    df, layout = m.market_series(spark, sf_dir)
+    intervals, forecasts = series.add_intervals(df, layout), _forecasts(spark, sf_dir)
+    reports = {
+        "coverage": quality.coverage(df, limit=3), "cadence": quality.cadence_summary(intervals, limit=3),
+        "frequency": quality.interval_frequency(intervals, limit=3), "gaps": series.time_gaps(intervals, limit=3),
+        "describe": desc.describe(df, {"price": desc.spread("price")}, limit=3),
+        "metrics": monitoring.report_part(forecasts, "errors", limit=3)}
+    every = [r.select(F.lit(name).alias("report"), "coin_id", "vs_currency") for name, r in reports.items()]
+    return reduce(DataFrame.unionByName, every)
+
+
 @query("series_status")
 def _(spark, sf_dir):
     return models.series_status(_split(spark, sf_dir)[0])
