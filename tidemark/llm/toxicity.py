@@ -6,7 +6,8 @@ words are disguised by digits or signs. All are counted over the whole text.
 
 Learning uses a bounded sample of labelled rows outside the held-out fold, chosen by hash. It is
 cut by the rest of crc32(id) / 5: rests 1 and 2 teach the learned stems, rest 3 the trees, rest 4
-the calibration, so the trees see how far stems can be trusted on other rows.
+the calibration, so the trees see how far stems can be trusted on other rows. Near copies teach once: of
+sampled texts that share a min-hash of their three-word runs (three tries), the one with the least id.
 
 Defined cases: NULL and empty texts get the features of a text without words and a score like
 any other; rows without a label are scored only; labels without a document teach nothing; a label
@@ -28,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LETTERS_ASCII, Words, buffer_of, chunks, crc_of_id, materialize, only, prepare, table_of
+from tidemark.llm.common import LETTERS_ASCII, Words, buffer_of, chunks, crc_of_id, materialize, mix, only, prepare, shingles, table_of
 
 FOLDS = 5
 SAMPLE_ROWS = 12_000
@@ -135,6 +136,32 @@ def feature_rows(texts: DataFrame, stems: dict[str, float]) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
+def unlike(rows: DataFrame, tries: int = 3) -> DataFrame:
+    """``rows`` (``doc_id, text``, ...) without near copies of each other."""
+    keys = [f"_key{i}" for i in range(tries)]
+    schema = rows.select("*", *[F.lit(0).cast("long").alias(k) for k in keys]).schema
+
+    def keyed(batches):
+        for batch in batches:
+            for part in chunks(batch):
+                words = Words(*buffer_of(part.column("text")))
+                found, owner = shingles(words.hashes(), words.first, 3)
+                start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else []
+                columns = []
+                for i in range(tries):
+                    least = np.arange(part.num_rows)  # texts without words share nothing
+                    if len(owner):
+                        least[owner[start]] = np.minimum.reduceat(mix(found + np.uint64(i)), start).view(np.int64)
+                    columns.append(pa.array(least))
+                yield pa.record_batch([*part.columns, *columns], names=schema.names)
+
+    left = rows.mapInArrow(keyed, schema)
+    for key in keys:
+        row = F.struct("doc_id", *[c for c in left.columns if c != "doc_id"])
+        left = left.groupBy(key).agg(F.min(row).alias("_row")).select("_row.*")
+    return left.select(*rows.columns)
+
+
 def learn_stems(rows: DataFrame) -> dict[str, float]:
     """Words and stems with the log of how much likelier they are in toxic rows (``text, label``)."""
     def tally(batches):
@@ -193,8 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     ids = (marked.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("label"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     texts = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = materialize(texts.join(F.broadcast(ids), "doc_id").select(
-        "text", "label", (crc_of_id() % FOLDS).cast("int").alias("rest")), "toxicity-sample")
+    rows = materialize(unlike(texts.join(F.broadcast(ids), "doc_id").select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "label", (crc_of_id() % FOLDS).cast("int").alias("rest"))),
+        "toxicity-sample")
     stems = learn_stems(rows.filter("rest in (1, 2)").select("text", "label"))
     vectors = materialize(feature_rows(rows.select("text", "label", "rest"), stems), "toxicity-features")
     counts = {(r["label"], r["rest"]): r["count"] for r in vectors.groupBy("label", "rest").count().collect()}
