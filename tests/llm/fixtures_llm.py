@@ -62,7 +62,7 @@ def jaccard(x: collections.Counter, y: collections.Counter) -> float:
 
 
 def near_classes(rows, threshold: float = 0.8) -> dict:
-    """Least id of each document's class, over all pairs that share a shingle."""
+    """Least id of each document's class, over all pairs that share a shingle; texts without words are copies."""
     bags = [(i, bag(t)) for i, t in rows if i is not None]
     holders = collections.defaultdict(set)
     parent = {i: i for i, _ in bags}
@@ -72,6 +72,9 @@ def near_classes(rows, threshold: float = 0.8) -> dict:
             x = parent[x]
         return x
 
+    blank = [i for i, t in rows if i is not None and t is not None and not WORD.search(t)]
+    for i in blank:
+        parent[root(i)] = min(blank)
     for n, (_, b) in enumerate(bags):
         for gram in b:
             holders[gram].add(n)
