@@ -9,6 +9,7 @@ import duckdb
 import fixtures_llm as fx
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe, decontamination, language, line_dedup, lm, near_dedup, quality, token_counts, token_files, toxicity,
@@ -45,6 +46,15 @@ def test_all_run_on_an_empty_table(spark, toxic_labels):
         assert df.count() == 0
 
 
+def test_columns_that_clash_in_case_or_name(spark):
+    docs = spark.createDataFrame([(1, "Same words", "other", 5)], "doc_id long, text string, TEXT string, text_hash int")
+    twice = docs.join(docs.select("doc_id").withColumnRenamed("doc_id", "n"), docs["doc_id"] == F.col("n")).toDF(
+        "doc_id", "text", "TEXT", "doc_id", "text")
+    for rows in (docs, twice):
+        assert [tuple(r) for r in token_counts.count_tokens(rows).select("doc_id", "n_bytes").collect()] == [(1, 10)]
+        assert line_dedup.line_digests(rows).first()["n_lines"] == 1
+
+
 # 1
 
 def test_decontamination_finds_whole_items(spark, documents):
@@ -210,10 +220,11 @@ def test_near_dedup(spark, documents):
         assert rows_of(df, "doc_id", "class_id") == sorted(((i, expected.get(i)) for i, _ in rows), key=repr)
 
 
-@pytest.mark.parametrize("rows_at_once", [near_dedup.BROADCAST_ROWS, 0])
-def test_near_dedup_joins_through_members_that_are_no_pivot(spark, monkeypatch, rows_at_once):
+@pytest.mark.parametrize("rows_at_once, block", [(near_dedup.BROADCAST_ROWS, near_dedup.BLOCK), (0, 3)])
+def test_near_dedup_joins_through_members_that_are_no_pivot(spark, monkeypatch, rows_at_once, block):
     """A chain of texts, each like the next only, and a large group around one text."""
     monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", rows_at_once)
+    monkeypatch.setattr(near_dedup.links, "__defaults__", (block,))
     words = [f"w{i}" for i in range(160)]
     chain = [(i, " ".join(words[6 * i:6 * i + 100])) for i in range(9)]
     group = [(100 + i, " ".join([*words[:50], f"own{i}", *words[60:150]])) for i in range(40)]

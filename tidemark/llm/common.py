@@ -46,12 +46,12 @@ def crc_of_id(name: str = "doc_id") -> Column:
 
 
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns by position of first appearance, so clashing extra columns do no harm.
+    """The named columns, whatever other columns there are.
 
-    ``doc_id`` and ``text`` are looked up without regard to other columns; where a name is
-    repeated its first column counts.
+    Where a name is repeated, or differs from another one in case only, the first column of
+    exactly that name counts.
     """
-    if len(set(df.columns)) == len(df.columns):
+    if len({c.lower() for c in df.columns}) == len(df.columns):
         return df.select(*names)
     unique = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
     return unique.select(*[F.col(f"_{df.columns.index(n)}").alias(n) for n in names])
