@@ -9,17 +9,18 @@ of time and only up to a horizon by which all slots are filled almost surely (if
 the work is about the number of shingles plus m log m.
 
 Texts with the same words in the same order are one text from the start. Signatures are banded;
-texts that share a band are a bucket. No bucket is expanded into all pairs: first each member is
-verified against one pivot, and classes are the connected components of verified pairs. Then only
-buckets whose members still lie in different classes go on, with more pivots a round, from the
-smallest classes first, until no pair of members of different classes is left that could be similar.
-A pair is ruled out without a look only by the triangle inequality (one minus the weighted Jaccard
-similarity is a metric), so no link is lost, whatever the size of a bucket.
+texts that share a band are a bucket. No bucket is expanded into pairs. First each member is verified
+against the bucket's pivot, and classes are the connected components of verified pairs. Buckets whose
+other members then lie in different classes are cut into blocks. A task holds two blocks against each
+other by one byte of each slot, verifies pairs of different classes that agree in 64 % of the slots or more
+(at similarity 0.8 fewer agree with probability below one in 100,000), in the bucket of their first shared
+band, and returns only links that join two classes. So every pair in a bucket that could join two
+classes is looked at, a task holds two blocks, and what it returns is less than its members.
 
 Verification compares whole multisets: overlap / union of 5-word shingles, at least 0.8.
 
-Defined cases: texts without words (NULL, empty, white space) are alone in their class; texts of
-fewer than ``words`` words have one shingle, all their words; rows that share an id are one
+Defined cases: a NULL text is alone in its class; texts without words (empty, white space) are copies
+of each other; texts of fewer than ``words`` words have one shingle, all their words; rows that share an id are one
 document whose classes join; rows with a NULL id get a NULL class; whole texts of any length;
 extra columns are ignored; an empty table gives an empty result.
 """
@@ -32,15 +33,16 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BASE, Words, buffer_of, chunks, materialize, mix, only, prepare, shingles
+from tidemark.llm.common import BASE, Words, buffer_of, chunks, materialize, mix, only, partitions, prepare, shingles
 
 WORDS, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**25, about 5 in 100,000.
 BANDS, ROWS = 25, 5
-PIVOTS = 64
+# Members of a bucket that one block holds, and the share of slots from which a pair is verified.
+BLOCK, AGREE = 1_000, 0.64
 # Sides of a join are broadcast up to so many rows of two ids, or so many bytes of bags; else both are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 BAG_BYTES = 6
@@ -116,24 +118,30 @@ def _shingled(column: pa.Array, words: int):
 
 
 def sign(texts: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id, same`` (a 128-bit hash of the words; NULL without words) ``, bands`` for each row."""
+    """``doc_id, same`` (a 128-bit hash of the words; NULL for a NULL text) ``, bands, sketch`` for each row.
+
+    ``sketch`` is one byte of each slot of the signature.
+    """
     def run(batches):
         for batch in batches:
             for part in chunks(batch):
                 hashes, first, found, owner = _shingled(part.column("text"), words)
-                same = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if b > a else None
-                        for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+                known = part.column("text").is_valid().to_pylist()
+                same = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if there else None
+                        for a, b, there in zip(first[:-1].tolist(), first[1:].tolist(), known)]
                 # Copies inside a batch are signed once.
                 leader = {}
                 of = np.array([leader.setdefault(s, i) for i, s in enumerate(same)])
                 lead = (of == np.arange(len(of)))[owner]
                 h, w, o = multisets(found[lead], owner[lead])
-                keys = band_keys(bag_signatures(h, w, o, len(same), bands * rows), bands, rows)[of]
+                names = bag_signatures(h, w, o, len(same), bands * rows)[of]
+                keys, sketches = band_keys(names, bands, rows), names.astype(np.uint8)
                 yield pa.record_batch({
                     "doc_id": part.column("doc_id"), "same": pa.array(same, pa.binary()),
-                    "bands": pa.array(list(keys), pa.list_(pa.int64()))})
+                    "bands": pa.array(list(keys), pa.list_(pa.int64())),
+                    "sketch": pa.array([x.tobytes() for x in sketches], pa.binary())})
 
-    return texts.mapInArrow(run, "doc_id long, same binary, bands array<long>")
+    return texts.mapInArrow(run, "doc_id long, same binary, bands array<long>, sketch binary")
 
 
 def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -166,16 +174,18 @@ def _long(bag: pa.Scalar) -> np.ndarray:
     return wide.reshape(-1).view(">u8").astype(np.uint64)
 
 
-def _compare(batches):
+def similarity(x: np.ndarray, y: np.ndarray) -> float:
+    """Overlap over union of two bags."""
+    both = np.concatenate([x, y])
+    both.sort()
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return common / (len(both) - common)
+
+
+def _compare(batches, threshold: float):
     for batch in batches:
-        found = []
-        for x, y in zip(batch.column("bag_a"), batch.column("bag_b")):
-            x, y = _long(x), _long(y)
-            both = np.concatenate([x, y])
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            found.append(common / (len(both) - common))
-        yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+        keep = [similarity(_long(x), _long(y)) >= threshold - 1e-9 for x, y in zip(batch.column("bag_a"), batch.column("bag_b"))]
+        yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def stored(df: DataFrame, label: str, *figures) -> tuple[DataFrame, dict]:
@@ -191,7 +201,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps: each joins a node's neighbours to the least of
     them, by one aggregation and one join, until nothing changes. No neighbourhood is gathered.
     """
-    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+    now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                      .filter("a <> b").distinct(), "edges")
     mark, total = None, F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -208,8 +219,8 @@ def components(edges: DataFrame) -> DataFrame:
         mark = state
 
 
-def compare(pairs: DataFrame, n_pairs: int, bags: DataFrame) -> DataFrame:
-    """``a, b, similarity`` of whole bags for the stored ``pairs`` (``a`` a pivot)."""
+def compare(pairs: DataFrame, n_pairs: int, bags: DataFrame, threshold: float) -> DataFrame:
+    """Those of the stored ``pairs`` (``a`` a pivot, ``b``) whose whole bags are similar enough."""
     few = n_pairs <= BROADCAST_ROWS
     pivots = bags.join(F.broadcast(pairs.select("a").distinct()) if few else pairs.select("a").distinct(),
                        bags["doc_id"] == F.col("a"), "left_semi")
@@ -217,54 +228,78 @@ def compare(pairs: DataFrame, n_pairs: int, bags: DataFrame) -> DataFrame:
     side = pivots.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a"))
     whole = (bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b"))
              .join(F.broadcast(pairs) if few else pairs, "b").join(F.broadcast(side) if light else side, "a"))
-    return whole.select("a", "b", "bag_a", "bag_b").mapInArrow(_compare, "a long, b long, similarity double")
-
-
-def links(texts: DataFrame, members: DataFrame, threshold: float, words: int, pivots: int = PIVOTS) -> DataFrame:
-    """``node, label`` of the classes that candidate pairs in buckets (``band, key, doc``) form once verified."""
+    return whole.select("a", "b", "bag_a", "bag_b").mapInArrow(lambda it: _compare(it, threshold), "a long, b long")
+
+
+def _join_classes(lot: pa.Table, threshold: float) -> pa.Table:
+    """Links that join classes, from whole tiles: members of one or two blocks of a bucket (``band, key, i, j``)."""
+    lot = lot.sort_by([(c, "ascending") for c in ("band", "key", "i", "j", "own", "doc")])
+    doc, label, own, band, i, j = (lot.column(c).to_numpy() for c in ("doc", "label", "own", "band", "i", "j"))
+    sketch = np.frombuffer(b"".join(lot.column("sketch").to_pylist()), np.uint8).reshape(len(doc), -1)
+    keys = np.stack(lot.column("bands").to_pylist())
+    bags = lot.column("bag").combine_chunks()
+    changes = [np.flatnonzero(np.diff(lot.column(c).to_numpy())) + 1 for c in ("band", "key", "i", "j")]
+    edges = np.unique(np.concatenate([[0], *changes, [len(doc)]])).tolist()
+    least, left, right = math.ceil(AGREE * sketch.shape[1]), [], []
+    for a, b in zip(edges[:-1], edges[1:]):
+        root, opened = label[a:b].copy(), {}
+
+        def bag(x: int) -> np.ndarray:
+            if x not in opened:
+                opened[x] = _long(bags[x])
+            return opened[x]
+
+        # Against the rest of its own block, or against the other block, which comes behind it.
+        cut = a + int(np.searchsorted(own[a:b], i[a], side="right"))
+        for x in range(a, cut):
+            first = x + 1 if i[a] == j[a] else cut
+            others = first + np.flatnonzero(root[first - a:] != root[x - a])
+            agree = (sketch[others] == sketch[x]).sum(axis=1)
+            others, agree = others[agree >= least], agree[agree >= least]
+            # The likeliest first: once two classes are one, their other pairs need no look.
+            for y in others[np.argsort(-agree, kind="stable")].tolist():
+                if root[x - a] != root[y - a] and np.argmax(keys[x] == keys[y]) == band[a] and similarity(bag(x), bag(y)) >= threshold - 1e-9:
+                    left.append(doc[x])
+                    right.append(doc[y])
+                    root[root == root[y - a]] = root[x - a]
+    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+
+def links(texts: DataFrame, members: DataFrame, signatures: DataFrame, threshold: float, words: int, block: int = BLOCK) -> DataFrame:
+    """``node, label`` of the classes that the members of buckets (``band, key, doc``) form."""
     ids, found = stored(members.select(F.col("doc").alias("doc_id")).distinct(), "candidates")
     side = F.broadcast(ids) if found["n"] <= BROADCAST_ROWS else ids
     # Of rows that share an id, the one with the least bag is compared.
     bags = materialize(shingle_sets(texts.join(side, "doc_id").select("doc_id", "text"), words)
                        .groupBy("doc_id").agg(F.min("bag").alias("bag")), "bags")
-    reach = 1 - threshold + 1e-9
-    by_hash = F.struct(F.xxhash64("doc"), "doc")
-    lead = members.groupBy("band", "key").agg(F.min_by("doc", by_hash).alias("a"))
-    rest = materialize(members.join(lead, ["band", "key"]).filter("doc <> a").withColumnRenamed("doc", "b"), "members")
-    pairs, found = stored(rest.select("a", "b").distinct(), "pairs")
-    tried = materialize(compare(pairs, found["n"], bags), "compared")
-    # ``near``: the similarity to the bucket's first pivot.
-    rest = rest.join(tried, ["a", "b"]).select("band", "key", F.col("b").alias("doc"), F.col("similarity").alias("near"))
-    labels, fresh = None, tried
-    while True:
-        edges = fresh.filter(F.col("similarity") >= threshold - 1e-9).select("a", "b")
-        if labels is not None:
-            edges = edges.unionByName(labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = components(edges)
-        # A bucket goes on while documents that were no pivot yet lie in different classes.
-        sizes = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-        known = labels.join(sizes, "label").select(F.col("node").alias("doc"), "label", "size")
-        placed = materialize(rest.join(known, "doc", "left").withColumns(
-            {"label": F.coalesce("label", "doc"), "size": F.coalesce("size", F.lit(1))}), "placed")
-        mixed = placed.groupBy("band", "key").agg(
-            F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("band", "key")
-        still_open, found = stored(placed.join(mixed, ["band", "key"]), "open")
-        if not found["n"]:
-            return labels
-        rank = F.row_number().over(Window.partitionBy("band", "key").orderBy("size", F.xxhash64("doc"), "doc"))
-        lead = still_open.withColumn("rank", rank).filter(F.col("rank") <= pivots).select(
-            "band", "key", F.col("doc").alias("a"), F.col("label").alias("own"), F.col("near").alias("own_near"))
-        # 1 - similarity is a metric: documents whose distances to the first pivot differ by more than
-        # the reach cannot be similar to each other.
-        possible = still_open.join(lead, ["band", "key"]).filter((F.col("label") != F.col("own")) & (
-            F.abs(F.col("near") - F.col("own_near")) <= reach)).select("a", F.col("doc").alias("b"))
-        once = possible.withColumns({"x": F.least("a", "b"), "y": F.greatest("a", "b")}).dropDuplicates(["x", "y"])
-        before = tried.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        pairs, found = stored(once.join(before, ["x", "y"], "left_anti").select("a", "b"), "pairs")
-        rest = still_open.select("band", "key", "doc", "near").join(
-            lead.select("band", "key", F.col("a").alias("doc")), ["band", "key", "doc"], "left_anti")
-        fresh = materialize(compare(pairs, found["n"], bags), "compared")
-        tried = tried.unionByName(fresh)
+    lead = members.groupBy("band", "key").agg(F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("a"))
+    rest = materialize(members.join(lead, ["band", "key"]).filter("doc <> a"), "members")
+    pairs, found = stored(rest.select("a", F.col("doc").alias("b")).distinct(), "pairs")
+    labels = materialize(components(compare(pairs, found["n"], bags, threshold)), "labels")
+
+    placed = materialize(rest.select("band", "key", "doc").join(
+        labels.select(F.col("node").alias("doc"), "label"), "doc", "left").withColumn(
+        "label", F.coalesce("label", "doc")), "placed")
+    mixed = placed.groupBy("band", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    split, found = stored(
+        placed.join(mixed.select("band", "key", blocks.alias("blocks")), ["band", "key"])
+        .withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")), "open")
+    if not found["n"]:
+        return labels
+    few = found["n"] <= BROADCAST_ROWS
+    known = bags.join(signatures, "doc_id").withColumnRenamed("doc_id", "doc")
+    tiles = (
+        known.join(F.broadcast(split) if few else split, "doc")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("band", "key", "doc", "label", "own", "sketch", "bands", "bag",
+                F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        # Small tiles share a call of the function; a lot holds about an eighth of a partition.
+        .withColumn("lot", F.pmod(F.xxhash64("band", "key", "i", "j"), F.lit(8 * partitions(texts.sparkSession)))))
+    joined = tiles.groupBy("lot").applyInArrow(lambda lot: _join_classes(lot, threshold), "a long, b long")
+    return components(joined.unionByName(
+        labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -278,11 +313,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, b
     distinct = worded.join(copies, "same")
     # Membership of copies in their text's document; an id that stands in several rows links their texts.
     same_text = distinct.filter("doc_id <> lead").select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
-    leads = distinct.filter("doc_id = lead").select("doc_id", "bands").dropDuplicates(["doc_id", "bands"])
+    leads = distinct.filter("doc_id = lead").select("doc_id", "bands", "sketch").dropDuplicates(["doc_id", "bands"])
     banded = leads.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "key")
     members = materialize(banded.join(shared, ["band", "key"]).select("band", "key", "doc").distinct(), "buckets")
-    near = links(texts.filter(F.col("text").isNotNull()), members, threshold, words)
+    signatures = leads.groupBy("doc_id").agg(F.min(F.struct("bands", "sketch")).alias("s")).select("doc_id", "s.*")
+    near = links(texts.filter(F.col("text").isNotNull()), members, signatures, threshold, words)
     edges = near.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
     final = components(edges.unionByName(same_text))
     return signed.select("doc_id").join(final.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").select(
