@@ -25,6 +25,7 @@ table writes no file and gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import uuid
 import zlib
@@ -42,9 +43,9 @@ MAGIC, VERSION = 0x314B4F54, 1
 END_ID = 0
 SHARD_TOKENS = 2_000_000
 # Parts that one Python worker remembers, and their greatest length.
-CACHE_SIZE = 400_000
+CACHE_SIZE = 600_000
 PART_CHARS = 64
-BATCH_PARTS = 4096
+BATCH_PARTS = 256
 CUT = re.compile(r"(?<=\S) ")
 
 FILES = "path string, task int, number int, n_docs long, n_tokens long"
@@ -56,46 +57,51 @@ class PartEncoder:
     """Ids of whole texts by the tokenizers library, remembering those of frequent parts."""
 
     def __init__(self, definition: bytes, cache_size: int = CACHE_SIZE):
+        # Spark runs a worker for each core; the library's own threads would only contend.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(definition)
         self.cache, self.cache_size = {}, cache_size
         size = self.tokenizer.get_vocab_size()
+        # Remembered ids take two bytes each where the vocabulary allows it.
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
         special = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         # Bytes of each id: a byte-level token has one character per byte.
         self.length = np.array(
             [len(special[i].encode()) if i in special else len(self.tokenizer.id_to_token(i) or "") for i in range(size)],
             np.int64)
 
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
         """Ids of parts that each stand behind a space, all encoded as one text and cut by byte counts."""
         found = {}
-        for i in range(0, len(parts), BATCH_PARTS):
-            some = parts[i:i + BATCH_PARTS]
-            ids = self.whole("".join([" " + p for p in some]))
+        lots = [parts[i:i + BATCH_PARTS] for i in range(0, len(parts), BATCH_PARTS)]
+        for some, ids in zip(lots, self.whole(["".join([" " + p for p in some]) for some in lots])):
             ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in some])
             at = np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1
-            raw = ids.tobytes()
-            for part, a, b in zip(some, np.concatenate([[0], at[:-1]]).tolist(), at.tolist()):
-                found[part] = raw[4 * a:4 * b]
+            raw, width = ids.astype(self.kind).tobytes(), self.kind().itemsize
+            at = (at * width).tolist()
+            found.update((part, raw[a:b]) for part, a, b in zip(some, [0, *at], at))
         return found
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
-        cache, split = self.cache, [CUT.split(t) for t in texts]
-        # The first and the last part of a text have other neighbours than a space and a character.
-        new = {p for parts in split for p in parts[1:-1] if p not in cache}
+        """Ids of each text. Of its parts only the first has no space before it, and only the last can end in white
+        space; all others are encoded alike wherever they stand."""
+        cache, pieces = self.cache, []
+        for text in texts:
+            first, *parts = CUT.split(text)
+            last = " " + parts.pop() if parts and parts[-1][-1:].isspace() else ""
+            pieces.append((first, parts, last))
+        new = {p for _, parts, _ in pieces for p in parts if p not in cache}
         learned = self._learn(list(new))
+        ends = self.whole([x for first, _, last in pieces for x in (first, last)])
         out = []
-        for parts in split:
-            if len(parts) < 3:
-                out.append(self.whole(" ".join(parts)))
-                continue
-            middle = b"".join([cache.get(p) or learned[p] for p in parts[1:-1]])
-            out.append(np.concatenate([
-                self.whole(parts[0]), np.frombuffer(middle, np.uint32), self.whole(" " + parts[-1])]))
+        for (_, parts, _), first, last in zip(pieces, ends[::2], ends[1::2]):
+            middle = b"".join([cache[p] if p in cache else learned[p] for p in parts])
+            out.append(np.concatenate([first, np.frombuffer(middle, self.kind).astype(np.uint32), last]))
         if len(cache) < self.cache_size:
             cache.update((p, i) for p, i in learned.items() if len(p) <= PART_CHARS)
         return out
