@@ -279,6 +279,33 @@ def test_filter_reads_back_levels():
     assert (levels >= lm.quantise(counts)).all() and (levels == lm.quantise(counts)).mean() > 0.8
 
 
+def stored_documents(spark):
+    return spark.read.parquet(f"{fx.SF_DIR}/documents.parquet")
+
+
+@pytest.mark.parametrize("head", [50, lm.HEAD])
+def test_lm_filter_past_the_broadcast_size(spark, documents, head):
+    """The filter grows with its entries; one too large to be broadcast is read in place, with the same levels."""
+    def scores(**given):
+        rows = lm.score_documents(stored_documents(spark), head=head, **given).collect()
+        return sorted((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in rows)
+
+    small = scores(filter_bits=1 << 12)
+    assert small == scores() and all(s < 0 for *_, s in small)
+
+
+def test_filter_keeps_its_error_rate_at_every_size():
+    import numpy as np
+
+    for n in (10, 3_000, 100_000):
+        keys, counts = lm.mix(np.arange(1, n + 1, dtype=np.uint64)), np.random.default_rng(0).integers(1, 50, n)
+        size = lm.Filter.size_for([counts])
+        bloom = lm.Filter([np.frombuffer(lm.Filter.stretch(size, [(lm.top48(keys), counts, 1)]), np.uint8)], 0)
+        others = lm.mix(np.arange(10 ** 9, 10 ** 9 + 20_000, dtype=np.uint64))
+        assert (bloom.levels(lm.top48(others), 1) > 0).mean() < 1.5 * lm.ERROR_RATE
+        assert (bloom.levels(lm.top48(keys), 1) == lm.quantise(counts)).mean() > 0.9
+
+
 # 7, 8
 
 def test_toxicity_on_held_out_rows(spark):

@@ -2,15 +2,21 @@
 
 Counts of unigrams and bigrams are quantised, q = 1 + floor(log(count) / log(BASE_OF_LOG)), and
 an n-gram is stored as the q pairs (n-gram, 1) ... (n-gram, q). A count is read by probing level
-after level until one is missing; it stands for the middle of its range. The filter has a fixed
-number of bits, whatever the corpus, and is broadcast; its error rate depends on the n-grams per
-bit. Bigrams enter it from ``bigram_cutoff`` occurrences on. The model interpolates with a
+after level until one is missing; it stands for the middle of its range. Each range of the hash
+sizes its stretch of the filter by the pairs counted in it, so that a missing level is taken for present
+with a chance of ERROR_RATE whatever the corpus. Bigrams enter it from ``bigram_cutoff`` occurrences on.
+The model interpolates with a
 Dirichlet prior: p(w|v) = (c(v,w) + MU p(w)) / (c(v) + MU), p(w) = (c(w) + 1) / (N + V + 1).
 
 The corpus is counted in full. Each batch adds up its own n-grams and sends arrays of (hash, count)
 to ranges of the hash, so a word that fills a third of the corpus is one entry for each batch.
 A range makes its own stretch of the filter, so no merging of filters is needed.
 
+A filter of at most ``filter_bits`` is broadcast. A larger one stays where its ranges lie, and distinct word pairs
+of each document go there: pairs with a word that is not broadcast first to that word's range, which adds its level, and
+all of them at last to the range of the bigram, which adds up the scores of its pairs per document. Either way the levels
+are the same.
+
 The base score needs exact counts. Words with at least N / HEAD of all tokens are at most HEAD
 words; they are broadcast. All others are looked up where their range of the hash holds
 their counts, again in arrays of distinct words for each batch, and summed up per document.
@@ -36,11 +42,15 @@ from tidemark.llm.common import Words, buffer_of, chunks, crc_of_id, materialize
 
 FOLDS, HELD_OUT = 7, 2
 HEAD = 1_000_000
-FILTER_BITS = 1 << 28
+FILTER_BITS = 1 << 30  # that may be broadcast
+ERROR_RATE = 0.02
 PROBES = 3
 BASE_OF_LOG = 1.5
 BIGRAM_CUTOFF = 2
 MU = 1000.0
+MAX_LEVEL = 110  # of any count in 64 bits
+PAIRS_AT_ONCE = 4_000_000
+AT_BEGIN, OPEN = 254, 255  # in place of a level: no word but the begin of a text, and not known yet
 END, BEGIN = 0x0E4D0E4D0E4D0E4D, 0x0B360B360B360B36
 
 COUNTS = "part int, uni binary, uni_count binary, bits binary, tokens long, types long"
@@ -76,7 +86,7 @@ def unpack48(raw: bytes) -> np.ndarray:
 
 
 def range_of(x: np.ndarray, bits: int) -> np.ndarray:
-    return (x >> np.uint64(64 - bits)).astype(np.int64)
+    return (x >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
 
 
 def split_ranges(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -95,16 +105,23 @@ def levels_to_count(q: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """Bits in 2**bits stretches, one for each range of the hash."""
+    """Bits in 2**bits stretches, one for each range of the hash, each of its own size."""
+
+    def __init__(self, stretches, bits: int):
+        sizes = np.array([len(s) for s in stretches], np.int64)
+        self.bytes, self.bits, self.sizes, self.base = np.concatenate(list(stretches)), bits, sizes * 8, np.cumsum(sizes) - sizes
 
-    def __init__(self, stretches: np.ndarray, bits: int):
-        self.bytes, self.bits, self.size = stretches.reshape(-1), bits, stretches.shape[1] * 8
+    @staticmethod
+    def size_for(counts: list[np.ndarray]) -> int:
+        """Bits in which the pairs of these counts leave a missing level with ERROR_RATE."""
+        settings = PROBES * sum(int(quantise(c).sum()) for c in counts)
+        return max(64, math.ceil(settings / -math.log(1 - ERROR_RATE ** (1 / PROBES)) / 8) * 8)
 
     @staticmethod
-    def places(keys: np.ndarray, level: int, kind: int, size: int) -> list[np.ndarray]:
+    def places(keys: np.ndarray, level: int, kind: int, size) -> list[np.ndarray]:
         seed = mix(keys + np.uint64((level * 0x9E3779B97F4A7C15 + kind * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF))
         step = (seed >> np.uint64(32)) | np.uint64(1)
-        return [((seed + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) % np.uint64(size) for i in range(PROBES)]
+        return [((seed + np.uint64(i) * step) & np.uint64(0xFFFFFFFF)) % np.asarray(size, np.uint64) for i in range(PROBES)]
 
     @classmethod
     def stretch(cls, size: int, entries: list[tuple[np.ndarray, np.ndarray, int]]) -> bytes:
@@ -121,11 +138,12 @@ class Filter:
         """The level of each key: probes go on while all bits of a level are set."""
         q = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
-        base = range_of(keys, self.bits) * (self.size // 8)
+        part = range_of(keys, self.bits)
+        base, sizes = self.base[part], self.sizes[part]
         level = 1
-        while len(alive):
+        while len(alive) and level <= MAX_LEVEL:
             some, start, hit = keys[alive], base[alive], np.ones(len(alive), bool)
-            for at in self.places(some, level, kind, self.size):
+            for at in self.places(some, level, kind, sizes[alive]):
                 at = at.astype(np.int64)
                 hit &= (self.bytes[start + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
             alive = alive[hit]
@@ -134,6 +152,11 @@ class Filter:
         return q
 
 
+def levels_in(stretch, keys: np.ndarray, kind: int) -> np.ndarray:
+    """Levels of keys of one range, from its stretch."""
+    return Filter([np.frombuffer(stretch, np.uint8)], 0).levels(keys, kind)
+
+
 def top48(x: np.ndarray) -> np.ndarray:
     return x & np.uint64(0xFFFFFFFFFFFF0000)
 
@@ -167,16 +190,14 @@ def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[start], np.add.reduceat(counts, start)
 
 
-def count_ngrams(train: DataFrame, bits: int, filter_bits: int = FILTER_BITS, bigram_cutoff: int = BIGRAM_CUTOFF) -> DataFrame:
+def count_ngrams(train: DataFrame, bits: int, bigram_cutoff: int = BIGRAM_CUTOFF) -> DataFrame:
     """Stored counts: one row for each range of the hash, with exact unigrams and its stretch of the filter."""
-    size = max(64, (filter_bits >> bits) // 8 * 8)
-
     def merge(table: pa.Table) -> pa.Table:
         uni, uni_n = _add_up(_joined(table.column("uni"), lambda x: np.frombuffer(x, np.uint64)),
                              _joined(table.column("uni_n"), lambda x: np.frombuffer(x, "<u4")))
         bi, bi_n = _add_up(_joined(table.column("bi"), unpack48), _joined(table.column("bi_n"), lambda x: np.frombuffer(x, "<u4")))
         often = bi_n >= bigram_cutoff
-        stretch = Filter.stretch(size, [(top48(uni), uni_n, 1), (bi[often], bi_n[often], 2)])
+        stretch = Filter.stretch(Filter.size_for([uni_n, bi_n[often]]), [(top48(uni), uni_n, 1), (bi[often], bi_n[often], 2)])
         return pa.table({
             "part": table.column("part").slice(0, 1), "uni": pa.array([uni.tobytes()], pa.binary()),
             "uni_count": pa.array([uni_n.astype("<i8").tobytes()], pa.binary()), "bits": pa.array([stretch], pa.binary()),
@@ -195,33 +216,43 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
     texts = only(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), "text", (crc_of_id() % FOLDS == HELD_OUT).alias("held_out"))
     train = texts.filter(~F.col("held_out"))
-    counts = count_ngrams(train, bits, filter_bits, bigram_cutoff)
-    stats = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("types"), F.lit(0)).alias("v")).first()
-    n_train, n_types = stats["n"], stats["v"]
+    counts = count_ngrams(train, bits, bigram_cutoff)
+    stats = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in (
+        ("tokens", "n"), ("types", "v"), (F.length("bits").cast("long") * 8, "bits"))]).first()
+    n_train, n_types, light = stats["n"], stats["v"], stats["bits"] <= filter_bits
     n_docs = train.count()
     least = n_train / head
 
     def frequent(batches):
         # At most ``head`` words have so large a share of all tokens.
         for batch in batches:
-            for uni, n in zip(batch.column("uni").to_pylist(), batch.column("uni_count").to_pylist()):
+            for uni, n, stretch in zip(*[[x.as_buffer() for x in batch.column(c)] for c in ("uni", "uni_count", "bits")]):
                 keys, many = np.frombuffer(uni, np.uint64), np.frombuffer(n, "<i8")
                 often = many >= least
-                yield pa.record_batch({"k": pa.array([keys[often].tobytes()], pa.binary()),
-                                       "n": pa.array([many[often].tobytes()], pa.binary())})
+                q = levels_in(stretch, top48(keys[often]), 1).astype(np.uint8)
+                yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (keys[often], many[often], q)], names=["k", "n", "q"])
 
-    found = counts.select("uni", "uni_count").mapInArrow(frequent, "k binary, n binary").collect()
-    keys = np.frombuffer(b"".join(bytes(r["k"]) for r in found), np.uint64)
-    many = np.frombuffer(b"".join(bytes(r["n"]) for r in found), "<i8")
+    found = counts.select("uni", "uni_count", "bits").mapInArrow(frequent, "k binary, n binary, q binary").collect()
+    keys, many, known_q = [np.frombuffer(b"".join(bytes(r[c]) for r in found), t) for c, t in (("k", np.uint64), ("n", "<i8"), ("q", np.uint8))]
     order = np.argsort(keys)
-    stretches = np.zeros((1 << bits, max(64, (filter_bits >> bits) // 8 * 8) // 8), np.uint8)
-    for r in counts.select("part", "bits").toLocalIterator():
-        stretches[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    shared = share(spark, (keys[order], many[order], Filter(stretches, bits)), "ngrams")
+    bloom = None
+    if light:
+        stretches = [np.zeros(8, np.uint8)] * (1 << bits)
+        for r in counts.select("part", "bits").toLocalIterator():
+            stretches[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+        bloom = Filter(stretches, bits)
+        del stretches
+    shared = share(spark, (keys[order], many[order], known_q[order], bloom), "ngrams")
+    del bloom
     norm = n_train + n_types + 1
 
+    def log_of(pair_q, before_q, word_q):
+        before_c = np.where(before_q == AT_BEGIN, n_docs, levels_to_count(np.where(before_q == AT_BEGIN, 0, before_q)))
+        pair_c = np.minimum(levels_to_count(pair_q), before_c)
+        return np.log10((pair_c + mu * (levels_to_count(word_q) + 1) / norm) / (before_c + mu))
+
     def score(batches):
-        frequent_keys, frequent_counts, bloom = shared()
+        frequent_keys, frequent_counts, frequent_levels, bloom = shared()
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in chunks(batch):
@@ -229,16 +260,6 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                 n = part.num_rows
                 owner = np.repeat(np.arange(n), np.diff(first))
                 distinct, inverse = np.unique(tokens, return_inverse=True)
-                # The model: levels of each distinct word once, of each bigram where it stands.
-                uni_c = levels_to_count(bloom.levels(top48(distinct), 1))
-                uni_p = (uni_c + 1) / norm
-                before_c = np.empty(len(tokens))
-                before_c[1:] = uni_c[inverse[:-1]]
-                before_c[first[:-1]] = n_docs
-                pair_c = levels_to_count(bloom.levels(top48(bigram(previous, tokens)), 2))
-                pair_c = np.minimum(pair_c, before_c)
-                log_p = np.log10((pair_c + mu * uni_p[inverse]) / (before_c + mu))
-                model = np.bincount(owner, weights=log_p, minlength=n)
                 # The base: words of the broadcast table here, the rest where their counts are.
                 at = np.minimum(np.searchsorted(frequent_keys, distinct), max(0, len(frequent_keys) - 1))
                 here = frequent_keys[at] == distinct if len(frequent_keys) else np.zeros(len(distinct), bool)
@@ -246,6 +267,25 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                 log_c = np.where(here, np.log10((c + 1) / norm), 0.0)
                 base = np.bincount(owner, weights=log_c[inverse], minlength=n)
                 known = np.bincount(owner, weights=here[inverse], minlength=n).astype(np.int64)
+                # The model: levels of each distinct word once, of each bigram where it stands, or else where its counts are.
+                if bloom is not None:
+                    word_q = bloom.levels(top48(distinct), 1)
+                    before_q = np.empty(len(tokens), np.int64)
+                    before_q[1:] = word_q[inverse[:-1]]
+                    before_q[first[:-1]] = AT_BEGIN
+                    log_p = log_of(bloom.levels(top48(bigram(previous, tokens)), 2), before_q, word_q[inverse])
+                    model = np.bincount(owner, weights=log_p, minlength=n)
+                else:
+                    model = np.zeros(n)
+                    q = np.where(here, frequent_levels[at], OPEN) if len(frequent_keys) else np.full(len(distinct), OPEN)
+                    before = np.empty(len(tokens), np.int64)
+                    before[1:] = inverse[:-1]
+                    before[first[:-1]] = len(distinct)
+                    pair, times = np.unique((owner * (len(distinct) + 1) + before) * len(distinct) + inverse, return_counts=True)
+                    w, rest = pair % len(distinct), pair // len(distinct)
+                    v, doc = rest % (len(distinct) + 1), rest // (len(distinct) + 1)
+                    yield from pairs_of(uid, np.append(distinct, np.uint64(BEGIN))[v], distinct[w], uid + doc, times,
+                                        np.append(q, AT_BEGIN)[v], q[w])
                 uids = uid + np.arange(n)
                 yield rows_of(range_of(mix(uids.astype(np.uint64)), bits), uids, part, np.diff(first), known, base, model)
                 rest = np.flatnonzero(~here[inverse])
@@ -259,26 +299,76 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                                                for a, b in zip(edge[some].tolist(), edge[some + 1].tolist())])
                 uid += n
 
-    wide = f"part int, {SCORES}, word binary, doc binary, times binary"
+    # ``hop`` is where pairs go: 1 to the first word, 2 to the second, 3 to the bigram.
+    wide = f"part int, {SCORES}, word binary, doc binary, times binary, hop int, before binary, q binary"
     names = [f.split()[0] for f in wide.split(", ")]
     types = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-             pa.binary(), pa.binary(), pa.binary()]
+             pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
 
     def rows_of(where, uids, part, n_tokens, known, base, model):
         given = [where, uids, part.column("doc_id"), part.column("held_out"), n_tokens, known, base, model]
-        columns = [x if isinstance(x, pa.Array) else pa.array(x) for x in given] + [pa.nulls(len(uids))] * 3
+        columns = [x if isinstance(x, pa.Array) else pa.array(x) for x in given] + [pa.nulls(len(uids))] * 6
         return pa.record_batch([x.cast(t) for x, t in zip(columns, types)], names=names)
 
     def blobs_of(where, uid, blobs):
         none = pa.nulls(len(where))
-        columns = [pa.array(where), pa.array(np.full(len(where), uid)), *[none] * 6, *[pa.array(x, pa.binary()) for x in zip(*blobs)]]
+        columns = [pa.array(where), pa.array(np.full(len(where), uid)), *[none] * 6, *[pa.array(x, pa.binary()) for x in zip(*blobs)], *[none] * 3]
         return pa.record_batch([x.cast(t) for x, t in zip(columns, types)], names=names)
 
+    def pairs_of(uid, v, w, doc, times, before_q, word_q):
+        """Blobs of word pairs, each on its way to the next range that it needs."""
+        hop = np.where(before_q == OPEN, 1, np.where(word_q == OPEN, 2, 3))
+        for h in np.unique(hop).tolist():
+            mine = np.flatnonzero(hop == h)
+            both = bigram(v[mine], w[mine])
+            where = range_of((v[mine], w[mine], both)[h - 1], bits)
+            order = np.argsort(where, kind="stable")
+            mine, both, edge = mine[order], both[order], np.searchsorted(where[order], np.arange((1 << bits) + 1))
+            some = np.flatnonzero(np.diff(edge))
+            blobs = []
+            for a, b in zip(edge[some].tolist(), edge[some + 1].tolist()):
+                m = mine[a:b]
+                word, before = (pack48(both[a:b]), b"") if h == 3 else (w[m].tobytes(), v[m].tobytes())
+                q = np.stack([before_q[m], word_q[m]]).astype(np.uint8)
+                blobs.append((word, doc[m].astype("<i8").tobytes(), times[m].astype("<u4").tobytes(), before, q.tobytes()))
+            word, doc_, times_, before, q = [pa.array(x, pa.binary()) for x in zip(*blobs)]
+            none = pa.nulls(len(some))
+            columns = [pa.array(some), pa.array(np.full(len(some), uid)), *[none] * 6, word, doc_, times_,
+                       pa.array(np.full(len(some), h)), before, q]
+            yield pa.record_batch([x.cast(t) for x, t in zip(columns, types)], names=names)
+
+    def next_hop(rows: pa.Table, stored: pa.Table) -> list[pa.Table]:
+        """Pairs with one more level, or scores of those that have all."""
+        stretch = stored.column("bits")[0].as_buffer() if stored.num_rows else bytes(8)
+        out = []
+        for h in np.unique(rows.column("hop").to_numpy()).tolist():
+            some = rows.filter(pc.equal(rows.column("hop"), h))
+            doc, times = [_joined(some.column(c), lambda x, t=t: np.frombuffer(x, t)) for c, t in (("doc", "<i8"), ("times", "<u4"))]
+            before_q, word_q = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8).reshape(2, -1) for x in some.column("q")], axis=1).astype(np.int64)
+            if h == 3:
+                log_p = log_of(levels_in(stretch, _joined(some.column("word"), unpack48), 2), before_q, word_q)
+                uids, back = np.unique(doc, return_inverse=True)
+                none = pa.nulls(len(uids))
+                columns = [none, pa.array(uids), *[none] * 5, pa.array(np.bincount(back, weights=times * log_p)), *[none] * 6]
+                out.append(pa.table([x.cast(t) for x, t in zip(columns, types)], names=names))
+                continue
+            v, w = [_joined(some.column(c), lambda x: np.frombuffer(x, np.uint64)) for c in ("before", "word")]
+            # Each word is probed once.
+            distinct, back = np.unique(v if h == 1 else w, return_inverse=True)
+            q = levels_in(stretch, top48(distinct), 1)[back]
+            before_q, word_q = (q, word_q) if h == 1 else (before_q, q)
+            out.append(pa.Table.from_batches(list(pairs_of(int(some.column("part")[0].as_py()), v, w, doc, times, before_q, word_q))))
+        return out
+
     def resolve(rows: pa.Table, stored: pa.Table) -> pa.Table:
-        whole = rows.filter(pc.is_null(rows.column("word"))).drop_columns(["part", "word", "doc", "times"])
+        schema = pa.schema(list(zip(names, types)))
+        rows = rows.select(names).cast(schema)
+        pairs = rows.filter(pc.is_valid(rows.column("hop")))
+        rows = rows.filter(pc.is_null(rows.column("hop")))
+        whole = [rows.filter(pc.is_null(rows.column("word"))), *(next_hop(pairs, stored) if pairs.num_rows else [])]
         blobs = rows.filter(pc.is_valid(rows.column("word")))
         if not blobs.num_rows:
-            return whole
+            return pa.concat_tables(whole)
         word = _joined(blobs.column("word"), lambda x: np.frombuffer(x, np.uint64))
         sizes = [len(x.as_buffer()) // 4 for x in blobs.column("doc").combine_chunks()]
         doc = np.repeat(blobs.column("uid").to_numpy(), sizes) + _joined(blobs.column("doc"), lambda x: np.frombuffer(x, "<u4")).astype(np.int64)
@@ -294,13 +384,25 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
         base = np.bincount(back, weights=times * np.log10((c + 1) / norm))
         known = np.bincount(back, weights=times * (c > 0)).astype(np.int64)
         none = pa.nulls(len(uids))
-        extra = [pa.array(uids), none, none, none, pa.array(known), pa.array(base), none]
-        extra = pa.table([x.cast(t) for x, t in zip(extra, types[1:8])], names=names[1:8])
-        return pa.concat_tables([whole.cast(extra.schema), extra])
-
-    sent = texts.mapInArrow(score, wide)
-    parts = sent.groupBy("part").cogroup(counts.select("part", "uni", "uni_count").groupBy("part")).applyInArrow(resolve, SCORES)
+        extra = [none, pa.array(uids), none, none, none, pa.array(known), pa.array(base), none, *[none] * 6]
+        return pa.concat_tables([*whole, pa.table([x.cast(t) for x, t in zip(extra, types)], names=names)])
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        if light:
+            return rows.groupBy("part").cogroup(counts.select("part", "uni", "uni_count").groupBy("part")).applyInArrow(resolve, wide)
+        # Each range as often as its share of all pairs needs, so that a call sees about PAIRS_AT_ONCE.
+        lots = max(1, math.ceil(n_train * FOLDS / (FOLDS - 1) / PAIRS_AT_ONCE / (1 << bits)))
+        stored = counts.select("part", "uni", "uni_count", "bits", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
+        dealt = rows.withColumn("lot", F.pmod(F.xxhash64("uid"), F.lit(lots)).cast("int"))
+        done = dealt.groupBy("part", "lot").cogroup(stored.groupBy("part", "lot")).applyInArrow(resolve, wide)
+        return materialize(done, "scores")
+
+    parts = looked_up(texts.mapInArrow(score, wide))
+    if not light:
+        second = looked_up(parts.filter("hop IS NOT NULL"))
+        third = looked_up(second.filter("hop IS NOT NULL"))
+        parts = parts.filter("hop IS NULL").unionByName(second.filter("hop IS NULL")).unionByName(third)
     return parts.groupBy("uid").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.max("score").alias("score"),
+        F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
     ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score")
