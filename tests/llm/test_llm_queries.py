@@ -294,6 +294,14 @@ def test_lm_filter_past_the_broadcast_size(spark, documents, head):
     assert small == scores() and all(s < 0 for *_, s in small)
 
 
+def test_lm_counts_bigrams_seen_once(spark):
+    train, held_out = next(i for i in range(99) if fx.fold(i, 7) != 2), [i for i in range(99) if fx.fold(i, 7) == 2][:2]
+    words = [f"w{i}" for i in range(30)]
+    rows = [(train, " ".join(words)), (held_out[0], " ".join(words)), (held_out[1], " ".join(reversed(words)))]
+    found = {r["doc_id"]: r["score"] for r in lm.score_documents(fx.cases(spark, rows), mu=1.0).collect()}
+    assert found[held_out[0]] > found[held_out[1]] + 1
+
+
 def test_filter_keeps_its_error_rate_at_every_size():
     import numpy as np
 

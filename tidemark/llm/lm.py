@@ -46,7 +46,7 @@ FILTER_BITS = 1 << 30  # that may be broadcast
 ERROR_RATE = 0.02
 PROBES = 3
 BASE_OF_LOG = 1.5
-BIGRAM_CUTOFF = 2
+BIGRAM_CUTOFF = 1
 MU = 1000.0
 MAX_LEVEL = 110  # of any count in 64 bits
 PAIRS_AT_ONCE = 4_000_000
