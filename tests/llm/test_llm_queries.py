@@ -97,6 +97,21 @@ def test_decontamination_recall_with_edits(spark, share):
         assert len(found) >= 0.95 * len(items)
 
 
+@pytest.mark.parametrize("size", [6, 7, 8, 9])
+def test_decontamination_of_short_items_with_any_edit(spark, size):
+    words = [[f"w{i}x{k}" for k in range(size)] for i in range(3 * size + 1)]
+    # Items of 6 words make the class one that begins with 6.
+    items = [(i, " ".join(w)) for i, w in enumerate(words)] + [(999, " ".join(f"v{k}" for k in range(6)))]
+    docs = []
+    for i, w in enumerate(words):
+        at = i // 3
+        edited = w[:at] + [[], ["new"], ["new", *w[at:at + 1]]][i % 3] + w[at + 1:]
+        docs.append((i, " ".join([*(f"o{i}y{k}" for k in range(20)), *edited, "behind", "it"])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.find_items(fx.cases(spark, docs), benchmark).collect()}
+    assert found == {(i, i) for i in range(len(words))}
+
+
 def test_decontamination_cases(spark):
     benchmark = spark.createDataFrame(
         [(1, "a b c d"), (2, None), (3, ""), (4, "one two three"), (None, "a row without an id"), (6, "A, b; C d!")],

@@ -14,6 +14,9 @@ Few windows need a walk: k edits leave at least n - 2 - 3k of an item's three-wo
 as they are, so windows with fewer runs that occur in any item cannot match. That condition loses
 nothing; it is tested by table lookups on all windows.
 
+Items of fewer than WALK_WORDS words need none: a match keeps at least one of their three-word runs, so every
+place that holds one is verified.
+
 Items of one block are broadcast; a benchmark beyond BLOCK_BYTES is cut into blocks, each compared with
 all documents.
 
@@ -39,6 +42,7 @@ from tidemark.llm.common import Words, buffer_of, chunks, mix, not_alphanumeric,
 RATE = 0.2
 MIN_WORDS = 4
 RUN = 3
+WALK_WORDS = 10
 REPEATS = 24
 BLOCK_BYTES = 4 << 20
 TABLE_BITS = 22
@@ -143,7 +147,8 @@ class Items:
         hashes, first = word_hashes(texts)
         self.ids, self.rate = ids, rate
         self.words = [hashes[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-        used = [i for i, w in enumerate(self.words) if len(w) >= MIN_WORDS]
+        used = [i for i, w in enumerate(self.words) if len(w) >= WALK_WORDS]
+        short = [i for i, w in enumerate(self.words) if MIN_WORDS <= len(w) < WALK_WORDS]
         by_size: dict[int, list[int]] = {}
         for i in used:
             by_size.setdefault(int(math.log(len(self.words[i])) / math.log(SIZE_STEP)), []).append(i)
@@ -165,11 +170,21 @@ class Items:
                 own = windows(self.words[i], np.array([0, len(self.words[i])]), RUN)[0]
                 runs.append(own)
                 owners.append(np.full(len(own), 1 << number, np.int64))
+        # Short items by their runs, with the run's place in the item.
+        places: dict[int, set[tuple[int, int]]] = {}
+        for i in short:
+            own = windows(self.words[i], np.array([0, len(self.words[i])]), RUN)[0]
+            runs.append(own)
+            owners.append(np.zeros(len(own), np.int64))
+            for offset, run in enumerate(own.tolist()):
+                places.setdefault(run, set()).add((i, offset))
         # Each run with the size classes (bits) of the items that hold it.
         self.runs, inverse = np.unique(np.concatenate(runs) if runs else np.zeros(0, np.uint64), return_inverse=True)
         self.run_classes = np.zeros(len(self.runs), np.int64)
         if runs:
             np.bitwise_or.at(self.run_classes, inverse, np.concatenate(owners))
+        self.places = [places.get(run, ()) for run in self.runs.tolist()]
+        self.of_short = np.array([len(x) > 0 for x in self.places], bool)
         self.table = np.zeros(1 << TABLE_BITS, bool)
         self.table[(self.runs >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
 
@@ -182,6 +197,11 @@ class Items:
         place = np.minimum(np.searchsorted(self.runs, found[maybe]), len(self.runs) - 1)
         sure = self.runs[place] == found[maybe]
         marked, of_class = at[maybe[sure]], self.run_classes[place[sure]]
+        candidates: set[tuple[int, int, int]] = set()
+        held = np.flatnonzero(self.of_short[place[sure]])
+        for s, run in zip(marked[held].tolist(), place[sure][held].tolist()):
+            t = int(np.searchsorted(first, s, side="right")) - 1
+            candidates.update((t, i, s - offset) for i, offset in self.places[run])
         begun = []
         for number, (_, reach, least, *_) in enumerate(self.classes):
             where = marked[of_class >> number & 1 == 1]
@@ -200,7 +220,6 @@ class Items:
             begun.append(np.stack([start[enough], text[enough], np.full(int(enough.sum()), number)]))
         begun = np.concatenate(begun, axis=1) if begun else np.zeros((3, 0), np.int64)
         sizes, steps = np.array([c[0] for c in self.classes]), [c[3] for c in self.classes]
-        candidates: set[tuple[int, int, int]] = set()
         for lot in range(0, begun.shape[1], WINDOWS_AT_ONCE):
             start, text, number = begun[:, lot:lot + WINDOWS_AT_ONCE]
             keyed = samples(hashes, start, np.minimum(start + sizes[number], first[text + 1]), number, steps)
