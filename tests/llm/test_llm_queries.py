@@ -122,6 +122,16 @@ def test_decontamination_cases(spark):
     assert kept.count() == len(fx.CASES) - 3 and kept.columns == fx.cases(spark).columns
 
 
+def test_decontamination_of_few_words_and_scripts_without_spaces(spark):
+    han = "床前明月光疑是地上霜举头望明月"
+    docs = [(1, "before, Rare-Name behind"), (2, "rare names"), (3, f"昨天{han}今天"), (4, f"昨天{han.replace('明月光', '明日光')}今天"),
+            (5, "昨天今天"), (6, "x 東京都 y"), (7, "one, Two; three"), (8, "unique"), (9, "unique unique"), (10, "ฉันรักภาษาไทย")]
+    items = [(1, "rare name"), (2, han), (3, "東京都"), (4, "one two three"), (5, "UNIQUE"), (6, "รักภาษา"), (7, "?!"), (8, "unique")]
+    found = decontamination.find_items(fx.cases(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows_of(found, "doc_id", "item_id", "distance") == sorted(
+        [(1, 1, 0), (3, 2, 0), (4, 2, 1), (6, 3, 0), (7, 4, 0), (8, 5, 0), (9, 5, 0), (8, 8, 0), (9, 8, 0), (10, 6, 0)], key=repr)
+
+
 def test_nearest_is_the_edit_distance():
     import random
 

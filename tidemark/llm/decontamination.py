@@ -2,7 +2,8 @@
 
 An item of n words is found in a document if some stretch of it is within ``n * rate`` word
 insertions, deletions and substitutions of the whole item. Words are runs of letters and digits in
-lower case, so punctuation, white space and case do not count.
+lower case, so punctuation, white space and case do not count. In scripts written without spaces (Han, kana,
+Thai, Lao, Khmer, Myanmar) each character is a word.
 
 Windows of the items' sizes are embedded by random walks (CGK): a pointer steps through the
 words, writing the word it stands on at each of 3n steps, and moves on or stays by a random bit that
@@ -20,8 +21,8 @@ place that holds one is verified.
 Items of one block are broadcast; a benchmark beyond BLOCK_BYTES is cut into blocks, each compared with
 all documents.
 
-Defined cases: NULL and empty texts match nothing; items of fewer than MIN_WORDS words are not
-searched (three words are found by chance everywhere); items with equal words are each reported; rows that
+Defined cases: NULL and texts without words match nothing; items of fewer than MIN_WORDS words are found
+wherever their words stand, and that may be by chance; items with equal words are each reported; rows that
 share a document id are reported once for an item, with the least distance; a NULL item id is
 reported as NULL; texts of any length are searched whole; extra columns are ignored; empty tables give
 an empty result.
@@ -37,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, buffer_of, chunks, mix, not_alphanumeric, only, prepare, share, windows
+from tidemark.llm.common import Words, buffer_of, chunks, mix, not_alphanumeric, only, prepare, share, table_of, windows
 
 RATE = 0.2
 MIN_WORDS = 4
@@ -49,6 +50,9 @@ TABLE_BITS = 22
 SIZE_STEP = 1.25
 WINDOWS_AT_ONCE = 5_000
 SEPARATORS = not_alphanumeric()
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+# First bytes of their characters in UTF-8 (E2 only has punctuation and a few radicals and numbers, E0 also Indic letters).
+MAY_BE_UNSPACED = table_of(bytes([0xE0, 0xE1, *range(0xE2, 0xEB), 0xEF, 0xF0]))
 PAST_END = np.uint64(0x5EED0FE0D0FE5EED)
 
 
@@ -63,7 +67,10 @@ def runs_kept(n: int, rate: float = RATE) -> int:
 
 
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = buffer_of(pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), "")))
+    lower = pc.utf8_lower(pc.fill_null(column.cast(pa.large_string()), ""))
+    data, offsets = buffer_of(lower)
+    if MAY_BE_UNSPACED[data].any():
+        data, offsets = buffer_of(pc.replace_substring_regex(lower, UNSPACED, r" \0 "))
     words = Words(data, offsets, SEPARATORS)
     return words.hashes(), words.first
 
@@ -178,6 +185,12 @@ class Items:
             owners.append(np.zeros(len(own), np.int64))
             for offset, run in enumerate(own.tolist()):
                 places.setdefault(run, set()).add((i, offset))
+        # Items too short for runs by all of their words, for each number of words.
+        self.whole: dict[int, dict[int, list[int]]] = {}
+        for i, w in enumerate(self.words):
+            if 0 < len(w) < MIN_WORDS:
+                key = int(windows(w, np.array([0, len(w)]), len(w))[0][0])
+                self.whole.setdefault(len(w), {}).setdefault(key, []).append(i)
         # Each run with the size classes (bits) of the items that hold it.
         self.runs, inverse = np.unique(np.concatenate(runs) if runs else np.zeros(0, np.uint64), return_inverse=True)
         self.run_classes = np.zeros(len(self.runs), np.int64)
@@ -190,9 +203,24 @@ class Items:
 
     def find(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
         """``(text, item, distance)`` for all texts of a batch."""
+        return self._confirm(hashes, first, self._find_whole(hashes, first) | self._find_near(hashes, first))
+
+    def _find_whole(self, hashes, first) -> set[tuple[int, int, int]]:
+        candidates = set()
+        for n, items in self.whole.items():
+            found, at = windows(hashes, first, n)
+            hit = np.flatnonzero(np.isin(found, np.array(list(items), np.uint64)))
+            # Once for each text.
+            text = np.searchsorted(first, at[hit], side="right") - 1
+            once = np.unique(np.stack([text.astype(np.uint64), found[hit]]), axis=1, return_index=True)[1]
+            for t, key, s in zip(text[once].tolist(), found[hit][once].tolist(), at[hit][once].tolist()):
+                candidates.update((t, i, s) for i in items[key])
+        return candidates
+
+    def _find_near(self, hashes, first) -> set[tuple[int, int, int]]:
         found, at = windows(hashes, first, RUN)
         if not len(found) or not len(self.runs):
-            return []
+            return set()
         maybe = np.flatnonzero(self.table[(found >> np.uint64(64 - TABLE_BITS)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.runs, found[maybe]), len(self.runs) - 1)
         sure = self.runs[place] == found[maybe]
@@ -230,7 +258,7 @@ class Items:
                 walk, column = np.nonzero(keys[np.minimum(np.searchsorted(keys, key), len(keys) - 1)] == key)
                 for k, s, t in zip(key[walk, column].tolist(), start[mine[column]].tolist(), text[mine[column]].tolist()):
                     candidates.update((t, i, s) for i in index[k])
-        return self._confirm(hashes, first, candidates)
+        return candidates
 
     def _confirm(self, hashes, first, candidates) -> list[tuple[int, int, int]]:
         """Exact distances; starts that lie close together are one stretch of text."""
