@@ -384,6 +384,13 @@ def test_language_cases(spark):
     assert all(r["score"] == 0 for r in found if r["lang_pred"] == "und")
 
 
+def test_every_language_is_learned(spark):
+    ids = [i for i in range(500) if fx.fold(i, 5) != 0][:230]
+    rows = [(i, f"text number {i * i} of its own", f"x{n:03}") for n, i in enumerate(ids)]
+    found = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sum(len(m) for m in found.members.values()) == len(ids)
+
+
 def test_languages_within_a_family(spark):
     texts = {"de": "der hund läuft schnell über die straße", "en": "the dog runs quickly over the street",
              "es": "el perro corre rápido por la calle", "fr": "le chien court vite dans la rue"}

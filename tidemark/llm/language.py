@@ -28,10 +28,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import buffer_of, chunks, crc_of_id, mix, only, prepare, share, table_of
 
 DIMENSIONS = 1 << 12
-# Rows that teach: for each language, and in all; and the number of languages (those with most rows).
+# Rows that teach: for each language, and in all. Every language is learned; with many, each has fewer rows, one at least.
 ROWS_PER_LANGUAGE = 600
 MAX_ROWS = 6_000
-MAX_LANGUAGES = 200
 FOLDS = 5
 UNDETERMINED = "und"
 
@@ -150,13 +149,13 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Hierar
     top = Window.partitionBy("lang").orderBy(*order)
     chosen = known.select("doc_id", "lang").withColumn("_rank", F.row_number().over(top)).filter(
         F.col("_rank") <= rows_per_language)
-    langs = [r["lang"] for r in chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    if not langs:
+    n_langs = chosen.select("lang").distinct().count()
+    if not n_langs:
         return None
-    each = min(rows_per_language, max(1, MAX_ROWS // len(langs)))
-    # Bounded by MAX_ROWS ids.
-    ids = chosen.filter(F.col("lang").isin(langs) & (F.col("_rank") <= each)).select("doc_id").distinct()
-    rows = known.filter(F.col("lang").isin(langs)).join(F.broadcast(ids), "doc_id").select("lang", "text")
+    each = min(rows_per_language, max(1, MAX_ROWS // n_langs))
+    # Bounded by MAX_ROWS ids, or one for each language.
+    ids = chosen.filter(F.col("_rank") <= each).select("doc_id").distinct()
+    rows = known.join(F.broadcast(ids), "doc_id").select("lang", "text")
 
     def vectors(batches):
         for batch in batches:
