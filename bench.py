@@ -1,6 +1,6 @@
 """Times the headline queries: warm, median of three runs, one JSON line.
 
-Inputs that a query reads as files or tables (landed documents, stored forecasts) are made by the untimed first run.
+Each run of a query also makes the inputs it reads as files or tables (landed documents, stored forecasts).
 """
 
 from __future__ import annotations

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -15,7 +14,7 @@ from tidemark.functions.timestamps import TEXT_FORMAT
 from tidemark.operators.features import build_features
 from tidemark.operators.models import forecasts, score_all
 from tidemark.operators.ordering import SeriesLayout, measure_series
-from tidemark.session import apply_settings, materialize, scratch_root, store
+from tidemark.session import apply_settings, materialize, scratch_root
 
 ORDER = ("timestamp", "event_id")
 POINTS_PER_DOCUMENT = 256
@@ -159,25 +158,10 @@ def write_lines(lines: DataFrame, path: str, file_prefix: str) -> str:
     return path
 
 
-_MADE: dict[tuple, str] = {}
-
-
-def once(spark: SparkSession, key: tuple, make: Callable[[], str]) -> str:
-    """The folder of an input that a session needs in several queries, made at first use."""
-    key = (spark.sparkContext.applicationId, *key)
-    if key not in _MADE:
-        _MADE[key] = make()
-    return _MADE[key]
-
-
 def land_documents(spark: SparkSession, sf_dir: str, kind: str, loads: int = 2) -> str:
     """A landing folder with chart or OHLC documents; the second load repeats every even document
-    with another ``days``. Written once a session: landing is the input of parsing, not a part of it."""
+    with another ``days``. Written by each call, from the tables as they are then."""
     apply_settings(spark)
-    return once(spark, (kind, sf_dir, loads), lambda: _land(spark, sf_dir, kind, loads))
-
-
-def _land(spark: SparkSession, sf_dir: str, kind: str, loads: int) -> str:
     root = f"{scratch_root(spark)}/landing-{uuid.uuid4().hex}"
     column = "chart" if kind == "market_chart" else "ohlc"
     write_lines(documents(spark, sf_dir, "1").select(column), f"{root}/1", kind)
@@ -215,9 +199,8 @@ def feature_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLa
 
 
 def stored_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = once(spark, ("forecasts", sf_dir, variant.no_currency, variant.long_series), lambda: store(
-        forecast_table(spark, sf_dir)[0], "forecasts"))
-    return spark.read.parquet(path)
+    """The forecasts of the tables as they are now, stored and read again."""
+    return materialize(forecast_table(spark, sf_dir)[0], "forecasts")
 
 
 def forecast_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:
