@@ -57,6 +57,14 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return unique.select(*[F.col(f"_{df.columns.index(n)}").alias(n) for n in names])
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """``wanted`` with so many underscores in front that no column of ``df`` has any of the names."""
+    taken, lead = {c.lower() for c in df.columns}, "_"
+    while any(lead + name in taken for name in wanted):
+        lead += "_"
+    return [lead + name for name in wanted]
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker, over all its tasks."""
     return sys.modules.setdefault("_llm_worker_store", types.ModuleType("_llm_worker_store")).__dict__

@@ -2,8 +2,8 @@
 
 Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose
 their lines everywhere but in the document with the largest id. Lines travel as 128-bit
-hashes, range-partitioned and sorted by (hash, document descending, position), so a line
-that a third of all documents share is spread over several tasks. A task streams its rows
+hashes, one row for all places of a key in a text, range-partitioned and sorted by (hash,
+document descending), so a line that a third of all documents share is spread over several tasks. A task streams its rows
 and decides every run of equal hashes that begins and ends inside it; rows of the one run
 that may reach over a task's beginning or end are decided by a small table of those hashes.
 
@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE, buffer_of, chunks, materialize, only, partitions, prepare
+from tidemark.llm.common import WHITE, buffer_of, chunks, free_names, materialize, only, partitions, prepare
 
-LINES = "doc_id long, text_hash long, pos int, h1 long, h2 long"
-DECIDED = "doc_id long, text_hash long, pos int, h1 long, h2 long, open boolean"
+LINES = "doc_id long, text_hash long, pos binary, h1 long, h2 long"
+DECIDED = "doc_id long, text_hash long, pos binary, h1 long, h2 long, open boolean"
+# Bitmaps are broadcast up to so many bytes; beyond, they are joined by shuffle.
+BROADCAST_BYTES, ROW_BYTES = 32 << 20, 64
 
 
 def line_key(line: bytes) -> bytes:
@@ -41,19 +43,21 @@ def _line_rows(batches, min_chars: int):
             raw = data.tobytes()
             owner, pos, digests = [], [], []
             for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                places = {}
                 for p, line in enumerate(raw[a:b].split(b"\n")):
                     if len(line) >= min_chars:
                         key = line_key(line)
                         if len(key) >= min_chars and (key.isascii() or len(key.decode("utf-8", "replace")) >= min_chars):
-                            owner.append(i)
-                            pos.append(p)
-                            digests.append(hashlib.blake2b(key, digest_size=16).digest())
+                            places.setdefault(key, []).append(p)
+                owner += [i] * len(places)
+                pos += [np.array(at, np.int32).tobytes() for at in places.values()]
+                digests += [hashlib.blake2b(key, digest_size=16).digest() for key in places]
             if owner:
                 pair = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 yield pa.record_batch({
                     "doc_id": part.column("doc_id").take(pa.array(owner)),
                     "text_hash": part.column("text_hash").take(pa.array(owner)),
-                    "pos": pa.array(pos, pa.int32()), "h1": pair[:, 0].copy(), "h2": pair[:, 1].copy()})
+                    "pos": pa.array(pos, pa.binary()), "h1": pair[:, 0].copy(), "h2": pair[:, 1].copy()})
 
 
 def _decide(batches, min_docs: int):
@@ -61,7 +65,8 @@ def _decide(batches, min_docs: int):
     names = ("doc_id", "text_hash", "pos", "h1", "h2")
 
     def emit(rows, is_open):
-        return pa.record_batch({**{n: rows[n] for n in names}, "open": np.full(len(rows["pos"]), is_open)})
+        return pa.record_batch({**{n: rows[n] for n in names if n != "pos"}, "pos": pa.array(rows["pos"], pa.binary()),
+                                "open": np.full(len(rows["pos"]), is_open)}).select([*names, "open"])
 
     first = None          # the key this task began with: its rows stay open
     held = None           # rows of the current run while it has fewer than min_docs documents
@@ -117,14 +122,15 @@ def _decide(batches, min_docs: int):
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``doc_id, text_hash, n_dropped, keep``: a compressed bitmap for each text that loses lines.
 
-    Bit p of ``keep`` (zlib over packed bits) is line p; lines past its end stay.
+    Bit p of ``keep`` (zlib over packed bits, the last byte filled up with ones) is line p; lines past
+    its end stay. Rows with the same id and text share a bitmap.
     """
     spark = prepare(docs.sparkSession)
     texts = only(docs, "doc_id", "text").filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     lines = materialize(texts.mapInArrow(lambda it: _line_rows(it, min_chars), LINES), "lines")
     order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc()]
-    ranged = lines.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order, "text_hash", "pos")
+    ranged = lines.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order, "text_hash")
     decided = materialize(ranged.mapInArrow(lambda it: _decide(it, min_docs), DECIDED), "line-decisions")
 
     # At most two hashes of each task are open, whatever the input holds.
@@ -134,7 +140,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     late = pending.join(F.broadcast(keys), ["h1", "h2"]).filter(F.col("doc_id") != F.col("keeper"))
     dropped = decided.filter("not open").select("doc_id", "text_hash", "pos").unionByName(
         late.select("doc_id", "text_hash", "pos"))
-    by_text = dropped.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("lost"))
+    by_text = dropped.groupBy("doc_id", "text_hash").agg(F.collect_list("pos").alias("lost"))
     return by_text.mapInArrow(_bitmaps, "doc_id long, text_hash long, n_dropped long, keep binary")
 
 
@@ -142,8 +148,9 @@ def _bitmaps(batches):
     for batch in batches:
         counts, packed = [], []
         for lost in batch.column("lost"):
-            at = np.asarray(lost.values.to_numpy(zero_copy_only=False), np.int64)
-            bits = np.ones(int(at.max()) + 1, bool)
+            at = np.unique(np.frombuffer(b"".join(lost.as_py()), np.int32))
+            # Whole bytes: a zero added by packing would read as a dropped line.
+            bits = np.ones((int(at[-1]) // 8 + 1) * 8, bool)
             bits[at] = False
             counts.append(len(at))
             packed.append(zlib.compress(np.packbits(bits).tobytes()))
@@ -162,44 +169,51 @@ def kept_lines(text: str | None, keep: bytes | None) -> str:
     return "\n".join(line for line, stays in zip(lines, bits) if stays)
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` (without repeated column names) with ``_n_dropped`` and ``_keep``."""
-    side = bitmaps.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                          F.col("n_dropped").alias("_n_dropped"), F.col("keep").alias("_keep"))
-    match = (docs["doc_id"] == side["_id"]) & (F.xxhash64(docs["text"]) == side["_hash"])
-    return docs.join(side, match, "left").drop("_id", "_hash")
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` (without repeated column names) with two more columns, and their names: lines lost, bitmap.
+
+    The bitmaps are stored and measured: small ones are broadcast, so that the texts stay where they lie.
+    """
+    held = materialize(bitmaps, "bitmaps")
+    rows, size = held.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("keep")), F.lit(0))).first()
+    names = free_names(docs, "of_id", "of_text", "n_dropped", "keep")
+    side = held.select("doc_id", "text_hash", "n_dropped", "keep").toDF(*names)
+    if size + ROW_BYTES * rows <= BROADCAST_BYTES:
+        side = F.broadcast(side)
+    match = (docs["doc_id"] == side[names[0]]) & (F.xxhash64(docs["text"]) == side[names[1]])
+    return docs.join(side, match, "left").drop(*names[:2]), names[2], names[3]
 
 
 def line_digests(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``doc_id, n_lines, n_dropped, kept_sha256`` for every row of ``docs``."""
     texts = only(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    joined = with_bitmaps(texts, keep_bitmaps(texts, min_chars, min_docs))
+    joined, lost, bits = with_bitmaps(texts, keep_bitmaps(texts, min_chars, min_docs))
 
     def digest(batches):
         for batch in batches:
             for part in chunks(batch):
                 n_lines, hashes = [], []
-                for text, keep in zip(part.column("text").to_pylist(), part.column("_keep").to_pylist()):
+                for text, keep in zip(part.column("text").to_pylist(), part.column(bits).to_pylist()):
                     n_lines.append((text or "").count("\n") + 1)
                     hashes.append(hashlib.sha256(kept_lines(text, keep).encode("utf-8", "surrogatepass")).hexdigest())
                 yield pa.record_batch({
                     "doc_id": part.column("doc_id"), "n_lines": pa.array(n_lines, pa.int64()),
-                    "n_dropped": part.column("_n_dropped").fill_null(0), "kept_sha256": pa.array(hashes, pa.string())})
+                    "n_dropped": part.column(lost).fill_null(0), "kept_sha256": pa.array(hashes, pa.string())})
 
     return joined.mapInArrow(digest, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text`` (a NULL text stays NULL); other columns as they were."""
-    joined = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
-    fields = joined.drop("_n_dropped", "_keep").schema
+    joined, lost, bits = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
+    fields = joined.drop(lost, bits).schema
     names = fields.names
     at = names.index("text")
 
     def apply(batches):
         for batch in batches:
             for part in chunks(batch):
-                keep = part.column("_keep").to_pylist()
+                keep = part.column(bits).to_pylist()
                 texts = part.column("text").to_pylist()
                 texts = [t if k is None else kept_lines(t, k) for t, k in zip(texts, keep)]
                 columns = [part.column(n) for n in names]
