@@ -118,7 +118,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def powers_for(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse, and a random value for each byte."""
     store = worker_store()
     if len(store.get("powers", ())) < n:
@@ -173,7 +173,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word: prefix sums of a polynomial, so the cost is per byte, not per word."""
         n = len(self.data)
-        powers, inverse, value = _powers(n + 1)
+        powers, inverse, value = powers_for(n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(value[self.data] * powers[:n], out=sums[1:])
         own = (sums[self.end] - sums[self.start]) * inverse[self.start]

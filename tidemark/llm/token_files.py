@@ -14,7 +14,8 @@ and only files that the write job returned are read, so a task that ran twice do
 
 Encoding: parts of a text that begin at a space behind other than white space are tokenized
 independently of each other (no alternative of the pattern spans such a place), so a worker
-remembers the ids of frequent parts and hands only new ones to the tokenizers library.
+remembers the ids of frequent parts and hands only new ones to the tokenizers library. Equal
+parts of a batch are found by hashing, so Python looks at distinct ones only.
 
 Defined cases: NULL is the empty text, which has the end id alone; NULL ids come first; rows
 with equal ids follow each other in the order of their texts; special strings become special
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import uuid
 import zlib
 
@@ -37,16 +37,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, materialize, only, partitions, prepare, scratch_root, worker_store
+from tidemark.llm.common import (
+    buffer_of, chunks, materialize, mix, only, partitions, powers_for, prepare, scratch_root, worker_store,
+)
 
 MAGIC, VERSION = 0x314B4F54, 1
 END_ID = 0
 SHARD_TOKENS = 2_000_000
 # Parts that one Python worker remembers, and their greatest length.
 CACHE_SIZE = 600_000
-PART_CHARS = 64
+PART_BYTES = 64
 BATCH_PARTS = 256
-CUT = re.compile(r"(?<=\S) ")
+# Ids below this are counted in a table with a place for each.
+DENSE_IDS = 1 << 22
+# Characters of a text that range-partitioning compares.
+SORT_CHARS = 64
 
 FILES = "path string, task int, number int, n_docs long, n_tokens long"
 ROWS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -73,38 +78,97 @@ class PartEncoder:
             np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: list[str]) -> dict[str, bytes]:
+    def _learn(self, parts: list[bytes]) -> list[bytes]:
         """Ids of parts that each stand behind a space, all encoded as one text and cut by byte counts."""
-        found = {}
+        found, width = [], np.dtype(self.kind).itemsize
         lots = [parts[i:i + BATCH_PARTS] for i in range(0, len(parts), BATCH_PARTS)]
-        for some, ids in zip(lots, self.whole(["".join([" " + p for p in some]) for some in lots])):
-            ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in some])
-            at = np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1
-            raw, width = ids.astype(self.kind).tobytes(), self.kind().itemsize
-            at = (at * width).tolist()
-            found.update((part, raw[a:b]) for part, a, b in zip(some, [0, *at], at))
+        for some, ids in zip(lots, self.whole([b"".join([b" " + p for p in some]).decode("utf-8") for some in lots])):
+            ends = np.cumsum([len(p) + 1 for p in some])
+            at = (np.searchsorted(np.cumsum(self.length[ids]), ends, side="left") + 1) * width
+            raw, at = ids.tobytes(), at.tolist()
+            found += [raw[a:b] for a, b in zip([0, *at], at)]
         return found
 
-    def texts(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text. Of its parts only the first has no space before it, and only the last can end in white
-        space; all others are encoded alike wherever they stand."""
-        cache, pieces = self.cache, []
-        for text in texts:
-            first, *parts = CUT.split(text)
-            last = " " + parts.pop() if parts and parts[-1][-1:].isspace() else ""
-            pieces.append((first, parts, last))
-        new = {p for _, parts, _ in pieces for p in parts if p not in cache}
-        learned = self._learn(list(new))
-        ends = self.whole([x for first, _, last in pieces for x in (first, last)])
-        out = []
-        for (_, parts, _), first, last in zip(pieces, ends[::2], ends[1::2]):
-            middle = b"".join([cache[p] if p in cache else learned[p] for p in parts])
-            out.append(np.concatenate([first, np.frombuffer(middle, self.kind).astype(np.uint32), last]))
+    def _ids_of(self, data: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
+        """``pool, from, length``: ids of distinct parts in one array, and where those of each part lie."""
+        which, of = distinct_parts(data, start, end)
+        cache, some = self.cache, [raw[a:b] for a, b in zip(start[which].tolist(), end[which].tolist())]
+        held = [cache.get(p) for p in some]
+        new = [i for i, ids in enumerate(held) if ids is None]
+        for i, ids in zip(new, self._learn([some[i] for i in new])):
+            held[i] = ids
         if len(cache) < self.cache_size:
-            cache.update((p, i) for p, i in learned.items() if len(p) <= PART_CHARS)
-        return out
+            cache.update((some[i], held[i]) for i in new if len(some[i]) <= PART_BYTES)
+        pool = np.frombuffer(b"".join(held), self.kind)
+        length = np.array([len(x) for x in held], np.int64) // np.dtype(self.kind).itemsize
+        return pool, (np.cumsum(length) - length)[of], length[of]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each text's followed by the end id, and how many each has.
+
+        Of a text's parts, the first has no space before it and the last may end in white space: they are encoded by
+        themselves. All others have the same ids wherever they stand.
+        """
+        data, offsets = buffer_of(texts)
+        raw, n = data.tobytes(), len(offsets) - 1
+        cut = cuts(data, offsets)
+        owner = np.searchsorted(offsets, cut, side="right") - 1
+        end = np.minimum(np.append(cut[1:], len(data)), offsets[owner + 1]) if len(cut) else cut
+        of_text = np.searchsorted(owner, np.arange(n + 1))
+        has = of_text[1:] > of_text[:-1]
+        first_end, last_from = offsets[1:].copy(), offsets[1:].copy()
+        first_end[has] = cut[of_text[:-1][has]]
+        last_from[has] = cut[of_text[1:][has] - 1]
+        ends = self.whole([raw[a:b].decode("utf-8") for a, b in [
+            *zip(offsets[:-1].tolist(), first_end.tolist()), *zip(last_from.tolist(), offsets[1:].tolist())]])
+        middle = np.ones(len(cut), bool)
+        middle[of_text[1:][has] - 1] = False
+        pool, at, length = self._ids_of(data, raw, cut[middle] + 1, end[middle])
+
+        # Pieces in order: each text's first part, its middle ones, its last one, the end id.
+        ends_length = np.array([len(x) for x in ends], np.int64)
+        ends_at = len(pool) + np.cumsum(ends_length) - ends_length
+        pool = np.concatenate([pool, *ends, np.array([END_ID], self.kind)])
+        inner = np.bincount(owner[middle], minlength=n)
+        base = np.cumsum(inner + 3) - (inner + 3)
+        piece_at, piece_length = np.zeros(int(inner.sum()) + 3 * n, np.int64), np.zeros(int(inner.sum()) + 3 * n, np.int64)
+        mine = base[owner[middle]] + 1 + np.arange(int(inner.sum())) - (np.cumsum(inner) - inner)[owner[middle]]
+        for where, x, y in ((base, ends_at[:n], ends_length[:n]), (mine, at, length),
+                            (base + 1 + inner, ends_at[n:], ends_length[n:]), (base + 2 + inner, len(pool) - 1, 1)):
+            piece_at[where], piece_length[where] = x, y
+        ids = pool[np.repeat(piece_at - (np.cumsum(piece_length) - piece_length), piece_length) + np.arange(int(piece_length.sum()))]
+        return ids, np.add.reduceat(piece_length, base)
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places of spaces inside a text that follow something else than white space.
+
+    White space is also what ends in the bytes of a Unicode space; where that is unsure there is no cut.
+    """
+    at = np.flatnonzero(data == 32)
+    begins = np.zeros(len(data) + 1, bool)
+    begins[offsets] = True
+    at = at[~begins[at]]
+    one, two, three = data[at - 1], data[at - 2], data[at - 3]
+    white = (one <= 32) | (two == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (
+        (three >= 0xE1) & (three <= 0xE3) & ((two == 0x80) | (two == 0x81) | (two == 0x9A)))
+    return at[~white]
+
+
+def distinct_parts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One part of each distinct content, and the number of each part's content; by two 64-bit hashes."""
+    powers, inverse, value = powers_for(len(data) + 1)
+    names = []
+    for values in (value, mix(value)):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values[data] * powers[:len(data)], out=sums[1:])
+        names.append((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    _, which, of = np.unique(names[0], return_index=True, return_inverse=True)
+    if (names[1][which][of] != names[1]).any():
+        _, which, of = np.unique(np.stack(names, axis=1), axis=0, return_index=True, return_inverse=True)
+    return which, of.ravel()
 
 
 def _filesystem(folder: str):
@@ -116,11 +180,15 @@ def _filesystem(folder: str):
 
 def pack(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """One file's bytes."""
-    values, inverse, times = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((values, -times))
-    rank_of = np.empty(len(values), np.uint32)
-    rank_of[order] = np.arange(len(values), dtype=np.uint32)
-    ranks = rank_of[inverse]
+    names = None
+    if len(ids) and int(ids.max()) >= DENSE_IDS:
+        names, ids = np.unique(ids, return_inverse=True)
+    times = np.bincount(ids)
+    values = np.flatnonzero(times)
+    order = np.lexsort((values, -times[values]))
+    rank_of = np.zeros(len(times), np.uint32)
+    rank_of[values[order]] = np.arange(len(values), dtype=np.uint32)
+    ranks = rank_of[ids]
     size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     quads = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     quads[:len(ranks)] = size - 1
@@ -131,7 +199,8 @@ def pack(doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> bytes:
     missing = np.array([d is None for d in doc_ids], bool)
     known = np.array([0 if d is None else d for d in doc_ids], "<i8")
     head = np.array([MAGIC, VERSION, len(doc_ids), len(ids), len(values)], "<u4")
-    return b"".join([head.tobytes(), values[order].astype("<u4").tobytes(), counts.astype("<u4").tobytes(),
+    table = values[order] if names is None else names[values[order]]
+    return b"".join([head.tobytes(), table.astype("<u4").tobytes(), counts.astype("<u4").tobytes(),
                      known.tobytes(), np.packbits(missing).tobytes(), control.astype(np.uint8).tobytes(), data.tobytes()])
 
 
@@ -171,7 +240,9 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, shard_tok
     spark = prepare(docs.sparkSession)
     definition = spark.sparkContext.broadcast(open(path or public_tokenizers.path("byte_bpe_50k.json"), "rb").read())
     texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    ordered = texts.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
+    # Ranges by the text's beginning too: rows without an id, or of one id, need not lie in one task.
+    beginning = F.substring("text", 1, SORT_CHARS)
+    ordered = texts.repartitionByRange(partitions(spark), "doc_id", beginning).sortWithinPartitions("doc_id", "text")
 
     def run(batches):
         store = worker_store()
@@ -180,13 +251,13 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, shard_tok
             store[key] = PartEncoder(definition.value)
         encoder, task = store[key], TaskContext.get().partitionId()
         where, root = _filesystem(folder)
-        doc_ids, arrays, pending, number = [], [], 0, 0
+        doc_ids, arrays, counts, pending, number = [], [], [], 0, 0
 
         def flush():
             name = f"{root}/{task:07d}-{number:05d}-{uuid.uuid4().hex}"
             where.create_dir(root, recursive=True)
             with where.open_output_stream(f"{name}.tmp") as out:
-                out.write(pack(doc_ids, np.array([len(a) for a in arrays], np.uint32), np.concatenate(arrays)))
+                out.write(pack(doc_ids, np.concatenate(counts), np.concatenate(arrays)))
             where.move(f"{name}.tmp", f"{name}.tok")
             return pa.record_batch({
                 "path": [f"{name}.tok"], "task": pa.array([task], pa.int32()), "number": pa.array([number], pa.int32()),
@@ -194,14 +265,19 @@ def write_files(docs: DataFrame, folder: str, path: str | None = None, shard_tok
 
         for batch in batches:
             for part in chunks(batch):
-                found = encoder.texts([t or "" for t in part.column("text").to_pylist()])
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), found):
-                    doc_ids.append(doc_id)
-                    arrays.append(np.append(ids, np.uint32(END_ID)))
-                    pending += len(ids) + 1
+                ids, n_ids = encoder.encode(part.column("text"))
+                known, ends, done = part.column("doc_id").to_pylist(), np.cumsum(n_ids), 0
+                while done < len(known):
+                    begin = int(ends[done] - n_ids[done])
+                    # Up to the document that fills the file, or all there are.
+                    upto = min(int(np.searchsorted(ends, begin + shard_tokens - pending)) + 1, len(known))
+                    doc_ids += known[done:upto]
+                    arrays.append(ids[begin:int(ends[upto - 1])])
+                    counts.append(n_ids[done:upto])
+                    pending, done = pending + int(ends[upto - 1]) - begin, upto
                     if pending >= shard_tokens:
                         yield flush()
-                        doc_ids, arrays, pending, number = [], [], 0, number + 1
+                        doc_ids, arrays, counts, pending, number = [], [], [], 0, number + 1
         if doc_ids:
             yield flush()
 
@@ -213,9 +289,14 @@ def read_files(spark, files: DataFrame, folder: str) -> DataFrame:
     n_files = files.count()
     if not n_files:
         return spark.createDataFrame([], ROWS)
-    along = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)
+    # Ids before a file: those of earlier tasks, from one row a task, and of the task's earlier files.
+    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("task").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = files.groupBy("task").agg(F.sum("n_tokens").alias("n")).select(
+        "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("tasks_before"))
     name = F.regexp_extract("path", "([^/]*)$", 1).alias("name")
-    starts = files.select(name, F.coalesce(F.sum("n_tokens").over(along), F.lit(0)).alias("before"))
+    starts = files.join(F.broadcast(tasks), "task").select(
+        name, (F.col("tasks_before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).alias("before"))
 
     def run(batches):
         for batch in batches:
