@@ -260,6 +260,31 @@ def test_near_dedup_joins_through_members_that_are_no_pivot(spark, monkeypatch,
     assert {r["doc_id"] for r in kept.collect()} == set(expected.values())
 
 
+def near_copy(words, at):
+    return " ".join([*words[:at], "other", *words[at + 1:]])
+
+
+@pytest.mark.parametrize("block", [near_dedup.BLOCK, 4])
+def test_near_dedup_where_ids_repeat_with_different_texts(spark, monkeypatch, block):
+    """Each text of a repeated id is compared, and the id joins the classes of its texts."""
+    monkeypatch.setattr(near_dedup.links, "__defaults__", (block,))
+    one, two, three, four = ([f"{c}{i}" for i in range(80)] for c in "pqrs")
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, near_copy(one, 3)), (3, near_copy(two, 70)), (3, None),
+            (9, " ".join(three)), (9, " ".join(four)), (9, " ".join(four)), (8, near_copy(four, 5)), (7, near_copy(three, 70)), (6, " ".join(three)),
+            *[(20 + i, " ".join(one)) for i in range(30)], (None, " ".join(two)), (50, None), (51, "alone")]
+    expected = fx.near_classes(rows)
+    assert expected[3] == 1 and expected[8] == 6
+    assert rows_of(near_dedup.classes(fx.cases(spark, rows)), "doc_id", "class_id") == sorted(
+        ((i, expected.get(i)) for i, _ in rows), key=repr)
+
+
+def test_hot_keys_are_joined_like_others(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}") for i in range(3000)], "doc_id long, same string")
+    side = rows.groupBy("same").agg(F.count(F.lit(1)).alias("n")).withColumn("class", F.length("same"))
+    got = near_dedup.with_value(rows, side, "same", 3000).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(3000)) and all(r["class"] == len(r["same"]) for r in got)
+
+
 def test_bag_signatures_estimate_the_weighted_similarity():
     import numpy as np
 

@@ -11,7 +11,8 @@ the work is about the number of shingles plus m log m.
 Texts with the same words in the same order are one text from the start. Signatures are banded;
 texts that share a band are a bucket. No bucket is expanded into pairs. First each member is verified
 against the bucket's pivot, and classes are the connected components of verified pairs. Buckets whose
-other members then lie in different classes are cut into blocks. A task holds two blocks against each
+other members then lie in different classes are cut into blocks: members outside the largest class meet all
+others. A task holds two blocks against each
 other by one byte of each slot, verifies pairs of different classes that agree in 64 % of the slots or more
 (at similarity 0.8 fewer agree with probability below one in 100,000), in the bucket of their first shared
 band, and returns only links that join two classes. So every pair in a bucket that could join two
@@ -36,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BASE, Words, buffer_of, chunks, materialize, mix, only, partitions, prepare, shingles
+from tidemark.llm.common import BASE, Words, buffer_of, chunks, free_names, materialize, mix, only, partitions, prepare, shingles
 
 WORDS, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**25, about 5 in 100,000.
@@ -46,6 +47,8 @@ BLOCK, AGREE = 1_000, 0.64
 # Sides of a join are broadcast up to so many rows of two ids, or so many bytes of bags; else both are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 BAG_BYTES = 6
+# Keys of more than one in so many rows are joined without a shuffle.
+HOT_KEYS = 1_000
 STEP = 0xD1B54A32D192ED03
 
 
@@ -127,7 +130,7 @@ def sign(texts: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = R
             for part in chunks(batch):
                 hashes, first, found, owner = _shingled(part.column("text"), words)
                 known = part.column("text").is_valid().to_pylist()
-                same = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() if there else None
+                same = [same_words(hashes[a:b]) if there else None
                         for a, b, there in zip(first[:-1].tolist(), first[1:].tolist(), known)]
                 # Copies inside a batch are signed once.
                 leader = {}
@@ -144,12 +147,17 @@ def sign(texts: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = R
     return texts.mapInArrow(run, "doc_id long, same binary, bands array<long>, sketch binary")
 
 
+def same_words(hashes: np.ndarray) -> bytes:
+    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+
+
 def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, bag``: sorted 48-bit names of the text's shingles, the i-th copy of one with a name of its own."""
+    """``doc_id, same, bag``: sorted 48-bit names of the text's shingles, the i-th copy of one with a name of its own."""
     def run(batches):
         for batch in batches:
             for part in chunks(batch):
-                *_, found, owner = _shingled(part.column("text"), words)
+                hashes, first, found, owner = _shingled(part.column("text"), words)
+                same = [same_words(hashes[a:b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
                 order = np.lexsort((found, owner))
                 h, o = found[order], owner[order]
                 new = np.concatenate([[True], (h[1:] != h[:-1]) | (o[1:] != o[:-1])]) if len(h) else np.zeros(0, bool)
@@ -158,9 +166,10 @@ def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
                 names = np.where(copy > 0, mix(h + copy.astype(np.uint64) * np.uint64(STEP)), h)
                 edge = np.searchsorted(o, np.arange(part.num_rows + 1))
                 bags = [_short(np.sort(names[a:b])) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
-                yield pa.record_batch({"doc_id": part.column("doc_id"), "bag": pa.array(bags, pa.binary())})
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "same": pa.array(same, pa.binary()),
+                                       "bag": pa.array(bags, pa.binary())})
 
-    return texts.mapInArrow(run, "doc_id long, bag binary")
+    return texts.mapInArrow(run, "doc_id long, same binary, bag binary")
 
 
 def _short(names: np.ndarray) -> bytes:
@@ -223,10 +232,10 @@ def compare(pairs: DataFrame, n_pairs: int, bags: DataFrame, threshold: float) -
     """Those of the stored ``pairs`` (``a`` a pivot, ``b``) whose whole bags are similar enough."""
     few = n_pairs <= BROADCAST_ROWS
     pivots = bags.join(F.broadcast(pairs.select("a").distinct()) if few else pairs.select("a").distinct(),
-                       bags["doc_id"] == F.col("a"), "left_semi")
+                       bags["doc"] == F.col("a"), "left_semi")
     light = few and (pivots.agg(F.sum(F.length("bag"))).first()[0] or 0) <= BROADCAST_BYTES
-    side = pivots.select(F.col("doc_id").alias("a"), F.col("bag").alias("bag_a"))
-    whole = (bags.select(F.col("doc_id").alias("b"), F.col("bag").alias("bag_b"))
+    side = pivots.select(F.col("doc").alias("a"), F.col("bag").alias("bag_a"))
+    whole = (bags.select(F.col("doc").alias("b"), F.col("bag").alias("bag_b"))
              .join(F.broadcast(pairs) if few else pairs, "b").join(F.broadcast(side) if light else side, "a"))
     return whole.select("a", "b", "bag_a", "bag_b").mapInArrow(lambda it: _compare(it, threshold), "a long, b long")
 
@@ -265,13 +274,20 @@ def _join_classes(lot: pa.Table, threshold: float) -> pa.Table:
     return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
-def links(texts: DataFrame, members: DataFrame, signatures: DataFrame, threshold: float, words: int, block: int = BLOCK) -> DataFrame:
-    """``node, label`` of the classes that the members of buckets (``band, key, doc``) form."""
-    ids, found = stored(members.select(F.col("doc").alias("doc_id")).distinct(), "candidates")
-    side = F.broadcast(ids) if found["n"] <= BROADCAST_ROWS else ids
-    # Of rows that share an id, the one with the least bag is compared.
-    bags = materialize(shingle_sets(texts.join(side, "doc_id").select("doc_id", "text"), words)
-                       .groupBy("doc_id").agg(F.min("bag").alias("bag")), "bags")
+def links(texts: DataFrame, distinct: DataFrame, members: DataFrame, threshold: float, words: int, block: int = BLOCK) -> DataFrame:
+    """``node, label`` of the classes that the members of buckets (``band, key, doc``) form.
+
+    ``doc`` names a text of ``distinct`` (``doc, same, lead, bands, sketch``), ``lead`` is the id of a row that has it.
+    """
+    ids, found = stored(members.select("doc").distinct(), "candidates")
+    few = found["n"] <= BROADCAST_ROWS
+    wanted = materialize(distinct.select("doc", "same", "lead").join(F.broadcast(ids) if few else ids, "doc"), "wanted")
+    leads = wanted.select(F.col("lead").alias("doc_id")).distinct()
+    read = texts.join(F.broadcast(leads) if few else leads, "doc_id", "left_semi").select("doc_id", "text")
+    names = wanted.withColumnRenamed("lead", "doc_id")
+    # Other texts of a lead's id go; of repeated rows one bag stays.
+    bags = materialize(shingle_sets(read, words).join(F.broadcast(names) if few else names, ["doc_id", "same"])
+                       .groupBy("doc").agg(F.min("bag").alias("bag")), "bags")
     lead = members.groupBy("band", "key").agg(F.min_by("doc", F.struct(F.xxhash64("doc"), "doc")).alias("a"))
     rest = materialize(members.join(lead, ["band", "key"]).filter("doc <> a"), "members")
     pairs, found = stored(rest.select("a", F.col("doc").alias("b")).distinct(), "pairs")
@@ -280,19 +296,24 @@ def links(texts: DataFrame, members: DataFrame, signatures: DataFrame, threshold
     placed = materialize(rest.select("band", "key", "doc").join(
         labels.select(F.col("node").alias("doc"), "label"), "doc", "left").withColumn(
         "label", F.coalesce("label", "doc")), "placed")
-    mixed = placed.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y")
-    blocks = F.ceil(F.col("n") / block).cast("int")
+    # Members of one class need no look at each other: those outside the largest class meet all, in blocks.
+    mixed = placed.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "key").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("top")).filter(F.col("n") > F.col("top.n"))
     split, found = stored(
-        placed.join(mixed.select("band", "key", blocks.alias("blocks")), ["band", "key"])
-        .withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")), "open")
+        placed.join(mixed.select(
+            "band", "key", F.col("top.label").alias("main"), F.ceil(F.col("top.n") / block).cast("int").alias("mains"),
+            F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("others")), ["band", "key"])
+        .withColumn("is_main", F.col("label") == F.col("main"))
+        .withColumn("own", F.when(F.col("is_main"), F.col("others") + F.pmod(F.xxhash64("doc"), F.col("mains")))
+                    .otherwise(F.pmod(F.xxhash64("doc"), F.col("others"))).cast("int"))
+        .withColumn("reach", F.col("others") + F.when(F.col("is_main"), 0).otherwise(F.col("mains"))), "open")
     if not found["n"]:
         return labels
     few = found["n"] <= BROADCAST_ROWS
-    known = bags.join(signatures, "doc_id").withColumnRenamed("doc_id", "doc")
+    known = bags.join(distinct.select("doc", "bands", "sketch"), "doc")
     tiles = (
         known.join(F.broadcast(split) if few else split, "doc")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("reach") - 1)))
         .select("band", "key", "doc", "label", "own", "sketch", "bands", "bag",
                 F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         # Small tiles share a call of the function; a lot holds about an eighth of a partition.
@@ -302,32 +323,55 @@ def links(texts: DataFrame, members: DataFrame, signatures: DataFrame, threshold
         labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))))
 
 
+def with_value(rows: DataFrame, side: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` joined with ``side`` (one row a key, with ``n``, how many of the ``total`` rows have it).
+
+    Keys of more than a thousandth of the rows are fewer than a thousand: they are broadcast, the others shuffled.
+    """
+    hot = F.broadcast(side.filter(F.col("n") * HOT_KEYS > total).drop("n"))
+    return rows.join(hot, key).unionByName(rows.join(hot, key, "left_anti").join(side.filter(F.col("n") * HOT_KEYS <= total).drop("n"), key))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``doc_id, class_id`` for each row of ``docs``; the class is named by its least id."""
     prepare(docs.sparkSession)
     texts = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    signed = materialize(sign(texts, words, bands, rows), "signatures")
+    signed, found = stored(sign(texts, words, bands, rows), "signatures")
     worded = signed.filter(F.col("same").isNotNull() & F.col("doc_id").isNotNull())
-    # Copies: one document stands for each text.
-    copies = worded.groupBy("same").agg(F.min("doc_id").alias("lead"))
-    distinct = worded.join(copies, "same")
-    # Membership of copies in their text's document; an id that stands in several rows links their texts.
-    same_text = distinct.filter("doc_id <> lead").select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).distinct()
-    leads = distinct.filter("doc_id = lead").select("doc_id", "bands", "sketch").dropDuplicates(["doc_id", "bands"])
-    banded = leads.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("band", "key"))
+    # Copies have the same words and so the same signature: one row, with a number of its own, stands for each text.
+    distinct = materialize(worded.groupBy("same").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("lead"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+    ).withColumn("doc", F.monotonically_increasing_id()), "texts")
+    banded = distinct.select("doc", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band", "key")
-    members = materialize(banded.join(shared, ["band", "key"]).select("band", "key", "doc").distinct(), "buckets")
-    signatures = leads.groupBy("doc_id").agg(F.min(F.struct("bands", "sketch")).alias("s")).select("doc_id", "s.*")
-    near = links(texts.filter(F.col("text").isNotNull()), members, signatures, threshold, words)
-    edges = near.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-    final = components(edges.unionByName(same_text))
-    return signed.select("doc_id").join(final.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").select(
-        "doc_id", F.coalesce("label", "doc_id").alias("class_id"))
+    members = materialize(banded.join(shared, ["band", "key"]).distinct(), "buckets")
+    near = links(texts.filter(F.col("text").isNotNull()), distinct, members, threshold, words)
+    # The least id of each class of texts, then of each row's text.
+    labelled = materialize(distinct.select("doc", "same", "lead", "n").join(
+        near.select(F.col("node").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc")), "labelled")
+    named = labelled.groupBy("label").agg(F.min("lead").alias("class"))
+    of_text = labelled.join(named, "label").select("same", "n", "class")
+    of_rows = materialize(with_value(worded.select("doc_id", "same"), of_text, "same", found["n"]).select("doc_id", "class"), "row-classes")
+    return signed.select("doc_id").join(_classes_of_ids(of_rows), "doc_id", "left").select(
+        "doc_id", F.coalesce("class", "doc_id").alias("class_id"))
+
+
+def _classes_of_ids(of_rows: DataFrame) -> DataFrame:
+    """``doc_id, class``: an id whose rows have texts of several classes joins them."""
+    of_ids, found = stored(of_rows.groupBy("doc_id").agg(F.min("class").alias("class"), F.max("class").alias("last")), "id-classes",
+                           F.count_if(F.col("class") != F.col("last")).alias("several"))
+    if not found["several"]:
+        return of_ids.drop("last")
+    least = of_ids.filter(F.col("class") != F.col("last")).select("doc_id", F.col("class").alias("b"))
+    merged = components(of_rows.join(least, "doc_id").select(F.col("class").alias("a"), "b"))
+    return of_ids.drop("last").join(merged, F.col("class") == F.col("node"), "left").select(
+        "doc_id", F.coalesce("label", "class").alias("class"))
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
     """``docs`` with one document of each class, the one with the least id; rows with a NULL id stay."""
     found = classes(docs, threshold, words)
-    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    name, = free_names(docs, "gone")
+    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
     return kept.select(*docs.columns)
