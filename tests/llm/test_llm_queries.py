@@ -97,7 +97,7 @@ def test_decontamination_recall_with_edits(spark, share):
         assert len(found) >= 0.95 * len(items)
 
 
-@pytest.mark.parametrize("size", [6, 7, 8, 9])
+@pytest.mark.parametrize("size", [5, 6, 7, 8, 9])
 def test_decontamination_of_short_items_with_any_edit(spark, size):
     words = [[f"w{i}x{k}" for k in range(size)] for i in range(3 * size + 1)]
     # Items of 6 words make the class one that begins with 6.

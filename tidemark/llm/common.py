@@ -57,6 +57,14 @@ def only(df: DataFrame, *names: str) -> DataFrame:
     return unique.select(*[F.col(f"_{df.columns.index(n)}").alias(n) for n in names])
 
 
+def by_place(df: DataFrame, *wanted: str) -> tuple[DataFrame, ...]:
+    """``df`` with its columns named by their place, and the new names of ``wanted`` (the first column of exactly that name).
+
+    ``toDF`` with the old names undoes it; in between no name is ambiguous, whatever names there are.
+    """
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), *[f"c{df.columns.index(n)}" for n in wanted]
+
+
 def free_names(df: DataFrame, *wanted: str) -> list[str]:
     """``wanted`` with so many underscores in front that no column of ``df`` has any of the names."""
     taken, lead = {c.lower() for c in df.columns}, "_"

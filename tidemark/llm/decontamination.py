@@ -15,8 +15,9 @@ Few windows need a walk: k edits leave at least n - 2 - 3k of an item's three-wo
 as they are, so windows with fewer runs that occur in any item cannot match. That condition loses
 nothing; it is tested by table lookups on all windows.
 
-Items of fewer than WALK_WORDS words need none: a match keeps at least one of their three-word runs, so every
-place that holds one is verified.
+Items of fewer than WALK_WORDS words need none: a match keeps at least one of their three-word runs (of items of five
+words, with one edit, one of two words), so every place that holds one is verified. Items of four words and
+fewer are found exactly.
 
 Items of one block are broadcast; a benchmark beyond BLOCK_BYTES is cut into blocks, each compared with
 all documents.
@@ -38,12 +39,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, buffer_of, chunks, mix, not_alphanumeric, only, prepare, share, table_of, windows
+from tidemark.llm.common import Words, buffer_of, by_place, chunks, mix, not_alphanumeric, only, prepare, share, table_of, windows
 
 RATE = 0.2
 MIN_WORDS = 4
 RUN = 3
 WALK_WORDS = 10
+# One edit leaves no run of three words of such an item, but one of two.
+PAIR_WORDS = 5
 REPEATS = 24
 BLOCK_BYTES = 4 << 20
 TABLE_BITS = 22
@@ -57,8 +60,9 @@ PAST_END = np.uint64(0x5EED0FE0D0FE5EED)
 
 
 def edits_allowed(n: int, rate: float = RATE) -> int:
-    """Edits that an item of n words may be away; few enough that one of its runs stays whole."""
-    return int(n * rate + 1e-9) if n >= 6 else 0
+    """Edits that an item of n words may be away; few enough that a run of RUN words stays whole, or of two words where
+    the item has five."""
+    return int(n * rate + 1e-9) if n >= 6 else min(1, int(n * rate + 1e-9)) if n == PAIR_WORDS else 0
 
 
 def runs_kept(n: int, rate: float = RATE) -> int:
@@ -155,7 +159,13 @@ class Items:
         self.ids, self.rate = ids, rate
         self.words = [hashes[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
         used = [i for i, w in enumerate(self.words) if len(w) >= WALK_WORDS]
-        short = [i for i, w in enumerate(self.words) if MIN_WORDS <= len(w) < WALK_WORDS]
+        short = [i for i, w in enumerate(self.words) if MIN_WORDS <= len(w) < WALK_WORDS and len(w) != PAIR_WORDS]
+        # Items of five words by their runs of two, with the run's place in the item.
+        self.pairs: dict[int, list[tuple[int, int]]] = {}
+        for i, w in enumerate(self.words):
+            if len(w) == PAIR_WORDS:
+                for offset, run in enumerate(windows(w, np.array([0, len(w)]), 2)[0].tolist()):
+                    self.pairs.setdefault(run, []).append((i, offset))
         by_size: dict[int, list[int]] = {}
         for i in used:
             by_size.setdefault(int(math.log(len(self.words[i])) / math.log(SIZE_STEP)), []).append(i)
@@ -203,7 +213,8 @@ class Items:
 
     def find(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int]]:
         """``(text, item, distance)`` for all texts of a batch."""
-        return self._confirm(hashes, first, self._find_whole(hashes, first) | self._find_near(hashes, first))
+        return self._confirm(hashes, first, self._find_whole(hashes, first) | self._find_pairs(hashes, first)
+                             | self._find_near(hashes, first))
 
     def _find_whole(self, hashes, first) -> set[tuple[int, int, int]]:
         candidates = set()
@@ -217,6 +228,15 @@ class Items:
                 candidates.update((t, i, s) for i in items[key])
         return candidates
 
+    def _find_pairs(self, hashes, first) -> set[tuple[int, int, int]]:
+        if not self.pairs:
+            return set()
+        found, at = windows(hashes, first, 2)
+        hit = np.flatnonzero(np.isin(found, np.array(list(self.pairs), np.uint64)))
+        text = np.searchsorted(first, at[hit], side="right") - 1
+        return {(t, i, s - offset) for t, s, run in zip(text.tolist(), at[hit].tolist(), found[hit].tolist())
+                for i, offset in self.pairs[run]}
+
     def _find_near(self, hashes, first) -> set[tuple[int, int, int]]:
         found, at = windows(hashes, first, RUN)
         if not len(found) or not len(self.runs):
@@ -319,5 +339,6 @@ def find_items(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, block_
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """``docs`` without those that hold an item. A row with a NULL id is judged with all rows that have none."""
-    found = find_items(docs, benchmark, rate).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_found"]), "left_anti").select(*docs.columns)
+    rows, key = by_place(docs, "doc_id")
+    found = find_items(docs, benchmark, rate).select(F.col("doc_id").alias("found")).distinct()
+    return rows.join(found, F.col(key).eqNullSafe(F.col("found")), "left_anti").toDF(*docs.columns)

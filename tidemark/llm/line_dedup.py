@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE, buffer_of, chunks, free_names, materialize, only, partitions, prepare
+from tidemark.llm.common import WHITE, buffer_of, by_place, chunks, free_names, materialize, only, partitions, prepare
 
 LINES = "doc_id long, text_hash long, pos binary, h1 long, h2 long"
 DECIDED = "doc_id long, text_hash long, pos binary, h1 long, h2 long, open boolean"
@@ -169,8 +169,8 @@ def kept_lines(text: str | None, keep: bytes | None) -> str:
     return "\n".join(line for line, stays in zip(lines, bits) if stays)
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, str]:
-    """``docs`` (without repeated column names) with two more columns, and their names: lines lost, bitmap.
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str, str]:
+    """``docs`` (``doc_id, text``) with two more columns, and their names: lines lost, bitmap.
 
     The bitmaps are stored and measured: small ones are broadcast, so that the texts stay where they lie.
     """
@@ -180,7 +180,7 @@ def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> tuple[DataFrame, str, s
     side = held.select("doc_id", "text_hash", "n_dropped", "keep").toDF(*names)
     if size + ROW_BYTES * rows <= BROADCAST_BYTES:
         side = F.broadcast(side)
-    match = (docs["doc_id"] == side[names[0]]) & (F.xxhash64(docs["text"]) == side[names[1]])
+    match = (docs[doc_id] == side[names[0]]) & (F.xxhash64(docs[text]) == side[names[1]])
     return docs.join(side, match, "left").drop(*names[:2]), names[2], names[3]
 
 
@@ -205,19 +205,19 @@ def line_digests(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text`` (a NULL text stays NULL); other columns as they were."""
-    joined, lost, bits = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
-    fields = joined.drop(lost, bits).schema
-    names = fields.names
-    at = names.index("text")
+    rows, doc_id, body = by_place(docs, "doc_id", "text")
+    joined, lost, bits = with_bitmaps(rows, keep_bitmaps(docs, min_chars, min_docs), doc_id, body)
+    fields, names = rows.schema, rows.columns
+    at = names.index(body)
 
     def apply(batches):
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, body):
                 keep = part.column(bits).to_pylist()
-                texts = part.column("text").to_pylist()
+                texts = part.column(body).to_pylist()
                 texts = [t if k is None else kept_lines(t, k) for t, k in zip(texts, keep)]
                 columns = [part.column(n) for n in names]
-                columns[at] = pa.array(texts, part.column("text").type)
+                columns[at] = pa.array(texts, part.column(body).type)
                 yield pa.record_batch(columns, names=names)
 
-    return joined.mapInArrow(apply, fields)
+    return joined.mapInArrow(apply, fields).toDF(*docs.columns)

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BASE, Words, buffer_of, chunks, free_names, materialize, mix, only, partitions, prepare, shingles
+from tidemark.llm.common import BASE, Words, buffer_of, by_place, chunks, materialize, mix, only, partitions, prepare, shingles
 
 WORDS, THRESHOLD = 5, 0.8
 # A pair of similarity 0.8 shares no band with probability (1 - 0.8**5)**25, about 5 in 100,000.
@@ -371,7 +371,7 @@ def _classes_of_ids(of_rows: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
     """``docs`` with one document of each class, the one with the least id; rows with a NULL id stay."""
     found = classes(docs, threshold, words)
-    name, = free_names(docs, "gone")
-    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
-    return kept.select(*docs.columns)
+    rows, key = by_place(docs, "doc_id")
+    gone = found.filter("doc_id <> class_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = rows.join(gone, F.col(key) == F.col("gone"), "left_anti")
+    return kept.toDF(*docs.columns)

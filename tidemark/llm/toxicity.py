@@ -29,7 +29,9 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import LETTERS_ASCII, Words, buffer_of, chunks, crc_of_id, materialize, mix, only, prepare, shingles, table_of
+from tidemark.llm.common import (
+    LETTERS_ASCII, Words, buffer_of, by_place, chunks, crc_of_id, materialize, mix, only, prepare, shingles, table_of,
+)
 
 FOLDS = 5
 SAMPLE_ROWS = 12_000
@@ -256,6 +258,6 @@ def score_texts(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_RO
 def keep_clean(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` (with all columns) without the texts scored 0.5 or more."""
     model = train(docs, labels, sample_rows)
-    names = docs.columns
-    scored = model.score(docs.withColumn("_whole", F.struct(*[docs[c] for c in names])).select("_whole", "text"))
-    return scored.filter(F.col("score") < 0.5).select(*[F.col("_whole")[c].alias(c) for c in names])
+    rows, text = by_place(docs, "text")
+    scored = model.score(rows.select(F.struct(*rows.columns).alias("whole"), F.col(text).alias("text")))
+    return scored.filter(F.col("score") < 0.5).select("whole.*").toDF(*docs.columns)
