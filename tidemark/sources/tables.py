@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 LAYERS = ("raw", "processed", "features", "models")
 SERIES_COLUMNS = ("coin_id", "timestamp", "vs_currency", "price")
+# Partitions that are chosen one by one; beyond, all in the range they span are.
+PARTITIONS_LISTED = 1_000
 
 
 def layer_name(prefix: str, layer: str) -> str:
@@ -61,3 +63,21 @@ def replace_from_query(spark: SparkSession, table: str, query: str, comment: str
 def row_count(df: DataFrame) -> DataFrame:
     """The number of rows, as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def touched(stored: DataFrame, column: str, values: DataFrame, limit: int = PARTITIONS_LISTED) -> DataFrame:
+    """Partitions of ``stored`` whose ``column`` is among ``values``, chosen before anything is read.
+
+    Few values are listed, so that other partitions are never opened; beyond ``limit`` it is the range they span.
+    """
+    distinct = values.select(column).distinct()
+    found = [row[0] for row in distinct.limit(limit + 1).collect()]
+    if len(found) > limit:
+        low, high = distinct.agg(F.min(column), F.max(column)).first()
+        return stored.filter(F.col(column).between(low, high))
+    return stored.filter(F.col(column).isin(found))

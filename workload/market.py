@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -65,10 +66,10 @@ def market(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def layout_of(df: DataFrame) -> SeriesLayout:
+def layout_of(df: DataFrame, order: Sequence[str] = ORDER) -> SeriesLayout:
     if variant.long_series:
-        return measure_series(df, order_cols=ORDER, plain_limit=1, rows_per_block=SMALL_BLOCK)
-    return measure_series(df, order_cols=ORDER)
+        return measure_series(df, order_cols=order, plain_limit=1, rows_per_block=SMALL_BLOCK)
+    return measure_series(df, order_cols=order)
 
 
 def market_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:
@@ -123,9 +124,9 @@ def ticks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesLayout]:
 # JSON documents. A document holds the points of one series among POINTS_PER_DOCUMENT
 # consecutive event ids, so no document grows with the table.
 
-def documents(spark: SparkSession, sf_dir: str, days: str = "1") -> DataFrame:
-    """Per document: series, chart envelope and OHLC envelope as JSON text."""
-    points = market(spark, sf_dir).select(
+def documents(spark: SparkSession, sf_dir: str, days: str = "1", rows: DataFrame | None = None) -> DataFrame:
+    """Per document: series, chart envelope and OHLC envelope as JSON text, of the market or of ``rows`` like it."""
+    points = (market(spark, sf_dir) if rows is None else rows).select(
         "coin_id", "vs_currency", F.floor(F.col("event_id") / POINTS_PER_DOCUMENT).alias("document"),
         F.unix_millis(F.col("timestamp").cast("timestamp")).alias("ms"),
         "price", "market_cap", "total_volume",

@@ -181,6 +181,13 @@ oracle("parse_chart", MARKET, f"""
 SELECT coin_id, vs_currency, '1' AS days, epoch_us(timestamp) // 1000 AS timestamp_unix_ms,
        strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_raw, date_trunc('millisecond', timestamp) AS timestamp,
        {rs('price, market_cap, total_volume')} FROM market""")
+oracle("incremental_chart", MARKET + """,
+arrived AS (
+  SELECT *, CASE WHEN event_id // 256 % 3 < 2 THEN '1' ELSE '7' END AS days FROM market
+  UNION ALL SELECT * REPLACE (price + 1 AS price), '30' FROM market WHERE event_id % 25 = 0)""", f"""
+SELECT coin_id, vs_currency, days, epoch_us(timestamp) // 1000 AS timestamp_unix_ms,
+       strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_raw, date_trunc('millisecond', timestamp) AS timestamp,
+       {rs('price, market_cap, total_volume')} FROM arrived""")
 SPOILED = MARKET + """,
 spoiled AS (
   SELECT *, event_id % 7 AS kind,
@@ -715,6 +722,60 @@ SELECT {G}, {r('a.p', 'adf_p_value_diff_price')}, {r('k.p', 'kpss_p_value_diff_p
 FROM adf a JOIN kpss k USING ({G})""")
 
 
+# Control charts
+
+_RUN_W = f"PARTITION BY {G} ORDER BY timestamp, price, residual"
+_NEAR = {"two_of_three": (2, 3, 2), "four_of_five": (4, 5, 1)}
+
+
+def _near(name: str, sign: str) -> str:
+    points, of, deviations = _NEAR[name]
+    beyond = f"coalesce({sign} * (residual - residual_mean) > {deviations} * residual_std, false)"
+    return (f"({beyond} AND count(*) FILTER ({beyond}) OVER ({_RUN_W} ROWS BETWEEN {of - 1} PRECEDING AND CURRENT ROW) >= {points})")
+
+
+RUNS = FORECASTS + f""",
+sided AS (SELECT *, CASE WHEN residual > residual_mean THEN 1 WHEN residual < residual_mean THEN -1 ELSE 0 END AS side FROM forecasts),
+changes AS (SELECT *, CASE WHEN lag(side) OVER ({_RUN_W}) IS DISTINCT FROM side THEN 1 ELSE 0 END AS begins FROM sided),
+numbered AS (SELECT *, sum(begins) OVER ({_RUN_W}) AS run FROM changes),
+runs AS (
+  SELECT *, CASE WHEN side = 0 THEN 0 ELSE row_number() OVER (PARTITION BY {G}, run ORDER BY timestamp, price, residual) END AS side_run,
+         coalesce(abs(residual - residual_mean) > 3 * residual_std, false) AS beyond_3_sigma,
+         {", ".join(f"{_near(n, '1')} OR {_near(n, '-1')} AS {n}" for n in _NEAR)}
+  FROM numbered)"""
+oracle("control_runs", RUNS, f"""
+SELECT {G}, timestamp, dataset_type, {r('residual')}, side_run, beyond_3_sigma, two_of_three, four_of_five,
+       side_run >= 8 AS eight_on_side FROM runs""")
+oracle("control_run_summary", RUNS, f"""
+SELECT {G}, dataset_type, count(*) AS observations, count(*) FILTER (beyond_3_sigma) AS beyond_3_sigma,
+       count(*) FILTER (two_of_three) AS two_of_three, count(*) FILTER (four_of_five) AS four_of_five,
+       count(*) FILTER (side_run >= 8) AS eight_on_side, max(side_run) AS longest_side_run
+FROM runs GROUP BY {G}, dataset_type""")
+oracle("residual_drift", FORECASTS + f""",
+sizes AS (SELECT {G}, count(*) FILTER (dataset_type = 'train') AS n_train, count(*) FILTER (dataset_type = 'test') AS n_test
+          FROM forecasts WHERE residual IS NOT NULL GROUP BY {G}),
+curves AS (
+  SELECT {G}, n_train, n_test,
+         abs(count(*) FILTER (dataset_type = 'train') OVER w / n_train - count(*) FILTER (dataset_type = 'test') OVER w / n_test) AS gap
+  FROM forecasts JOIN sizes USING ({G}) WHERE residual IS NOT NULL
+  WINDOW w AS (PARTITION BY {G} ORDER BY residual RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+distances AS (SELECT {G}, n_train, n_test, max(gap) AS d, sqrt(n_train * n_test / (n_train + n_test)) AS root FROM curves GROUP BY ALL),
+scaled AS (SELECT *, (root + 0.12 + 0.11 / root) * d AS lam FROM distances),
+valued AS (
+  SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 101),
+         lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2 * k * k * lam * lam))))) END AS p FROM scaled)""", f"""
+SELECT {G}, n_train, n_test, {r('d', 'ks_statistic')}, {r('p', 'p_value')}, p < 0.05 AS drift FROM valued""")
+oracle("sketch_quantiles", MARKET, f"""
+SELECT {G}, count(price) AS n, true AS q1_within_bound, true AS median_within_bound, true AS q3_within_bound
+FROM market GROUP BY {G}""")
+
+# What loads extend equals what one build over all rows gives.
+
+for _key, _same in (("feature_refresh", "lag_features"), ("merged_scaling", "scaling_stats"),
+                    ("merged_coefficients", "model_coefficients"), ("merged_limits", "control_limits")):
+    ORACLES[_key] = ORACLES[_same]
+
+
 # Variants: a missing currency is a value of its own to SQL until the last step; long series give the same rows.
 
 def _without_currency(name: str) -> str:

@@ -14,13 +14,15 @@ from tidemark.operators import dashboards as dash
 from tidemark.operators import describe as desc
 from tidemark.operators import diagnostics as diag
 from tidemark.operators import features as feat
-from tidemark.operators import models, monitoring, quality, series
+from tidemark.operators import models, moments, monitoring, quality, runs, series, sketches
 from tidemark.operators.dedup import CHART_KEY, OHLC_KEY, keep_one
 from tidemark.operators.ordering import number_rows
 from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, quarantined, usable
+from tidemark.operators.refresh import FeatureStore
 from tidemark.session import materialize, scratch_root
 from tidemark.sources.landing import peek_with_file, scan_landing
 from tidemark.sources.tables import create_layers, layer_name, load_source, replace_from_query, row_count, save_table
+from tidemark.streaming.ingest import ingest_chart, ingested
 from tidemark.streaming.landing import land_new_files
 from workload import market as m
 from workload.oracles import add_variants
@@ -32,6 +34,8 @@ QUERIES: dict[str, Query] = {}
 COINS = ["click", "view"]
 START, END = "2024-01-05 00:00:00", "2024-01-15 00:00:00"
 ONE_COIN, ONE_CURRENCY = "click", "usd"
+# Where the second load of the feature store begins.
+SECOND_LOAD = "2024-01-20 00:00:00"
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -91,6 +95,58 @@ def _(spark, sf_dir):
         "data", F.contains("file_name", F.lit("market_chart")).alias("is_chart_file"), (F.col("file_size") > 0).alias("has_size"))
 
 
+@query("incremental_chart")
+def _(spark, sf_dir):
+    """Four runs of the keyed ingest: the second brings half its points again, the third corrections, the last no file."""
+    root = f"{scratch_root(m.prepared(spark))}/arriving-{uuid.uuid4().hex}"
+    corrected = m.market(spark, sf_dir).filter(F.col("event_id") % 25 == 0).withColumn("price", F.col("price") + 1)
+    third = F.col("document") % 3
+    arrivals = [m.documents(spark, sf_dir, "1").filter(third < 2), m.documents(spark, sf_dir, "7").filter(third > 0),
+                m.documents(spark, sf_dir, "30", corrected), None]
+    for arrival in arrivals:
+        if arrival is not None:
+            m.write_lines(arrival.select("chart"), f"{root}/in", "market_chart")
+        ingest_chart(spark, f"{root}/in", f"{root}/out", f"{root}/state").awaitTermination()
+    return ingested(spark, f"{root}/out").select(*PARSED_CHART)
+
+
+def _refreshed(spark, sf_dir):
+    """A feature store after three loads: the beginning, the rest, and late rows all over."""
+    rows = m.market(m.prepared(spark), sf_dir)
+    late, begins = F.col("event_id") % 50 == 7, F.col("timestamp") < F.lit(SECOND_LOAD).cast("timestamp_ntz")
+    store = FeatureStore(f"{scratch_root(spark)}/store-{uuid.uuid4().hex}", order_cols=m.ORDER,
+                         plain_limit=1 if m.variant.long_series else None)
+    for load, part in enumerate((~late & begins, ~late & ~begins, late)):
+        store.refresh(rows.filter(part), load)
+    return store
+
+
+@query("feature_refresh")
+def _(spark, sf_dir):
+    return _refreshed(spark, sf_dir).current(spark).dropna(subset=series.lag_names("price")).select(
+        "coin_id", "vs_currency", "timestamp", "event_id", "price", "market_cap", "total_volume", *series.lag_names("price"))
+
+
+@query("merged_scaling")
+def _(spark, sf_dir):
+    store = _refreshed(spark, sf_dir)
+    return moments.scaling_from(store.train_moments(spark), store.names)
+
+
+@query("merged_coefficients")
+def _(spark, sf_dir):
+    store = _refreshed(spark, sf_dir)
+    fitted = moments.fit_from(store.train_moments(spark), store.names)
+    return fitted.select("coin_id", "vs_currency", "train_rows", "intercept",
+                         F.posexplode("coefficients").alias("feature", "coefficient"))
+
+
+@query("merged_limits")
+def _(spark, sf_dir):
+    store = _refreshed(spark, sf_dir)
+    return moments.limits_from(moments.fit_from(store.train_moments(spark), store.names))
+
+
 @query("table_round_trip")
 def _(spark, sf_dir):
     """A table of a layer is created, replaced with another schema, made again from a query, and read back."""
@@ -711,17 +767,52 @@ def _(spark, sf_dir):
     return diag.pacf(diag.acf(returns, layout, "return_pct"), layout)
 
 
+def _runs(spark, sf_dir):
+    rows = _forecasts(spark, sf_dir)
+    return runs.control_runs(rows, m.layout_of(rows, runs.RUN_ORDER))
+
+
+@query("control_runs")
+def _(spark, sf_dir):
+    return _runs(spark, sf_dir).select("coin_id", "vs_currency", "timestamp", "dataset_type", "residual", "side_run", *runs.RULES)
+
+
+@query("control_run_summary")
+def _(spark, sf_dir):
+    return runs.run_summary(_runs(spark, sf_dir))
+
+
+@query("residual_drift")
+def _(spark, sf_dir):
+    rows = _forecasts(spark, sf_dir)
+    return runs.drift(rows, m.layout_of(rows, runs.RUN_ORDER))
+
+
+@query("sketch_quantiles")
+def _(spark, sf_dir):
+    """Quartiles of prices from stored daily sketches of two loads, and whether their exact ranks are within the bound."""
+    rows = m.market(m.prepared(spark), sf_dir)
+    day, even = F.col("timestamp").cast("date"), F.col("event_id") % 2 == 0
+    table = materialize(sketches.daily_sketches(rows.filter(even), "price", day).unionByName(
+        sketches.daily_sketches(rows.filter(~even), "price", day)), "sketches")
+    found = sketches.quantiles(sketches.merged(table))
+    off = sketches.rank_distance(rows, "price", materialize(found, "quantiles"))
+    return off.select("coin_id", "vs_currency", "n", *[
+        (F.col(name) <= sketches.rank_error()).alias(f"{name}_within_bound") for name in sketches.QUARTILES])
+
+
 # The same operators where the second currency is missing, and by the route for series that are too long for one
 # task, with small blocks.
 
 VARIANTS = {
     "no_currency": ({"no_currency": True}, (
         "lag_features", "standardize", "feature_train", "forecasts", "control_limits", "forecast_metrics", "split_validation", "return_outliers", "price_histogram", "return_boxplot", "trend_line",
-        "trend_test", "price_acf", "return_pacf", "kpss_test", "adf_test", "stationarity")),
+        "trend_test", "price_acf", "return_pacf", "kpss_test", "adf_test", "stationarity",
+        "incremental_chart", "feature_refresh", "merged_coefficients", "merged_limits", "control_runs", "residual_drift")),
     "long": ({"long_series": True}, (
         "lag_features", "split_train", "split_test", "standardize", "feature_train", "forecasts", "intervals", "returns",
         "rolling_price", "rolling_volatility", "price_lag_corr", "return_outliers", "return_boxplot", "trend_line",
-        "price_acf", "kpss_test", "adf_test")),
+        "price_acf", "kpss_test", "adf_test", "feature_refresh", "control_runs", "residual_drift")),
 }
 
 
