@@ -765,6 +765,14 @@ valued AS (
   SELECT *, CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, 2 * list_sum(list_transform(range(1, 101),
          lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2 * k * k * lam * lam))))) END AS p FROM scaled)""", f"""
 SELECT {G}, n_train, n_test, {r('d', 'ks_statistic')}, {r('p', 'p_value')}, p < 0.05 AS drift FROM valued""")
+oracle("regular_grid", MARKET + f""",
+spans AS (SELECT {G}, epoch_us(min(timestamp)) AS low, epoch_us(max(timestamp)) AS high FROM market GROUP BY {G}),
+steps AS (SELECT {G}, unnest(range((low + 299999999) // 300000000, high // 300000000 + 1)) AS step FROM spans),
+grid AS (SELECT {G}, make_timestamp(step * 300000000) AS grid_timestamp FROM steps)""", f"""
+SELECT coin_id, vs_currency, grid_timestamp, {rs('price, total_volume')},
+       epoch_us(grid_timestamp) - epoch_us(timestamp) AS micros_old
+FROM (SELECT g.*, m.price, m.total_volume, m.timestamp FROM grid g ASOF JOIN market m
+      ON g.coin_id = m.coin_id AND g.vs_currency = m.vs_currency AND g.grid_timestamp >= m.timestamp)""")
 oracle("sketch_quantiles", MARKET, f"""
 SELECT {G}, count(price) AS n, true AS q1_within_bound, true AS median_within_bound, true AS q3_within_bound
 FROM market GROUP BY {G}""")

@@ -14,7 +14,7 @@ from tidemark.operators import dashboards as dash
 from tidemark.operators import describe as desc
 from tidemark.operators import diagnostics as diag
 from tidemark.operators import features as feat
-from tidemark.operators import models, moments, monitoring, quality, runs, series, sketches
+from tidemark.operators import grid, models, moments, monitoring, quality, runs, series, sketches
 from tidemark.operators.dedup import CHART_KEY, OHLC_KEY, keep_one
 from tidemark.operators.ordering import number_rows
 from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, quarantined, usable
@@ -788,6 +788,12 @@ def _(spark, sf_dir):
     return runs.drift(rows, m.layout_of(rows, runs.RUN_ORDER))
 
 
+@query("regular_grid")
+def _(spark, sf_dir):
+    df, layout = m.market_series(spark, sf_dir)
+    return grid.regular_grid(df, layout, ("price", "total_volume"))
+
+
 @query("sketch_quantiles")
 def _(spark, sf_dir):
     """Quartiles of prices from stored daily sketches of two loads, and whether their exact ranks are within the bound."""
@@ -808,11 +814,12 @@ VARIANTS = {
     "no_currency": ({"no_currency": True}, (
         "lag_features", "standardize", "feature_train", "forecasts", "control_limits", "forecast_metrics", "split_validation", "return_outliers", "price_histogram", "return_boxplot", "trend_line",
         "trend_test", "price_acf", "return_pacf", "kpss_test", "adf_test", "stationarity",
-        "incremental_chart", "feature_refresh", "merged_coefficients", "merged_limits", "control_runs", "residual_drift")),
+        "incremental_chart", "feature_refresh", "merged_coefficients", "merged_limits", "control_runs", "residual_drift", "regular_grid")),
     "long": ({"long_series": True}, (
         "lag_features", "split_train", "split_test", "standardize", "feature_train", "forecasts", "intervals", "returns",
         "rolling_price", "rolling_volatility", "price_lag_corr", "return_outliers", "return_boxplot", "trend_line",
-        "price_acf", "kpss_test", "adf_test", "feature_refresh", "control_runs", "residual_drift")),
+        "price_acf", "kpss_test", "adf_test", "feature_refresh", "control_runs", "residual_drift",
+        "regular_grid")),
 }
 
 
