@@ -156,7 +156,12 @@ def with_times(df: DataFrame) -> DataFrame:
 
 
 def parse_chart(raw: DataFrame, keys: Sequence[str] = ALIGN_KEYS, dedup: bool = True) -> DataFrame:
-    """Chart rows from raw documents: explode, keep one load per point, align, stamp.
+    """Chart rows from raw documents: explode, keep one load per point, align, stamp."""
+    return chart_from_points(chart_points(chart_documents(raw)), keys, dedup)
+
+
+def chart_from_points(points: DataFrame, keys: Sequence[str] = ALIGN_KEYS, dedup: bool = True) -> DataFrame:
+    """Chart rows from the points of all arrays.
 
     The points are stored in between: three readers of a column table cost less than
     three parses of the text.
@@ -164,7 +169,7 @@ def parse_chart(raw: DataFrame, keys: Sequence[str] = ALIGN_KEYS, dedup: bool =
     Copies are removed on the price side before the joins. The kept row does not depend
     on the attached values: rows that tie on every price-side column attach the same ones.
     """
-    points = materialize(chart_points(chart_documents(raw)), "points")
+    points = materialize(points, "points")
     prices = usable(points_of(points, "prices"))
     if dedup:
         prices = keep_one(prices, CHART_KEY)

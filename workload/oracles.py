@@ -188,6 +188,7 @@ arrived AS (
 SELECT coin_id, vs_currency, days, epoch_us(timestamp) // 1000 AS timestamp_unix_ms,
        strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp_raw, date_trunc('millisecond', timestamp) AS timestamp,
        {rs('price, market_cap, total_volume')} FROM arrived""")
+ORACLES["split_chart"] = ORACLES["parse_chart"]
 SPOILED = MARKET + """,
 spoiled AS (
   SELECT *, event_id % 7 AS kind,

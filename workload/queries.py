@@ -19,6 +19,7 @@ from tidemark.operators.dedup import CHART_KEY, OHLC_KEY, keep_one
 from tidemark.operators.ordering import number_rows
 from tidemark.operators.parse import align_chart, chart_documents, chart_points, parse_chart, parse_ohlc, points_of, quarantined, usable
 from tidemark.operators.refresh import FeatureStore
+from tidemark.operators.split_parse import parse_chart_files
 from tidemark.session import materialize, scratch_root
 from tidemark.sources.landing import peek_with_file, scan_landing
 from tidemark.sources.tables import create_layers, layer_name, load_source, replace_from_query, row_count, save_table
@@ -193,6 +194,12 @@ def _(spark, sf_dir):
     return parse_chart(raw).select(*PARSED_CHART)
 
 
+@query("split_chart")
+def _(spark, sf_dir):
+    """The chart documents read in blocks, as files too large for one task are."""
+    return parse_chart_files(spark, m.land_documents(spark, sf_dir, "market_chart"), whole_bytes=0).select(*PARSED_CHART)
+
+
 @query("parse_quarantine")
 def _(spark, sf_dir):
     raw = scan_landing(spark, m.land_spoiled(spark, sf_dir))
