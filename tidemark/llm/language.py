@@ -25,12 +25,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import buffer_of, chunks, crc_of_id, mix, only, prepare, share, table_of
+from tidemark.llm.common import buffer_of, chunks, crc_of_id, materialize, mix, only, prepare, share, table_of
 
 DIMENSIONS = 1 << 12
 # Rows that teach: for each language, and in all. Every language is learned; with many, each has fewer rows, one at least.
 ROWS_PER_LANGUAGE = 600
 MAX_ROWS = 6_000
+# With four times the rows wanted, a threshold on the hash keeps too few of them once in 10**300 tables.
+MARGIN = 4
 FOLDS = 5
 UNDETERMINED = "und"
 
@@ -145,10 +147,14 @@ def train(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Hierar
     known = only(docs, "doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != UNDETERMINED) & (crc_of_id() % FOLDS != 0))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    # Choose by id first: the ranking partly runs before its shuffle, and the texts are read for chosen ids only.
+    # Choose by id first. Rows are counted, and only those with the least hashes, some MARGIN times as many as are needed, are
+    # ranked: a language's ranking is as small in a large table as in a small one. The texts are read for chosen ids only.
+    ids = known.select("doc_id", "lang")
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.least(F.lit(1.0), F.lit(float(MARGIN * rows_per_language)) / F.col("_n"))
+    few = ids.join(F.broadcast(sizes), "lang").filter(order[0].cast("double") / 2.0 ** 63 <= 2 * share - 1).drop("_n")
     top = Window.partitionBy("lang").orderBy(*order)
-    chosen = known.select("doc_id", "lang").withColumn("_rank", F.row_number().over(top)).filter(
-        F.col("_rank") <= rows_per_language)
+    chosen = materialize(few.withColumn("_rank", F.row_number().over(top)).filter(F.col("_rank") <= rows_per_language), "teaching")
     n_langs = chosen.select("lang").distinct().count()
     if not n_langs:
         return None
