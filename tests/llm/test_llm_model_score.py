@@ -31,7 +31,7 @@ def plain_scores(rows, level: bool):
         for v, w in zip(["begin of text"] + [("w", w) for w in ws[:-1]], ws):
             before = float(len(train)) if v == "begin of text" else middle(uni[v[1]])
             pair = min(middle(pairs[v, w]), before)
-            total += math.log10((pair + 1000 * (middle(uni[w]) + 1) / norm) / (before + 1000))
+            total += math.log10((pair + lm.MU * (middle(uni[w]) + 1) / norm) / (before + lm.MU))
         out.append(total)
     return out
 
