@@ -58,3 +58,34 @@ def test_the_filter_as_used_changes_scores_little(spark):
     plain = {i: s for (i, _), s in zip(rows, plain_scores(rows, True))}
     off = sum(found[i][0] - plain[i] for i in plain)
     assert abs(off) / sum(n for _, n in found.values()) < 0.01
+
+
+@pytest.mark.parametrize("filter_bits", [1 << 12, lm.FILTER_BITS])
+def test_many_ranges_and_small_lots_change_no_score(spark, monkeypatch, filter_bits):
+    """Ranges follow the text, and tallies are sent whenever they are full; scores are those of one range held whole."""
+    docs = spark.read.parquet(f"{fx.SF_DIR}/documents.parquet")
+
+    def scores():
+        return {r["doc_id"]: tuple(r) for r in lm.score_documents(docs, head=200, filter_bits=filter_bits).collect()}
+
+    monkeypatch.setattr(lm, "ERROR_RATE", 1e-9)
+    whole = scores()
+    monkeypatch.setattr(lm, "RANGE_BYTES", 1 << 14)
+    monkeypatch.setattr(lm, "ENTRIES_AT_ONCE", 500)
+    small = scores()
+    assert whole.keys() == small.keys()
+    assert all(small[i] == pytest.approx(whole[i], rel=1e-9) for i in whole)
+
+
+def test_a_tally_adds_up_what_comes():
+    import numpy as np
+
+    rng, tally, plain = np.random.default_rng(1), lm.Tally(), collections.Counter()
+    for _ in range(40):
+        keys, counts = rng.integers(0, 300, 50).astype(np.uint64), rng.integers(1, 9, 50)
+        tally.add(keys, counts)
+        for k, n in zip(keys.tolist(), counts.tolist()):
+            plain[k] += n
+    keys, counts = tally.total()
+    assert dict(zip(keys.tolist(), counts.tolist())) == plain and (np.diff(keys.astype(np.int64)) > 0).all()
+    assert [len(x) for x in lm.Tally().total()] == [0, 0]

@@ -8,18 +8,20 @@ with a chance of ERROR_RATE whatever the corpus. Bigrams enter it from ``bigram_
 The model interpolates with a
 Dirichlet prior: p(w|v) = (c(v,w) + MU p(w)) / (c(v) + MU), p(w) = (c(w) + 1) / (N + V + 1).
 
-The corpus is counted in full. Each batch adds up its own n-grams and sends arrays of (hash, count)
-to ranges of the hash, so a word that fills a third of the corpus is one entry for each batch.
-A range makes its own stretch of the filter, so no merging of filters is needed.
+The corpus is counted in full. Tasks add up their n-grams, ENTRIES_AT_ONCE at a time, and send arrays of (hash, count)
+to ranges of the hash, of which there is one for each RANGE_BYTES of text. A range adds up the arrays as they
+come, so it holds its distinct n-grams and never all that was sent to it, and makes its own stretch of the filter, so
+no merging of filters is needed.
 
 A filter of at most ``filter_bits`` is broadcast. A larger one stays where its ranges lie, and distinct word pairs
 of each document go there: pairs with a word that is not broadcast first to that word's range, which adds its level, and
-all of them at last to the range of the bigram, which adds up the scores of its pairs per document. Either way the levels
-are the same.
+all of them at last to the range of the bigram, which adds up the scores of its pairs per document. Pairs with at least
+N / HEAD of all tokens are broadcast with their levels and need no way. Either way the levels are the same.
 
 The base score needs exact counts. Words with at least N / HEAD of all tokens are at most HEAD
 words; they are broadcast. All others are looked up where their range of the hash holds
-their counts, again in arrays of distinct words for each batch, and summed up per document.
+their counts, again in arrays of distinct words for each batch, and summed up per document. A range's counts are read once,
+before the arrays that were sent to it, which follow batch by batch.
 
 Defined cases: NULL is the empty text, which consists of the end token; repeated rows and ids count
 and are scored each; a NULL id counts as the empty id text; without training rows N = V = 0 and
@@ -30,6 +32,7 @@ gives an empty result. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +53,13 @@ BIGRAM_CUTOFF = 1
 # Best of 30, 100, 300, 1,000 and 3,000 by the log-probability of held-out texts (README).
 MU = 300.0
 MAX_LEVEL = 110  # of any count in 64 bits
-PAIRS_AT_ONCE = 4_000_000
+RANGE_BYTES = 16 << 20  # of text for each range of the hash
+RANGES_A_TASK = 4
+ENTRIES_AT_ONCE = 2_000_000
 AT_BEGIN, OPEN = 254, 255  # in place of a level: no word but the begin of a text, and not known yet
 END, BEGIN = 0x0E4D0E4D0E4D0E4D, 0x0B360B360B360B36
 
-COUNTS = "part int, uni binary, uni_count binary, bits binary, tokens long, types long"
+COUNTS = "part int, uni binary, uni_count binary, top binary, top_count binary, bits binary, tokens long, types long"
 SCORES = ("uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
@@ -90,9 +95,10 @@ def range_of(x: np.ndarray, bits: int) -> np.ndarray:
     return (x >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(x), np.int64)
 
 
-def split_ranges(sorted_hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Where each of the 2**bits ranges begins in sorted hashes, and their end."""
-    return np.searchsorted(range_of(sorted_hashes, bits), np.arange((1 << bits) + 1))
+def split_ranges(sorted_hashes: np.ndarray, bits: int, some: np.ndarray | None = None) -> np.ndarray:
+    """Where each range begins in sorted hashes, and their end; ``some`` names all ranges that have hashes."""
+    some = np.arange(1 << bits) if some is None else some
+    return np.searchsorted(range_of(sorted_hashes, bits), np.append(some, 1 << bits))
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
@@ -162,80 +168,125 @@ def top48(x: np.ndarray) -> np.ndarray:
     return x & np.uint64(0xFFFFFFFFFFFF0000)
 
 
+def _joined(column, unpack) -> np.ndarray:
+    found = [unpack(x.as_buffer()) for x in column.combine_chunks()] if len(column) else []
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+class Tally:
+    """Adds up counts of hashes as they come; ``known`` distinct ones are held, and no more than as many others."""
+
+    def __init__(self):
+        self.parts, self.known, self.waiting = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0, 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
+        if self.waiting > max(self.known, ENTRIES_AT_ONCE):
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes in order, and their counts."""
+        if self.waiting:
+            keys, counts = [np.concatenate(x) for x in zip(*self.parts)]
+            order = np.argsort(keys, kind="stable")
+            keys, counts = keys[order], counts[order].astype(np.int64)
+            start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.parts = [(keys[start], np.add.reduceat(counts, start))]
+            self.known, self.waiting = len(start), 0
+        return self.parts[0]
+
+
 def _count_batches(batches, bits: int):
-    """Per batch and range: distinct unigrams and bigrams with their counts."""
+    """Per range: distinct unigrams and bigrams of a stretch of the task's texts, with their counts."""
+    uni, bi = Tally(), Tally()
     for batch in batches:
         for part in chunks(batch):
             tokens, previous, _ = token_arrays(part.column("text"))
-            uni, uni_n = np.unique(tokens, return_counts=True)
-            bi, bi_n = np.unique(bigram(previous, tokens), return_counts=True)
-            u, b = split_ranges(uni, bits), split_ranges(bi, bits)
-            rows = [(p, uni[u[p]:u[p + 1]].tobytes(), uni_n[u[p]:u[p + 1]].astype("<u4").tobytes(),
-                     pack48(bi[b[p]:b[p + 1]]), bi_n[b[p]:b[p + 1]].astype("<u4").tobytes()) for p in range(1 << bits)]
-            p, *blobs = zip(*rows)
-            yield pa.record_batch([pa.array(p, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs]],
-                                  names=["part", "uni", "uni_n", "bi", "bi_n"])
+            uni.add(*np.unique(tokens, return_counts=True))
+            bi.add(*np.unique(bigram(previous, tokens), return_counts=True))
+            if uni.known + bi.known > ENTRIES_AT_ONCE // 2:
+                yield _by_range(uni, bi, bits)
+                uni, bi = Tally(), Tally()
+    yield _by_range(uni, bi, bits)
 
 
-def _joined(column, unpack) -> np.ndarray:
-    found = [unpack(x.as_buffer()) for x in column.combine_chunks()] if len(column) else []
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+def _by_range(uni: Tally, bi: Tally, bits: int) -> pa.RecordBatch:
+    (u, u_n), (b, b_n) = uni.total(), bi.total()
+    some = np.union1d(range_of(u, bits), range_of(b, bits))
+    columns = []
+    for keys, counts, pack in ((u, u_n, lambda x: x.tobytes()), (b, b_n, pack48)):
+        edge = split_ranges(keys, bits, some).tolist()
+        columns += [pa.array([f(x[i:j]) for i, j in zip(edge, edge[1:])], pa.binary())
+                    for x, f in ((keys, pack), (counts.astype("<u4"), lambda x: x.tobytes()))]
+    return pa.record_batch([pa.array(some, pa.int32()), *columns], names=["part", "uni", "uni_n", "bi", "bi_n"])
+
 
+def tasks_for(spark, bits: int) -> int:
+    return max(partitions(spark), (1 << bits) // RANGES_A_TASK)
 
-def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order].astype(np.int64)
-    if not len(keys):
-        return keys, counts
-    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[start], np.add.reduceat(counts, start)
 
+def count_ngrams(train: DataFrame, bits: int, bigram_cutoff: int = BIGRAM_CUTOFF, head: int = HEAD) -> DataFrame:
+    """Stored counts: one row for each range of the hash, with exact unigrams and its stretch of the filter.
 
-def count_ngrams(train: DataFrame, bits: int, bigram_cutoff: int = BIGRAM_CUTOFF) -> DataFrame:
-    """Stored counts: one row for each range of the hash, with exact unigrams and its stretch of the filter."""
-    def merge(table: pa.Table) -> pa.Table:
-        uni, uni_n = _add_up(_joined(table.column("uni"), lambda x: np.frombuffer(x, np.uint64)),
-                             _joined(table.column("uni_n"), lambda x: np.frombuffer(x, "<u4")))
-        bi, bi_n = _add_up(_joined(table.column("bi"), unpack48), _joined(table.column("bi_n"), lambda x: np.frombuffer(x, "<u4")))
+    ``top`` holds its most frequent bigrams, four times as many as a range's part of ``head`` and a thousand more.
+    """
+    most = 4 * head // (1 << bits) + 1_000
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pairs, part = Tally(), Tally(), None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            part = table.column("part")[0].as_py()
+            for tally, keys, counts, unpack in ((words, "uni", "uni_n", lambda x: np.frombuffer(x, np.uint64)), (pairs, "bi", "bi_n", unpack48)):
+                tally.add(_joined(table.column(keys), unpack), _joined(table.column(counts), lambda x: np.frombuffer(x, "<u4")))
+        (uni, uni_n), (bi, bi_n) = words.total(), pairs.total()
         often = bi_n >= bigram_cutoff
-        stretch = Filter.stretch(Filter.size_for([uni_n, bi_n[often]]), [(top48(uni), uni_n, 1), (bi[often], bi_n[often], 2)])
-        return pa.table({
-            "part": table.column("part").slice(0, 1), "uni": pa.array([uni.tobytes()], pa.binary()),
-            "uni_count": pa.array([uni_n.astype("<i8").tobytes()], pa.binary()), "bits": pa.array([stretch], pa.binary()),
-            "tokens": pa.array([int(uni_n.sum())], pa.int64()), "types": pa.array([len(uni)], pa.int64())})
+        bi, bi_n = bi[often], bi_n[often]
+        stretch = Filter.stretch(Filter.size_for([uni_n, bi_n]), [(top48(uni), uni_n, 1), (bi, bi_n, 2)])
+        top = np.argpartition(-bi_n, most)[:most] if len(bi) > most else np.arange(len(bi))
+        blobs = [uni, uni_n.astype("<i8"), bi[top], bi_n[top].astype("<i8")]
+        yield pa.record_batch([
+            pa.array([part], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in blobs], pa.array([stretch], pa.binary()),
+            pa.array([int(uni_n.sum())], pa.int64()), pa.array([len(uni)], pa.int64()),
+        ], names=[f.split()[0] for f in COUNTS.split(", ")])
 
     blobs = train.select("text").mapInArrow(
         lambda it: _count_batches(it, bits), "part int, uni binary, uni_n binary, bi binary, bi_n binary")
-    return materialize(blobs.groupBy("part").applyInArrow(merge, COUNTS), "ngrams")
+    dealt = blobs.repartition(tasks_for(train.sparkSession, bits), "part")
+    return materialize(dealt.groupBy("part").applyInArrow(merge, COUNTS), "ngrams")
 
 
 def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER_BITS, mu: float = MU,
                     bigram_cutoff: int = BIGRAM_CUTOFF) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row."""
     spark = prepare(docs.sparkSession)
-    bits = max(4, math.ceil(math.log2(partitions(spark))))
     texts = only(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), "text", (crc_of_id() % FOLDS == HELD_OUT).alias("held_out"))
-    train = texts.filter(~F.col("held_out"))
-    counts = count_ngrams(train, bits, bigram_cutoff)
+    size, n_docs = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)), F.count_if(~F.col("held_out"))).first()
+    bits = max(2, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
+    counts = count_ngrams(texts.filter(~F.col("held_out")), bits, bigram_cutoff, head)
     stats = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in (
         ("tokens", "n"), ("types", "v"), (F.length("bits").cast("long") * 8, "bits"))]).first()
     n_train, n_types, light = stats["n"], stats["v"], stats["bits"] <= filter_bits
-    n_docs = train.count()
     least = n_train / head
 
     def frequent(batches):
-        # At most ``head`` words have so large a share of all tokens.
+        # At most ``head`` words, and as many pairs, have so large a share of all tokens.
         for batch in batches:
-            for uni, n, stretch in zip(*[[x.as_buffer() for x in batch.column(c)] for c in ("uni", "uni_count", "bits")]):
-                keys, many = np.frombuffer(uni, np.uint64), np.frombuffer(n, "<i8")
-                often = many >= least
-                q = levels_in(stretch, top48(keys[often]), 1).astype(np.uint8)
-                yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in (keys[often], many[often], q)], names=["k", "n", "q"])
-
-    found = counts.select("uni", "uni_count", "bits").mapInArrow(frequent, "k binary, n binary, q binary").collect()
-    keys, many, known_q = [np.frombuffer(b"".join(bytes(r[c]) for r in found), t) for c, t in (("k", np.uint64), ("n", "<i8"), ("q", np.uint8))]
-    order = np.argsort(keys)
+            for uni, n, top, top_n, stretch in zip(*[[x.as_buffer() for x in batch.column(c)] for c in wanted]):
+                found = []
+                for keys, many, kind in ((uni, n, 1), (top, top_n, 2)):
+                    keys, many = np.frombuffer(keys, np.uint64), np.frombuffer(many, "<i8")
+                    often = many >= least
+                    found += [keys[often], many[often], levels_in(stretch, top48(keys[often]), kind).astype(np.uint8)]
+                yield pa.record_batch([pa.array([x.tobytes()], pa.binary()) for x in found], names=list("knqxyz"))
+
+    wanted = ["uni", "uni_count", "top", "top_count", "bits"]
+    found = counts.select(wanted).mapInArrow(frequent, ", ".join(f"{c} binary" for c in "knqxyz")).drop("y").collect()
+    keys, many, known_q, pair_keys, pair_q = [np.frombuffer(b"".join(bytes(r[c]) for r in found), t) for c, t in (
+        ("k", np.uint64), ("n", "<i8"), ("q", np.uint8), ("x", np.uint64), ("z", np.uint8))]
+    order, pair_order = np.argsort(keys), np.argsort(pair_keys)
     bloom = None
     if light:
         stretches = [np.zeros(8, np.uint8)] * (1 << bits)
@@ -243,7 +294,7 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
             stretches[r["part"]] = np.frombuffer(r["bits"], np.uint8)
         bloom = Filter(stretches, bits)
         del stretches
-    shared = share(spark, (keys[order], many[order], known_q[order], bloom), "ngrams")
+    shared = share(spark, (keys[order], many[order], known_q[order], pair_keys[pair_order], pair_q[pair_order], bloom), "ngrams")
     del bloom
     norm = n_train + n_types + 1
 
@@ -253,7 +304,7 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
         return np.log10((pair_c + mu * (levels_to_count(word_q) + 1) / norm) / (before_c + mu))
 
     def score(batches):
-        frequent_keys, frequent_counts, frequent_levels, bloom = shared()
+        frequent_keys, frequent_counts, frequent_levels, frequent_pairs, pair_levels, bloom = shared()
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in chunks(batch):
@@ -277,7 +328,6 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                     log_p = log_of(bloom.levels(top48(bigram(previous, tokens)), 2), before_q, word_q[inverse])
                     model = np.bincount(owner, weights=log_p, minlength=n)
                 else:
-                    model = np.zeros(n)
                     q = np.where(here, frequent_levels[at], OPEN) if len(frequent_keys) else np.full(len(distinct), OPEN)
                     before = np.empty(len(tokens), np.int64)
                     before[1:] = inverse[:-1]
@@ -285,8 +335,14 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                     pair, times = np.unique((owner * (len(distinct) + 1) + before) * len(distinct) + inverse, return_counts=True)
                     w, rest = pair % len(distinct), pair // len(distinct)
                     v, doc = rest % (len(distinct) + 1), rest // (len(distinct) + 1)
-                    yield from pairs_of(uid, np.append(distinct, np.uint64(BEGIN))[v], distinct[w], uid + doc, times,
-                                        np.append(q, AT_BEGIN)[v], q[w])
+                    v, before_q, w, word_q = np.append(distinct, np.uint64(BEGIN))[v], np.append(q, AT_BEGIN)[v], distinct[w], q[w]
+                    both = top48(bigram(v, w))
+                    at = np.minimum(np.searchsorted(frequent_pairs, both), max(0, len(frequent_pairs) - 1))
+                    # A pair is no more frequent than its words, so both of a broadcast pair's have their levels.
+                    done = (frequent_pairs[at] == both) & (before_q != OPEN) & (word_q != OPEN) if len(frequent_pairs) else np.zeros(len(both), bool)
+                    log_p = log_of(pair_levels[at[done]].astype(np.int64), before_q[done], word_q[done])
+                    model = np.bincount(doc[done], weights=times[done] * log_p, minlength=n)
+                    yield from pairs_of(uid, v[~done], w[~done], uid + doc[~done], times[~done], before_q[~done], word_q[~done])
                 uids = uid + np.arange(n)
                 yield rows_of(range_of(mix(uids.astype(np.uint64)), bits), uids, part, np.diff(first), known, base, model)
                 rest = np.flatnonzero(~here[inverse])
@@ -294,10 +350,10 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                     # Sorted by word, as ``distinct`` is, so ranges are stretches.
                     pair = np.unique(inverse[rest].astype(np.int64) * n + owner[rest], return_counts=True)
                     word, doc = distinct[pair[0] // n], (pair[0] % n).astype("<u4")
-                    edge = split_ranges(word, bits)
-                    some = np.flatnonzero(np.diff(edge))
+                    some = np.unique(range_of(word, bits))
+                    edge = split_ranges(word, bits, some).tolist()
                     yield blobs_of(some, uid, [(word[a:b].tobytes(), doc[a:b].tobytes(), pair[1][a:b].astype("<u4").tobytes())
-                                               for a, b in zip(edge[some].tolist(), edge[some + 1].tolist())])
+                                               for a, b in zip(edge, edge[1:])])
                 uid += n
 
     # ``hop`` is where pairs go: 1 to the first word, 2 to the second, 3 to the bigram.
@@ -324,10 +380,10 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
             both = bigram(v[mine], w[mine])
             where = range_of((v[mine], w[mine], both)[h - 1], bits)
             order = np.argsort(where, kind="stable")
-            mine, both, edge = mine[order], both[order], np.searchsorted(where[order], np.arange((1 << bits) + 1))
-            some = np.flatnonzero(np.diff(edge))
+            some, start = np.unique(where[order], return_index=True)
+            mine, both, edge = mine[order], both[order], [*start.tolist(), len(order)]
             blobs = []
-            for a, b in zip(edge[some].tolist(), edge[some + 1].tolist()):
+            for a, b in zip(edge, edge[1:]):
                 m = mine[a:b]
                 word, before = (pack48(both[a:b]), b"") if h == 3 else (w[m].tobytes(), v[m].tobytes())
                 q = np.stack([before_q[m], word_q[m]]).astype(np.uint8)
@@ -338,9 +394,9 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
                        pa.array(np.full(len(some), h)), before, q]
             yield pa.record_batch([x.cast(t) for x, t in zip(columns, types)], names=names)
 
-    def next_hop(rows: pa.Table, stored: pa.Table) -> list[pa.Table]:
+    def next_hop(rows: pa.Table, stored: pa.Table | None) -> list[pa.Table]:
         """Pairs with one more level, or scores of those that have all."""
-        stretch = stored.column("bits")[0].as_buffer() if stored.num_rows else bytes(8)
+        stretch = stored.column("bits")[0].as_buffer() if stored else bytes(8)
         out = []
         for h in np.unique(rows.column("hop").to_numpy()).tolist():
             some = rows.filter(pc.equal(rows.column("hop"), h))
@@ -361,7 +417,7 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
             out.append(pa.Table.from_batches(list(pairs_of(int(some.column("part")[0].as_py()), v, w, doc, times, before_q, word_q))))
         return out
 
-    def resolve(rows: pa.Table, stored: pa.Table) -> pa.Table:
+    def resolve(rows: pa.Table, stored: pa.Table | None) -> pa.Table:
         schema = pa.schema(list(zip(names, types)))
         rows = rows.select(names).cast(schema)
         pairs = rows.filter(pc.is_valid(rows.column("hop")))
@@ -375,7 +431,7 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
         doc = np.repeat(blobs.column("uid").to_numpy(), sizes) + _joined(blobs.column("doc"), lambda x: np.frombuffer(x, "<u4")).astype(np.int64)
         times = _joined(blobs.column("times"), lambda x: np.frombuffer(x, "<u4")).astype(np.int64)
         c = np.zeros(len(word), np.int64)
-        if stored.num_rows:
+        if stored:
             keys = np.frombuffer(stored.column("uni")[0].as_buffer(), np.uint64)
             counted = np.frombuffer(stored.column("uni_count")[0].as_buffer(), "<i8")
             if len(keys):
@@ -388,15 +444,29 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
         extra = [none, pa.array(uids), none, none, none, pa.array(known), pa.array(base), none, *[none] * 6]
         return pa.concat_tables([*whole, pa.table([x.cast(t) for x, t in zip(extra, types)], names=names)])
 
+    def in_order(batches):
+        """Rows with what their range holds for them; its counts, where it has any, come before its rows."""
+        part, stored = None, None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            parts = table.column("part").to_numpy()
+            edge = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
+            for a, b in zip(edge, edge[1:]):
+                if b == a:
+                    continue
+                some = table.slice(a, b - a)
+                if parts[a] != part:
+                    part, stored = parts[a], None
+                if some.column("uni")[0].is_valid:
+                    stored, some = some.slice(0, 1), some.slice(1)
+                if some.num_rows:
+                    yield from resolve(some, stored).combine_chunks().to_batches()
+
     def looked_up(rows: DataFrame) -> DataFrame:
-        if light:
-            return rows.groupBy("part").cogroup(counts.select("part", "uni", "uni_count").groupBy("part")).applyInArrow(resolve, wide)
-        # Each range as often as its share of all pairs needs, so that a call sees about PAIRS_AT_ONCE.
-        lots = max(1, math.ceil(n_train * FOLDS / (FOLDS - 1) / PAIRS_AT_ONCE / (1 << bits)))
-        stored = counts.select("part", "uni", "uni_count", "bits", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
-        dealt = rows.withColumn("lot", F.pmod(F.xxhash64("uid"), F.lit(lots)).cast("int"))
-        done = dealt.groupBy("part", "lot").cogroup(stored.groupBy("part", "lot")).applyInArrow(resolve, wide)
-        return materialize(done, "scores")
+        held = ["uni", "uni_count"] + ([] if light else ["bits"])
+        dealt = rows.unionByName(counts.select("part", *held), allowMissingColumns=True).repartition(tasks_for(spark, bits), "part")
+        done = dealt.sortWithinPartitions("part", F.col("uni").isNull()).mapInArrow(in_order, wide)
+        return done if light else materialize(done, "scores")
 
     parts = looked_up(texts.mapInArrow(score, wide))
     if not light:
