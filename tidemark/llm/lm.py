@@ -9,7 +9,7 @@ The model interpolates with a
 Dirichlet prior: p(w|v) = (c(v,w) + MU p(w)) / (c(v) + MU), p(w) = (c(w) + 1) / (N + V + 1).
 
 The corpus is counted in full. Tasks add up their n-grams, ENTRIES_AT_ONCE at a time, and send arrays of (hash, count)
-to ranges of the hash, of which there is one for each RANGE_BYTES of text. A range adds up the arrays as they
+to ranges of the hash, one at least for each RANGE_BYTES of text (and 16 in all). A range adds up the arrays as they
 come, so it holds its distinct n-grams and never all that was sent to it, and makes its own stretch of the filter, so
 no merging of filters is needed.
 
@@ -32,7 +32,6 @@ gives an empty result. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -222,8 +221,20 @@ def _by_range(uni: Tally, bi: Tally, bits: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array(some, pa.int32()), *columns], names=["part", "uni", "uni_n", "bi", "bi_n"])
 
 
-def tasks_for(spark, bits: int) -> int:
-    return max(partitions(spark), (1 << bits) // RANGES_A_TASK)
+def dealt(rows: DataFrame, bits: int, *order) -> DataFrame:
+    """``rows`` where their ranges are, those of a range together: ranges go round the tasks, so none has many more than another."""
+    tasks = max(partitions(rows.sparkSession), (1 << bits) // RANGES_A_TASK)
+    return rows.repartitionById(tasks, "part").sortWithinPartitions("part", *order)
+
+
+def slices(batches):
+    """``part`` and its rows, batch by batch, of batches in the order of ``part``."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        parts = table.column("part").to_numpy()
+        start = np.flatnonzero(np.diff(parts, prepend=-1)).tolist()
+        for a, b in zip(start, [*start[1:], len(parts)]):
+            yield int(parts[a]), table.slice(a, b - a)
 
 
 def count_ngrams(train: DataFrame, bits: int, bigram_cutoff: int = BIGRAM_CUTOFF, head: int = HEAD) -> DataFrame:
@@ -233,28 +244,33 @@ def count_ngrams(train: DataFrame, bits: int, bigram_cutoff: int = BIGRAM_CUTOFF
     """
     most = 4 * head // (1 << bits) + 1_000
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches):
         words, pairs, part = Tally(), Tally(), None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            part = table.column("part")[0].as_py()
+        for p, table in slices(batches):
+            if part not in (None, p):
+                yield row_of(part, words, pairs)
+                words, pairs = Tally(), Tally()
+            part = p
             for tally, keys, counts, unpack in ((words, "uni", "uni_n", lambda x: np.frombuffer(x, np.uint64)), (pairs, "bi", "bi_n", unpack48)):
                 tally.add(_joined(table.column(keys), unpack), _joined(table.column(counts), lambda x: np.frombuffer(x, "<u4")))
+        if part is not None:
+            yield row_of(part, words, pairs)
+
+    def row_of(part: int, words: Tally, pairs: Tally) -> pa.RecordBatch:
         (uni, uni_n), (bi, bi_n) = words.total(), pairs.total()
         often = bi_n >= bigram_cutoff
         bi, bi_n = bi[often], bi_n[often]
         stretch = Filter.stretch(Filter.size_for([uni_n, bi_n]), [(top48(uni), uni_n, 1), (bi, bi_n, 2)])
         top = np.argpartition(-bi_n, most)[:most] if len(bi) > most else np.arange(len(bi))
         blobs = [uni, uni_n.astype("<i8"), bi[top], bi_n[top].astype("<i8")]
-        yield pa.record_batch([
+        return pa.record_batch([
             pa.array([part], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in blobs], pa.array([stretch], pa.binary()),
             pa.array([int(uni_n.sum())], pa.int64()), pa.array([len(uni)], pa.int64()),
         ], names=[f.split()[0] for f in COUNTS.split(", ")])
 
     blobs = train.select("text").mapInArrow(
         lambda it: _count_batches(it, bits), "part int, uni binary, uni_n binary, bi binary, bi_n binary")
-    dealt = blobs.repartition(tasks_for(train.sparkSession, bits), "part")
-    return materialize(dealt.groupBy("part").applyInArrow(merge, COUNTS), "ngrams")
+    return materialize(dealt(blobs, bits).mapInArrow(merge, COUNTS), "ngrams")
 
 
 def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER_BITS, mu: float = MU,
@@ -264,7 +280,7 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
     texts = only(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), "text", (crc_of_id() % FOLDS == HELD_OUT).alias("held_out"))
     size, n_docs = texts.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)), F.count_if(~F.col("held_out"))).first()
-    bits = max(2, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
+    bits = max(4, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
     counts = count_ngrams(texts.filter(~F.col("held_out")), bits, bigram_cutoff, head)
     stats = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in (
         ("tokens", "n"), ("types", "v"), (F.length("bits").cast("long") * 8, "bits"))]).first()
@@ -447,25 +463,18 @@ def score_documents(docs: DataFrame, head: int = HEAD, filter_bits: int = FILTER
     def in_order(batches):
         """Rows with what their range holds for them; its counts, where it has any, come before its rows."""
         part, stored = None, None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            parts = table.column("part").to_numpy()
-            edge = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(parts)]
-            for a, b in zip(edge, edge[1:]):
-                if b == a:
-                    continue
-                some = table.slice(a, b - a)
-                if parts[a] != part:
-                    part, stored = parts[a], None
-                if some.column("uni")[0].is_valid:
-                    stored, some = some.slice(0, 1), some.slice(1)
-                if some.num_rows:
-                    yield from resolve(some, stored).combine_chunks().to_batches()
+        for p, some in slices(batches):
+            if p != part:
+                part, stored = p, None
+            if some.column("uni")[0].is_valid:
+                stored, some = some.slice(0, 1), some.slice(1)
+            if some.num_rows:
+                yield from resolve(some, stored).combine_chunks().to_batches()
 
     def looked_up(rows: DataFrame) -> DataFrame:
         held = ["uni", "uni_count"] + ([] if light else ["bits"])
-        dealt = rows.unionByName(counts.select("part", *held), allowMissingColumns=True).repartition(tasks_for(spark, bits), "part")
-        done = dealt.sortWithinPartitions("part", F.col("uni").isNull()).mapInArrow(in_order, wide)
+        both = rows.unionByName(counts.select("part", *held), allowMissingColumns=True)
+        done = dealt(both, bits, F.col("uni").isNull()).mapInArrow(in_order, wide)
         return done if light else materialize(done, "scores")
 
     parts = looked_up(texts.mapInArrow(score, wide))
