@@ -49,6 +49,27 @@ def base_figures(text: str | None) -> tuple:
             len(lines) - len(set(lines)), len(covered))
 
 
+def quality_rejections(text: str | None) -> set[str]:
+    """Names of the quality rules that turn the text away, each rule by its own definition; "base" for the base test."""
+    text = text or ""
+    n, chars, symbols, dup_lines, repeats = base_figures(text)
+    if n < 50 or 100 * repeats > 50 * n:
+        return {"base"}
+    raw = text.encode()
+    letters = len(re.findall(rb"[A-Za-z\x80-\xFF]", raw))
+    found = {
+        "word_length": not 2 <= chars / n <= 25,
+        "symbols": symbols > 0.3 * n,
+        "duplicate_lines": dup_lines > max(6, text.count("\n") + 1) / 2,
+        "capitals": len(re.findall(rb"[A-Z]", raw)) > 0.6 * max(1, letters),
+        "exclamation": len(re.findall(rb"[!?]", raw)) > 0.5 * n,
+        "digits": len(re.findall(rb"[0-9]", raw)) > 0.5 * chars,
+        "few_letters": letters < 0.4 * chars,
+        "vocabulary": n < 1000 and len(set(WORD.findall(text))) < 0.1 * n,
+    }
+    return {name for name, bad in found.items() if bad}
+
+
 def bag(text: str | None, k: int = 5) -> collections.Counter:
     words = WORD.findall((text or "").lower())
     if not words:

@@ -1,30 +1,33 @@
 """Quality rules as a short-circuit cascade.
 
 Each rule has a measure (whose cost varies) and a test. On a bounded sample all rules are timed
-and their rejection shares counted; the cascade then runs them by rejections per second. In a
-batch a rule looks only at the texts that all rules before it passed, so a measure is computed
-for survivors alone, and at most once. The order changes the work, never the verdict: a text is
-kept if no rule rejects it.
+on the texts that pass the base test; the order then takes, step by step, the rule that rejects
+most per second of those that the rules before it leave. In a batch a rule looks only at the texts
+that all rules before it passed, so a measure is computed for survivors alone, and at most once.
+The order changes the work, never the verdict: a text is kept if no rule rejects it.
 
 Base figures are part of the answer and therefore computed for every text.
 
 Defined cases: NULL and empty texts have no words and fail the base test; repeated rows are
-judged each; a text of any length is read whole; extra columns are ignored; an empty table gives
-an empty result (and the order in which the rules stand).
+judged each; a text of any length is read whole, in blocks of bytes (what is held beside it is a
+hash and two places for each word, and a digest for each distinct line); extra columns are ignored;
+an empty table, or a sample of which nothing passes the base test, leaves the rules as they stand.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE, Words, buffer_of, chunks, only, prepare, table_of, windows
+from tidemark.llm.common import CHUNK_BYTES, WHITE, Words, buffer_of, chunks, only, prepare, table_of, windows
 
 SAMPLE_DOCS = 1_000
 SAMPLE_CHARS = 20_000
@@ -34,18 +37,57 @@ UPPER, LETTERS = table_of(bytes(range(65, 91))), table_of(bytes([*range(65, 91),
 MARKS, DIGITS = table_of(b"!?"), table_of(b"0123456789")
 
 
+def word_hashes(words: Words, block: int) -> np.ndarray:
+    """``words.hashes()``, computed over ``block`` bytes at a time where there are more than two blocks.
+
+    A hash does not depend on where a word stands, so blocks agree. A word longer than a block is the last that begins in
+    its own; it gets a digest, as do all words of that length.
+    """
+    size = len(words.data)
+    if size <= 2 * block:
+        return words.hashes()
+    out = np.empty(len(words.start), np.uint64)
+    edges = np.unique(np.searchsorted(words.start, np.arange(0, size + block, block))).tolist()
+    for a, b in zip(edges[:-1], edges[1:]):
+        start, end = int(words.start[b - 1]), int(words.end[b - 1])
+        if end - start > block:
+            b -= 1
+            out[b] = int.from_bytes(blake2b(words.data[start:end], digest_size=8).digest(), "little")
+        if a < b:
+            low, high = words.start[a], words.end[b - 1]
+            out[a:b] = Words(words.data[low:high], np.clip(words.offsets, low, high) - low).hashes()
+    return out
+
+
+def lines_between(raw: bytes, at: int, end: int) -> Iterator[bytes]:
+    """The lines of ``raw[at:end]``, one at a time."""
+    while at <= end:
+        stop = raw.find(b"\n", at, end)
+        stop = end if stop < 0 else stop
+        yield raw[at:stop]
+        at = stop + 1
+
+
 class Texts:
     """A run of texts with the figures computed so far; ``pick`` arguments are arrays of text numbers."""
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, block: int = CHUNK_BYTES):
         self.data, self.offsets = buffer_of(column)
         self.words = Words(self.data, self.offsets)
-        self.size = len(self.offsets) - 1
+        self.size, self.block = len(self.offsets) - 1, block
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return word_hashes(self.words, self.block)
 
     def count_bytes(self, members: np.ndarray) -> np.ndarray:
-        sums = np.zeros(len(self.data) + 1, np.int64)
-        np.cumsum(members[self.data], out=sums[1:])
-        return np.diff(sums[self.offsets])
+        total = np.zeros(self.size, np.int64)
+        for low in range(0, len(self.data), self.block):
+            part = members[self.data[low:low + self.block]]
+            sums = np.zeros(len(part) + 1, np.int64)
+            np.cumsum(part, out=sums[1:])
+            total += np.diff(sums[np.clip(self.offsets - low, 0, len(part))])
+        return total
 
     def word_chars(self) -> np.ndarray:
         """Code points outside ASCII white space: bytes that begin one."""
@@ -54,13 +96,18 @@ class Texts:
     def dup_lines(self) -> np.ndarray:
         raw, out = self.data.tobytes(), []
         for a, b in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
-            lines = [line for line in raw[a:b].split(b"\n") if line.strip(WHITE)]
-            out.append(len(lines) - len(set(lines)))
+            count, distinct = 0, set()
+            for line in lines_between(raw, a, b):
+                if line.strip(WHITE):
+                    count += 1
+                    # A digest is longer than any line that is kept as it is, so the two never meet.
+                    distinct.add(line if len(line) <= 32 else blake2b(line, digest_size=40).digest())
+            out.append(count - len(distinct))
         return np.array(out, np.int64)
 
     def repeat_words(self) -> np.ndarray:
         """Words covered by a 3-word window that the text holds at least twice."""
-        found, at = windows(self.words.hashes(), self.words.first, 3)
+        found, at = windows(self.hashes, self.words.first, 3)
         owner = np.searchsorted(self.words.first, at, side="right") - 1
         order = np.lexsort((found, owner))
         f, o = found[order], owner[order]
@@ -98,7 +145,7 @@ def _picked(texts: Texts, pick: np.ndarray, members: np.ndarray) -> np.ndarray:
 
 
 def _distinct_share(texts: Texts, pick: np.ndarray) -> np.ndarray:
-    first, hashes = texts.words.first, texts.words.hashes()
+    first, hashes = texts.words.first, texts.hashes
     return np.array([len(np.unique(hashes[a:b])) / max(1, b - a)
                      for a, b in zip(first[pick].tolist(), first[pick + 1].tolist())])
 
@@ -131,23 +178,37 @@ def run_cascade(texts: Texts, base: dict, alive: np.ndarray, rules) -> tuple[np.
     return alive, by
 
 
+def base_fails(base: dict) -> np.ndarray:
+    return (base["n_words"] < 50) | (100 * base["n_repeat_words"] > 50 * base["n_words"])
+
+
+def cheapest_order(rejected: np.ndarray, cost: np.ndarray) -> list[int]:
+    """Rule numbers, each the one that rejects most per cost of the texts that those before it leave.
+
+    ``rejected[i, j]`` says that rule i rejects text j. Rules that reject none of what is left go last, cheap first.
+    """
+    alive, order, left = np.ones(rejected.shape[1], bool), [], list(range(len(rejected)))
+    while left:
+        best = max(left, key=lambda i: (np.count_nonzero(rejected[i] & alive) / cost[i], -cost[i]))
+        order.append(best)
+        left.remove(best)
+        alive &= ~rejected[best]
+    return order
+
+
 def order_rules(column: pa.Array, rules=RULES) -> tuple[Rule, ...]:
-    """Rules by share rejected per second on the sample, best first; rules that reject nothing go last, cheap first."""
+    """Rules by what they reject per second of the sample's texts that pass the base test and the rules before."""
     texts = Texts(column)
-    if not texts.size:
+    base = texts.base()
+    judged = np.flatnonzero(~base_fails(base))
+    if not len(judged):
         return tuple(rules)
-    base, every = texts.base(), np.arange(texts.size)
-    scored = []
+    rejected, cost = [], []
     for rule in rules:
         began = time.perf_counter()
-        share = float(np.mean(rule.reject(texts, base, every)))
-        cost = time.perf_counter() - began + 1e-9
-        scored.append((share / cost, -cost, rule))
-    return tuple(rule for *_, rule in sorted(scored, key=lambda s: s[:2], reverse=True))
-
-
-def base_fails(base: dict) -> np.ndarray:
-    return (base["n_words"] < 50) | (100 * base["n_repeat_words"] > 50 * base["n_words"])
+        rejected.append(rule.reject(texts, base, judged))
+        cost.append(time.perf_counter() - began + 1e-9)
+    return tuple(rules[i] for i in cheapest_order(np.array(rejected), np.array(cost)))
 
 
 def judge(docs: DataFrame, rules=RULES, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
