@@ -234,10 +234,16 @@ def join_series(
     return joined.drop(*[f"_side_{k}" for k in keys])
 
 
+def discrete_percentiles(column: str, shares: Sequence[float]) -> Column:
+    """An aggregate: the least values of ``column`` that at least these shares of its values do not exceed, as an array."""
+    name = "`" + column.replace("`", "``") + "`"
+    return F.expr(f"percentile_disc(array({', '.join(f'{s!r}D' for s in shares)})) WITHIN GROUP (ORDER BY {name})")
+
+
 def series_quantiles(
-    df: DataFrame, layout: SeriesLayout, value: str, quantiles: dict[str, float]
+    df: DataFrame, layout: SeriesLayout, value: str, quantiles: dict[str, float], discrete: bool = False
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles of ``value`` per series.
+    """Exact quantiles of ``value`` per series, linearly interpolated, or ``discrete``: values that occur.
 
     The built-in ``percentile`` keeps a map of all values of a group, so it is used for
     short series only. For long ones equal values are counted first, the distinct values
@@ -248,7 +254,9 @@ def series_quantiles(
     rows = df.filter(F.col(value).isNotNull()).select(*group, value)
     if not layout.blocked:
         # One map of the values serves all quantiles.
-        found = rows.groupBy(*group).agg(F.percentile(value, F.array(*map(F.lit, quantiles.values()))).alias("_at"))
+        percentiles = (discrete_percentiles(value, list(quantiles.values())) if discrete
+                       else F.percentile(value, F.array(*map(F.lit, quantiles.values()))))
+        found = rows.groupBy(*group).agg(percentiles.alias("_at"))
         return found.select(*group, *[F.get("_at", F.lit(i)).alias(name) for i, name in enumerate(quantiles)])
 
     counted = rows.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_copies"))
@@ -262,6 +270,8 @@ def series_quantiles(
             here = (F.col("_upto") - F.col("_copies") <= position) & (position < F.col("_upto"))
             return F.max(F.when(here, F.col(value)))
 
+        if discrete:
+            return value_at(F.greatest(F.ceil(F.col("_n") * F.lit(q)) - 1, F.lit(0)))
         low = value_at(F.floor(rank))
         return low + (value_at(F.ceil(rank)) - low) * F.max(rank - F.floor(rank))
 
