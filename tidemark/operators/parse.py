@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timestamps import epoch_ms_text
@@ -23,6 +23,8 @@ EPOCH_MIN, EPOCH_MAX = -62_135_596_800_000, 253_402_300_799_999
 LINEAGE = ("etl_timestamp", "file_name", "file_modification_time",
            "endpoint", "coin_id", "vs_currency", "days")
 ALIGN_KEYS = ("file_name", "coin_id", "vs_currency", "timestamp_unix_ms")
+# Which document a point stood in, and a value that orders the points of one document.
+DOCUMENT, PLACE = "_document", "_place"
 CHART_COLUMNS = (*LINEAGE, "timestamp_unix_ms", "timestamp_raw", "timestamp", "price", "market_cap", "total_volume")
 
 
@@ -63,19 +65,28 @@ def ohlc_documents(raw: DataFrame) -> DataFrame:
 
 
 def chart_points(documents: DataFrame) -> DataFrame:
-    """One row per ``[epoch_ms, value]`` point, with the array it stood in as ``field``.
+    """One row per ``[epoch_ms, value]`` point, with the array it stood in as ``field``, its document and its place there.
 
-    All three arrays are exploded at once, so a document is read and parsed once.
+    All three arrays are exploded at once, so a document is read and parsed once. Documents are numbered anew by each run.
     """
     missing = F.array().cast("array<array<double>>")
 
     def tagged(field: str) -> Column:
-        return F.transform(F.coalesce(F.col(f"payload.{field}"), missing), lambda point: F.struct(
+        return F.transform(F.coalesce(F.col(f"payload.{field}"), missing), lambda point, at: F.struct(
             F.lit(field).alias("field"),
             epoch_ms(F.get(point, F.lit(0))).alias("timestamp_unix_ms"),
-            F.get(point, F.lit(1)).alias("value")))
+            F.get(point, F.lit(1)).alias("value"),
+            place_of(F.lit(0), F.lit(0), F.lit(0), at).alias(PLACE)))
 
-    return documents.select(*LINEAGE, F.inline(F.concat(*[tagged(field) for field in CHART_FIELDS])))
+    # Numbered in a step of its own: beside the explosion every point would get a number.
+    numbered = documents.withColumn(DOCUMENT, F.monotonically_increasing_id().cast("string"))
+    return numbered.select(*LINEAGE, DOCUMENT, F.inline(F.concat(*[tagged(field) for field in CHART_FIELDS])))
+
+
+def place_of(block: Column, record: Column, piece: Column, at: Column) -> Column:
+    """The order of points in a document: by block of the file, record and piece where it is read in blocks, and number."""
+    parts = {"block": block, "record": record, "piece": piece, "at": at}
+    return F.struct(*[F.coalesce(c.cast("long"), F.lit(0)).alias(n) for n, c in parts.items()])
 
 
 def points_of(points: DataFrame, field: str) -> DataFrame:
@@ -148,6 +159,32 @@ def align_chart(
     )
 
 
+def prices_with_own(points: DataFrame) -> DataFrame:
+    """Usable price points with the market cap and volume that stand beside them in their document.
+
+    Where a document holds as many points of a millisecond in the other array as in ``prices``, the first belongs to the
+    first, the second to the second. ``_own_`` columns tell whether a point has such a partner.
+    """
+    same = (DOCUMENT, "timestamp_unix_ms")
+    known = points.filter(F.col("timestamp_unix_ms").isNotNull() & F.col("coin_id").isNotNull()).repartition(*same)
+    alike = Window.partitionBy(*same, "field")
+    numbered = known.withColumns({"_nth": F.row_number().over(alike.orderBy(PLACE)), "_of": F.count(F.lit(1)).over(alike)})
+
+    def of(field: str, column: Column) -> Column:
+        return F.max(F.when(F.col("field") == field, column))
+
+    # At most one row of each array has the same document, millisecond and number.
+    rows = numbered.groupBy(*same, "_nth").agg(
+        *[F.first(c).alias(c) for c in LINEAGE],
+        *[of(field, F.col("value")).alias(name) for field, name in CHART_FIELDS.items()],
+        *[of(field, F.col("_of")).alias(f"_of_{name}") for field, name in CHART_FIELDS.items()])
+    own = {name: F.coalesce(F.col(f"_of_{name}") == F.col("_of_price"), F.lit(False)) for name in ("market_cap", "total_volume")}
+    return rows.filter(F.col("_of_price").isNotNull()).select(
+        *LINEAGE, "timestamp_unix_ms", "price",
+        *[found.alias(f"_own_{name}") for name, found in own.items()],
+        *[F.when(found, F.col(name)).alias(f"_{name}") for name, found in own.items()])
+
+
 def with_times(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "timestamp_raw": epoch_ms_text(F.col("timestamp_unix_ms")),
@@ -166,15 +203,17 @@ def chart_from_points(points: DataFrame, keys: Sequence[str] = ALIGN_KEYS, dedup
     The points are stored in between: three readers of a column table cost less than
     three parses of the text.
 
-    Copies are removed on the price side before the joins. The kept row does not depend
-    on the attached values: rows that tie on every price-side column attach the same ones.
+    A price takes the values beside it in its document; one without takes those of equal ``keys``.
+    Copies are removed on the price side before the joins, and the values beside a price are the last
+    in their order. Rows that tie on all of it attach the same values.
     """
     points = materialize(points, "points")
-    prices = usable(points_of(points, "prices"))
+    prices = prices_with_own(points)
     if dedup:
         prices = keep_one(prices, CHART_KEY)
     aligned = align_chart(prices, points_of(points, "market_caps"), points_of(points, "total_volumes"), keys)
-    return with_times(aligned).select(*CHART_COLUMNS)
+    chosen = {name: F.when(F.col(f"_own_{name}"), F.col(f"_{name}")).otherwise(F.col(name)) for name in ("market_cap", "total_volume")}
+    return with_times(aligned.withColumns(chosen)).select(*CHART_COLUMNS)
 
 
 def explode_ohlc(documents: DataFrame) -> DataFrame:

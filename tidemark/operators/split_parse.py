@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import join_series
 from tidemark.operators.parse import (
-    ALIGN_KEYS, CHART_FIELDS, LINEAGE, chart_documents, chart_from_points, chart_points, epoch_ms,
+    ALIGN_KEYS, CHART_FIELDS, DOCUMENT, LINEAGE, PLACE, chart_documents, chart_from_points, chart_points, epoch_ms, place_of,
 )
 from tidemark.session import materialize
 from tidemark.sources.landing import FILE_METADATA, raw_columns, scan_landing
@@ -77,10 +77,13 @@ def split_points(spark: SparkSession, path: str, larger_than: int = 0, name_has:
         "etl_timestamp": F.col("etl_timestamp"), "file_name": F.col("file_name"), "file_modification_time": F.col("file_modification_time"),
         "endpoint": endpoint, "coin_id": F.get(F.split(endpoint, "/"), F.lit(2)),
         "vs_currency": F.get_json_object("_parameters", "$.vs_currency"), "days": F.get_json_object("_parameters", "$.days")}
+    number = F.concat(F.col(FILE), F.lit("#"), F.col("_document").cast("string"))
     return joined.select(
-        *[lineage[name].alias(name) for name in LINEAGE], "field", F.explode(F.arrays_zip("_times", "_values")).alias("_point"),
-    ).select(*LINEAGE, "field", epoch_ms(F.col("_point._times").try_cast("double")).alias("timestamp_unix_ms"),
-             F.col("_point._values").try_cast("double").alias("value"))
+        *[lineage[name].alias(name) for name in LINEAGE], number.alias(DOCUMENT), "field", "_block", "_n", "_piece",
+        F.posexplode(F.arrays_zip("_times", "_values")).alias("_at", "_point"),
+    ).select(*LINEAGE, DOCUMENT, "field", epoch_ms(F.col("_point._times").try_cast("double")).alias("timestamp_unix_ms"),
+             F.col("_point._values").try_cast("double").alias("value"),
+             place_of(F.col("_block"), F.col("_n"), F.col("_piece"), F.col("_at")).alias(PLACE))
 
 
 def parse_chart_files(
