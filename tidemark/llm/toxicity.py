@@ -122,16 +122,16 @@ def features(column: pa.Array, stems: dict[str, float]) -> np.ndarray:
     return np.nan_to_num(out)
 
 
-def feature_rows(texts: DataFrame, stems: dict[str, float]) -> DataFrame:
-    """The columns of ``texts`` without ``text``, and ``features`` as an array."""
-    rest = [c for c in texts.columns if c != "text"]
+def feature_rows(texts: DataFrame, stems: dict[str, float], column: str = "text", keep: bool = False) -> DataFrame:
+    """The columns of ``texts`` without its text ``column`` unless ``keep``, and ``features`` as an array."""
+    rest = [c for c in texts.columns if keep or c != column]
     shared = texts.sparkSession.sparkContext.broadcast(stems)
     schema = texts.select(*rest).withColumn("features", F.lit(None).cast("array<double>")).schema
 
     def run(batches):
         for batch in batches:
-            for part in chunks(batch):
-                x = features(part.column("text"), shared.value)
+            for part in chunks(batch, column):
+                x = features(part.column(column), shared.value)
                 yield pa.record_batch([*[part.column(c) for c in rest],
                                        pa.array(list(x), pa.list_(pa.float64()))], names=schema.names)
 
@@ -201,12 +201,12 @@ class Model:
     def __init__(self, stems, trees=None, calibration=None, constant=0.0):
         self.stems, self.trees, self.calibration, self.constant = stems, trees, calibration, constant
 
-    def score(self, texts: DataFrame) -> DataFrame:
-        """``texts`` without ``text``, with ``score``."""
-        rest = [c for c in texts.columns if c != "text"]
+    def score(self, texts: DataFrame, column: str = "text", keep: bool = False) -> DataFrame:
+        """``texts`` without its text ``column`` unless ``keep``, with ``score``."""
+        rest = [c for c in texts.columns if keep or c != column]
         if self.trees is None:
             return texts.select(*rest, F.lit(float(self.constant)).alias("score"))
-        rows = feature_rows(texts, self.stems).withColumn("features", array_to_vector("features"))
+        rows = feature_rows(texts, self.stems, column, keep).withColumn("features", array_to_vector("features"))
         raw = self.trees.transform(rows).withColumn("raw", vector_to_array("probability")[1])
         if self.calibration is None:
             return raw.select(*rest, F.col("raw").alias("score"))
@@ -259,5 +259,6 @@ def keep_clean(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     """``docs`` (with all columns) without the texts scored 0.5 or more."""
     model = train(docs, labels, sample_rows)
     rows, text = by_place(docs, "text")
-    scored = model.score(rows.select(F.struct(*rows.columns).alias("whole"), F.col(text).alias("text")))
-    return scored.filter(F.col("score") < 0.5).select("whole.*").toDF(*docs.columns)
+    # The text goes to Python and back once, as a column among the others.
+    scored = model.score(rows, text, keep=True)
+    return scored.filter(F.col("score") < 0.5).select(*rows.columns).toDF(*docs.columns)
